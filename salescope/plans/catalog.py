@@ -7,9 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import session as SS
+from ..operators import customers as C
+from ..operators import forecast as FC
 from ..operators import reports as R
+from ..operators import timeseries as TS
 from ..sources.fact import sales_fact
 from . import report_sql as RS
+from . import series_sql as QS
+
+# Search term of the registered customer-search query (any term works).
+SEARCH_TERM = "building"
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -46,6 +53,27 @@ for _name, _op, _sql in [
     ("coverage_by_month", R.coverage_by_month, RS.COVERAGE_BY_MONTH),
     ("highlights", R.highlights, RS.HIGHLIGHTS),
     ("argmax_per_seller", R.argmax_per_seller, RS.ARGMAX_PER_SELLER),
+    ("daily_sales", TS.daily_sales, QS.DAILY_SALES),
+    ("weekly_sales", TS.weekly_sales, QS.WEEKLY_SALES),
+    ("monthly_sales", TS.monthly_sales, QS.MONTHLY_SALES),
+    ("series_summary", TS.series_summary, QS.SERIES_SUMMARY),
+    ("day_index", TS.day_index, QS.DAY_INDEX),
+    ("trailing_mean_7", TS.trailing_mean_7, QS.TRAILING_MEAN_7),
+    ("peak_period", TS.peak_period, QS.PEAK_PERIOD),
+    ("sales_forecast", FC.sales_forecast, QS.SALES_FORECAST),
+    ("forecast_metrics", FC.forecast_metrics, QS.FORECAST_METRICS),
+    ("actual_plus_forecast", FC.actual_plus_forecast, QS.ACTUAL_PLUS_FORECAST),
+    ("customer_lifecycle", C.customer_lifecycle, QS.CUSTOMER_LIFECYCLE),
+    ("customer_detail", C.customer_detail, QS.CUSTOMER_DETAIL),
+    ("mode_per_customer", C.mode_per_customer, QS.MODE_PER_CUSTOMER),
+    ("top_product_per_customer", C.top_product_per_customer, QS.TOP_PRODUCT_PER_CUSTOMER),
+    ("rfm", C.rfm, QS.RFM),
+    ("customer_search",
+     lambda fact: C.customer_list(fact, SEARCH_TERM, "amount", C.S.CUSTOMER_LIST_ROWS),
+     QS.customer_search_sql(SEARCH_TERM, "amount DESC", 500)),
+    ("customer_sort_recency",
+     lambda fact: C.customer_list(fact, "", "recency_days", C.S.CUSTOMER_LIST_ROWS),
+     QS.customer_search_sql("", "recency_days ASC", 500)),
 ]:
     _report(_name, _op, _sql)
 
