@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import session as SS
+from ..functions import expressions as E
 from ..operators import customers as C
 from ..operators import forecast as FC
 from ..operators import reports as R
 from ..operators import timeseries as TS
+from ..operators import ingest as IG
 from ..sources.fact import sales_fact
+from . import consolidate as CO
+from . import ingest_sql as IS
 from . import report_sql as RS
 from . import series_sql as QS
 
@@ -78,6 +82,46 @@ for _name, _op, _sql in [
     _report(_name, _op, _sql)
 
 
+def _ingest(name: str, sql: str | None):
+    def deco(fn: Callable[[CO.Ingest], DataFrame]):
+        register(name, sql)(lambda spark, sf_dir: fn(CO.Ingest(spark, sf_dir)))
+        return fn
+    return deco
+
+
+_STD = [c for c in IG.STANDARD_COLUMNS]
+_ingest("standardize", IS.STANDARDIZE)(lambda ig: ig.frames[0].select(*_STD))
+_ingest("union_sources", IS.UNION_SOURCES)(
+    lambda ig: ig.stacked().select(*_STD, F.col("_source_rank").alias("source_rank")))
+_ingest("clean", IS.CLEAN)(
+    lambda ig: ig.cleaned().select(*_STD, F.col("_source_rank").alias("source_rank")))
+_ingest("distinct_dedup", IS.DISTINCT_DEDUP)(
+    lambda ig: ig.deduped().select(*_STD, F.col("_source_rank").alias("source_rank")))
+_ingest("canonical_name", IS.CANONICAL_NAME)(lambda ig: IG.canonical_names(ig.deduped()))
+_ingest("consolidate_sources", IS.CONSOLIDATE_SOURCES)(lambda ig: ig.fact())
+_ingest("unit_price", IS.UNIT_PRICE)(
+    lambda ig: ig.fact().select("customer_id", "sale_date", "product_code", "amount",
+                                "quantity", "unit_price"))
+_ingest("ingest_counts", IS.INGEST_COUNTS)(lambda ig: ig.counts())
+_ingest("ingest_log", IS.INGEST_LOG)(lambda ig: ig.log())
+
+
+@_ingest("log_for_files", IS.LOG_FOR_FILES)
+def _log_for_files(ig: CO.Ingest) -> DataFrame:
+    files = ig.spark.createDataFrame([(f,) for f in IS.LOG_FILES], "source_file string")
+    return CO.log_for_files(ig.log(), files)
+
+
+def _texts(field: str, expr) -> Callable[[CO.Ingest], DataFrame]:
+    return lambda ig: (ig.raw_column(field).select("text", expr(F.col("text")).alias("value"))
+                         .distinct())
+
+
+_ingest("parse_mixed_date", IS.PARSE_MIXED_DATE)(_texts("sale_date", E.parse_mixed_date))
+_ingest("normalize_id", IS.NORMALIZE_ID)(_texts("customer_id", E.normalize_id))
+_ingest("synthetic_code", IS.SYNTHETIC_CODE)(_texts("product_name", E.synthetic_code))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -8,38 +8,18 @@ from __future__ import annotations
 
 import re
 
-# The fact table from the order tables (FIXTURES §3), consolidated: clean,
-# dedup on (customer, date-time, code, amount, quantity), canonical name,
-# unit price.
-FACT_CTE = """
-std AS (
-  SELECT trim(c.c_name) AS customer_name,
-         CASE WHEN length(regexp_replace(CAST(c.c_custkey AS VARCHAR), '\\D', '', 'g')) < 14
-              THEN lpad(regexp_replace(CAST(c.c_custkey AS VARCHAR), '\\D', '', 'g'), 14, '0')
-              ELSE regexp_replace(CAST(c.c_custkey AS VARCHAR), '\\D', '', 'g') END AS customer_id,
-         upper(trim(n.n_name)) AS region,
-         CAST(l.l_shipdate AS TIMESTAMP) AS sale_ts,
-         CAST(p.p_partkey AS VARCHAR) AS product_code,
-         trim(p.p_name) AS product_name,
-         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amount,
-         CAST(trunc(l.l_quantity) AS BIGINT) AS quantity,
-         upper(trim(c.c_mktsegment)) AS channel,
-         s.s_name AS seller,
-         'lineitem' AS source_file,
-         l.l_orderkey * 16 + l.l_linenumber AS row_no
-  FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN customer c ON o.o_custkey = c.c_custkey
-  JOIN nation n ON c.c_nationkey = n.n_nationkey
-  JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  JOIN part p ON l.l_partkey = p.p_partkey
-),
+# Consolidation of a stacked standard table ``std`` (columns customer_name,
+# customer_id, region, sale_ts, product_code, product_name, amount, quantity,
+# channel, seller, source_file, source_rank, row_no): clean, dedup on
+# (customer, date-time, code, amount, quantity) keeping the first row in
+# (source, row) order, canonical name, unit price.
+CONSOLIDATE_CTE = """
 valid AS (SELECT * FROM std WHERE sale_ts IS NOT NULL AND amount > 0),
 dedup AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (
       PARTITION BY customer_id, sale_ts, product_code, amount, quantity
-      ORDER BY row_no, customer_name NULLS FIRST, region NULLS FIRST,
+      ORDER BY source_rank, row_no NULLS FIRST, customer_name NULLS FIRST, region NULLS FIRST,
                product_name NULLS FIRST, channel NULLS FIRST, seller NULLS FIRST,
                source_file NULLS FIRST) AS rn
     FROM valid) WHERE rn = 1
@@ -60,6 +40,36 @@ fact AS (
 )"""
 
 
+def sql_norm_id(x: str) -> str:
+    d = f"regexp_replace(CAST({x} AS VARCHAR), '\\D', '', 'g')"
+    return f"(CASE WHEN length({d}) < 14 THEN lpad({d}, 14, '0') ELSE {d} END)"
+
+
+# The fact table from the order tables (FIXTURES §3), consolidated.
+FACT_CTE = f"""
+std AS (
+  SELECT trim(c.c_name) AS customer_name,
+         {sql_norm_id('c.c_custkey')} AS customer_id,
+         upper(trim(n.n_name)) AS region,
+         CAST(l.l_shipdate AS TIMESTAMP) AS sale_ts,
+         CAST(p.p_partkey AS VARCHAR) AS product_code,
+         trim(p.p_name) AS product_name,
+         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amount,
+         CAST(trunc(l.l_quantity) AS BIGINT) AS quantity,
+         upper(trim(c.c_mktsegment)) AS channel,
+         s.s_name AS seller,
+         'lineitem' AS source_file,
+         0 AS source_rank,
+         l.l_orderkey * 16 + l.l_linenumber AS row_no
+  FROM lineitem l
+  JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN part p ON l.l_partkey = p.p_partkey
+),{CONSOLIDATE_CTE}"""
+
+
 def _r(sql: str) -> str:
     """Expand ROUNDn(x) into the library's half-up rounding on doubles."""
     out = []
