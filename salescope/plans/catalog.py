@@ -11,6 +11,9 @@ from ..functions import expressions as E
 from ..operators import customers as C
 from ..operators import forecast as FC
 from ..operators import reports as R
+from ..operators import segments as SG
+from ..operators import stock as ST
+from ..sources import fixtures as FX
 from ..operators import timeseries as TS
 from ..operators import ingest as IG
 from ..sources.fact import sales_fact
@@ -122,6 +125,26 @@ _ingest("normalize_id", IS.NORMALIZE_ID)(_texts("customer_id", E.normalize_id))
 _ingest("synthetic_code", IS.SYNTHETIC_CODE)(_texts("product_name", E.synthetic_code))
 
 
+@register("sku_velocity", QS.SKU_VELOCITY)
+def _sku_velocity(spark, sf_dir):
+    return ST.sku_velocity(sales_fact(spark, sf_dir))
+
+
+@register("stock_status", QS.STOCK_STATUS)
+def _stock_status(spark, sf_dir):
+    return ST.stock_status(sales_fact(spark, sf_dir), FX.stock_table(spark, sf_dir))
+
+
+@register("stock_summary", QS.STOCK_SUMMARY)
+def _stock_summary(spark, sf_dir):
+    return ST.stock_summary(ST.stock_status(sales_fact(spark, sf_dir), FX.stock_table(spark, sf_dir)))
+
+
+@register("rfm_segments")
+def _rfm_segments(spark, sf_dir):
+    return SG.rfm_segments(sales_fact(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

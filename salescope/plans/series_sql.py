@@ -175,3 +175,57 @@ def customer_search_sql(query: str, order: str = "amount DESC", limit: int = 500
     return with_fact(f""", {DETAIL_BODY}
 SELECT * FROM detail WHERE {cond} ORDER BY {order}, customer_id LIMIT {limit}
 """)
+
+# -------------------------------------------------------------------- stock
+
+STOCK_CTE = """,
+days AS (SELECT greatest(date_diff('day', min(sale_date), max(sale_date)) + 1, 1) AS d FROM fact),
+v AS (
+  SELECT product_code, product_canon, CAST(sum(quantity) AS BIGINT) AS units_sold,
+         CAST(sum(amount) AS DOUBLE) AS amount_sold,
+         CASE WHEN sum(quantity) > 0
+              THEN CAST(sum(amount) AS DOUBLE) / CAST(sum(quantity) AS DOUBLE) END AS unit_price,
+         CAST(sum(quantity) AS DOUBLE) / CAST((SELECT coalesce(d, 1) FROM days) AS DOUBLE)
+           AS avg_daily_units
+  FROM fact WHERE product_code IS NOT NULL GROUP BY product_code, product_canon),
+stock AS (SELECT CAST(p_partkey AS VARCHAR) AS product_code, CAST(p_size AS BIGINT) AS units
+          FROM part),
+j AS (
+  SELECT coalesce(v.product_code, s.product_code) AS product_code, v.product_canon,
+         coalesce(v.units_sold, 0) AS units_sold, coalesce(v.amount_sold, 0.0) AS amount_sold,
+         v.unit_price, coalesce(v.avg_daily_units, 0.0) AS daily,
+         CAST(coalesce(s.units, 0) AS BIGINT) AS u
+  FROM v FULL JOIN stock s ON v.product_code = s.product_code),
+st AS (
+  SELECT product_code, product_canon, units_sold, amount_sold, ROUND2(unit_price) AS unit_price,
+         ROUND4(daily) AS avg_daily_units, u AS units_in_stock,
+         ROUND2(CAST(u AS DOUBLE) * coalesce(unit_price, 0.0)) AS stock_value,
+         coalesce(ROUND1(CASE WHEN daily > 0 THEN CAST(u AS DOUBLE) / daily END), 999.0)
+           AS cover_days,
+         CASE WHEN NOT daily > 0 THEN 'ALTO'
+              WHEN CAST(u AS DOUBLE) / daily < 15 THEN 'CRITICO'
+              WHEN CAST(u AS DOUBLE) / daily < 30 THEN 'BAIXO'
+              WHEN CAST(u AS DOUBLE) / daily < 60 THEN 'OK'
+              ELSE 'ALTO' END AS status
+  FROM j)"""
+
+SKU_VELOCITY = with_fact(STOCK_CTE + "\nSELECT * FROM v")
+STOCK_STATUS = with_fact(STOCK_CTE + "\nSELECT * FROM st")
+
+
+def _status_aggs() -> str:
+    parts = []
+    for label in ("CRITICO", "BAIXO", "OK", "ALTO"):
+        parts.append(f"count(*) FILTER (WHERE status = '{label}') AS count_{label.lower()}")
+        parts.append(f"ROUND2(coalesce(sum(stock_value) FILTER (WHERE status = '{label}'), 0.0))"
+                     f" AS value_{label.lower()}")
+    return ", ".join(parts)
+
+
+STOCK_SUMMARY = with_fact(STOCK_CTE + f"""
+SELECT CAST(coalesce(sum(units_in_stock), 0) AS BIGINT) AS units_total,
+       ROUND2(coalesce(sum(stock_value), 0.0)) AS value_total, count(*) AS skus,
+       {_status_aggs()},
+       ROUND1(avg(CASE WHEN cover_days < 999.0 THEN cover_days END)) AS mean_cover_days
+FROM st
+""")
