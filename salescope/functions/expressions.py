@@ -77,13 +77,24 @@ def parse_mixed_date(col) -> Column:
         (num > S.SERIAL_MIN_EXCLUSIVE) & (num < S.SERIAL_MAX_EXCLUSIVE),
         F.timestamp_micros(serial_micros),
     )
+    return F.when(text.isNull() | (text == ""), F.lit(None).cast("timestamp")) \
+        .when(num.isNotNull(), serial) \
+        .otherwise(parse_text_date(text))
+
+
+DATE_SHAPE = r"^[0-9]{1,4}[-/.][0-9]{1,2}[-/.][0-9]{1,4}"
+
+
+def parse_text_date(col) -> Column:
+    """Day-first text (``/``, ``-`` or ``.``, optional time) or ISO text to a
+    timestamp; NULL when it is neither."""
+    text = F.trim(_c(col).cast("string"))
     day_first = [f"d{sep}M{sep}yyyy{t}" for sep in ("/", "-", ".")
                  for t in (" H:mm:ss", " H:mm", "")]
     parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in day_first],
                         text.try_cast("timestamp"))
-    return F.when(text.isNull() | (text == ""), F.lit(None).cast("timestamp")) \
-        .when(num.isNotNull(), serial) \
-        .otherwise(parsed)
+    # only text shaped like a date reaches the parsers (cheap regex first)
+    return F.when(text.rlike(DATE_SHAPE), parsed)
 
 
 def slug(col) -> Column:

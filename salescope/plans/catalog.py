@@ -20,6 +20,7 @@ from ..sources.fact import sales_fact
 from . import consolidate as CO
 from . import ingest_sql as IS
 from . import report_sql as RS
+from . import schema_inference as SI
 from . import series_sql as QS
 
 # Search term of the registered customer-search query (any term works).
@@ -145,6 +146,20 @@ def _rfm_segments(spark, sf_dir):
     return SG.rfm_segments(sales_fact(spark, sf_dir))
 
 
+def _schema(name: str, sql: str | None = None):
+    def deco(fn: Callable[[SI.SchemaInference], DataFrame]):
+        register(name, sql)(lambda spark, sf_dir: fn(SI.SchemaInference(spark, sf_dir)))
+        return fn
+    return deco
+
+
+_schema("profile_columns")(lambda si: si.profiles())
+_schema("train_classifier")(lambda si: si.training_summary())
+_schema("map_columns")(lambda si: si.mapping())
+_schema("mapping_report")(lambda si: si.report())
+_schema("mapping_accuracy")(lambda si: si.accuracy())
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

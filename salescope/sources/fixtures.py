@@ -51,6 +51,17 @@ RENAME_BANK = {
     "quantity": ["Volume", "Pecas", "Qtd Itens"],
     "channel": ["Tipo de Cliente", "Segmento PDV", "Modalidade"],
 }
+# Further known layouts, used only to train the column classifier.
+TRAINING_LAYOUTS = [
+    ("training_e.csv", "source_b.csv", {
+        "customer_name": "Cliente", "customer_id": "CNPJ_CLIENTE", "region": "UF",
+        "sale_date": "Data", "product_code": "EAN", "product_name": "Produto",
+        "amount": "Valor Total Nota", "quantity": "Qtd", "channel": "painel"}),
+    ("training_f.csv", "source_a.csv", {
+        "customer_id": "CNPJ CLIENTE", "region": "UF", "sale_date": "DATA VENDA",
+        "product_name": "PRODUTO", "amount": "VL TOTAL VENDA", "quantity": "QTD TOTAL VENDA",
+        "channel": "PAINEL "}),
+]
 SOURCES = [
     ("source_a.csv", "Distribuidor A", SOURCE_A_HEADERS),
     ("source_b.csv", "Distribuidor B", SOURCE_B_HEADERS),
@@ -178,6 +189,25 @@ def renamed_source(spark: SparkSession, sf_dir: str, name: str = "source_b.csv"
     return raw.select(*cols, "_row_no"), truth
 
 
+def relabelled(raw: DataFrame, headers: dict, layout: dict) -> DataFrame:
+    """The columns of ``raw`` (mapped by ``headers``) under the header names of
+    ``layout``; fields the layout lacks are left out."""
+    return raw.select(*[F.col(f"`{headers[f]}`").alias(col) for f, col in layout.items()],
+                      "_row_no")
+
+
+def training_tables(spark: SparkSession, sf_dir: str) -> list[tuple[str, dict, DataFrame]]:
+    """Tables with a known mapping for training: the readable sources and the
+    further layouts."""
+    out = [(name, dict(h), RAW_BUILDERS[name](spark, sf_dir))
+           for name, _, h in SOURCES if name != "source_d.csv"]
+    base = {name: (h, raw) for name, h, raw in out}
+    for name, src, layout in TRAINING_LAYOUTS:
+        h, raw = base[src]
+        out.append((name, dict(layout), relabelled(raw, h, layout)))
+    return out
+
+
 def stock_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Units in stock per product code (``p_size`` of the part table)."""
     return (read_table(spark, sf_dir, "part")
