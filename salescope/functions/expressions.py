@@ -82,19 +82,24 @@ def parse_mixed_date(col) -> Column:
         .otherwise(parse_text_date(text))
 
 
-DATE_SHAPE = r"^[0-9]{1,4}[-/.][0-9]{1,2}[-/.][0-9]{1,4}"
-
-
 def parse_text_date(col) -> Column:
-    """Day-first text (``/``, ``-`` or ``.``, optional time) or ISO text to a
-    timestamp; NULL when it is neither."""
+    """Day-first text (``/``, ``-`` or ``.``, optional ``H:mm`` or ``H:mm:ss``)
+    or ISO text to a timestamp; NULL when it is neither.
+
+    The text's shape picks the one pattern to try, so no row goes through a
+    chain of failing parses.
+    """
     text = F.trim(_c(col).cast("string"))
-    day_first = [f"d{sep}M{sep}yyyy{t}" for sep in ("/", "-", ".")
-                 for t in (" H:mm:ss", " H:mm", "")]
-    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in day_first],
-                        text.try_cast("timestamp"))
-    # only text shaped like a date reaches the parsers (cheap regex first)
-    return F.when(text.rlike(DATE_SHAPE), parsed)
+    out = None
+    for sep, rx_sep in (("/", "/"), ("-", "-"), (".", "[.]")):
+        for fmt, rx_time in ((" H:mm:ss", " [0-9]{1,2}:[0-9]{2}:[0-9]{2}"),
+                             (" H:mm", " [0-9]{1,2}:[0-9]{2}"), ("", "")):
+            shape = f"^[0-9]{{1,2}}{rx_sep}[0-9]{{1,2}}{rx_sep}[0-9]{{4}}{rx_time}$"
+            parsed = F.try_to_timestamp(text, F.lit(f"d{sep}M{sep}yyyy{fmt}"))
+            out = (F.when(text.rlike(shape), parsed) if out is None
+                   else out.when(text.rlike(shape), parsed))
+    iso = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?)?$"
+    return out.when(text.rlike(iso), text.try_cast("timestamp"))
 
 
 def slug(col) -> Column:

@@ -23,7 +23,7 @@ def missing_required(mapping: Mapping[str, str | None]) -> list[str]:
 
 
 def standardize(raw: DataFrame, mapping: Mapping[str, str | None], seller: str,
-                source_file: str) -> DataFrame:
+                source_file: str | Column) -> DataFrame:
     """One ``select`` from raw text columns to the 11 standard columns.
 
     Optional fields fall back: customer name to the raw id, region to
@@ -58,7 +58,8 @@ def standardize(raw: DataFrame, mapping: Mapping[str, str | None], seller: str,
         (E.normalize_upper(col("channel")) if "channel" in m
          else F.lit(S.UNKNOWN_CHANNEL)).alias("channel"),
         F.lit(seller).alias("seller"),
-        F.lit(source_file).alias("source_file"),
+        (source_file if isinstance(source_file, Column) else F.lit(source_file))
+        .alias("source_file"),
     ]
     if "_row_no" in raw.columns:
         out.append(F.col("_row_no").cast("bigint").alias("_row_no"))

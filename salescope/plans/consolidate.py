@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .. import schema as S
 from ..operators import ingest
 from ..sources import fixtures
+from ..sources.materialize import materialized
 
 LOG_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()),
@@ -68,13 +69,18 @@ def log_for_files(log: DataFrame, files: DataFrame) -> DataFrame:
 class Ingest:
     """The ingest plan over the supplier files of one folder of tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, sources=None):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, sources=None):
+        self.spark, self.sf_dir = spark, sf_dir
         self.sources = sources if sources is not None else fixtures.raw_sources(spark, sf_dir)
         self.frames, self.meta = standardize_all(self.sources)
 
     def stacked(self) -> DataFrame:
-        return ingest.union_sources(self.frames)
+        """U1 over the standardised files. For the given tables the stacked rows
+        are written once (parsing happens once) and read back."""
+        if self.sf_dir is None:
+            return ingest.union_sources(self.frames)
+        return materialized(self.spark, "stacked", self.sf_dir.rstrip("/"),
+                            lambda: ingest.union_sources(self.frames))
 
     def cleaned(self) -> DataFrame:
         return ingest.clean(self.stacked())

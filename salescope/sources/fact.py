@@ -9,20 +9,15 @@ with column pruning, so each report scans only the columns it uses.
 """
 from __future__ import annotations
 
-import hashlib
-import threading
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .. import session as SS
 from ..functions import expressions as E
 from ..operators import ingest
 from ..operators.joins import bounded_broadcast
+from .materialize import materialized
 from .tables import read_table
 
 LINEITEM_SOURCE = "lineitem"
-_lock = threading.Lock()
-_materialized: dict[tuple[str, str], str] = {}
 
 
 def lineitem_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,13 +85,4 @@ def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     the lineage of the five joins and the dedup), so a lost executor only
     recomputes from Parquet, and every report reads pruned columns.
     """
-    app = spark.sparkContext.applicationId
-    key = (app, sf_dir.rstrip("/"))
-    with _lock:
-        path = _materialized.get(key)
-        if path is None or not SS.path_exists(spark, path + "/_SUCCESS"):
-            digest = hashlib.sha1(f"{app}|{key[1]}".encode()).hexdigest()[:16]
-            path = SS.shared_path(spark, f"fact-{digest}")
-            write_fact(build_fact(spark, sf_dir), path)
-            _materialized[key] = path
-    return read_fact(spark, path)
+    return materialized(spark, "fact", sf_dir.rstrip("/"), lambda: build_fact(spark, sf_dir))

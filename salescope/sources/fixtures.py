@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.joins import bounded_broadcast
+from .materialize import materialized
 from .tables import read_table
 
 # --- fixed values: header layouts of the supplier files (field -> header) ---
@@ -168,9 +169,16 @@ RAW_BUILDERS = {
 }
 
 
+def landing_file(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One supplier file as written to the landing folder (all-text Parquet,
+    written once per application in the shared checkpoint folder)."""
+    return materialized(spark, f"landing-{name}", sf_dir.rstrip("/"),
+                        lambda: RAW_BUILDERS[name](spark, sf_dir))
+
+
 def raw_sources(spark: SparkSession, sf_dir: str) -> list[tuple[str, str, dict, DataFrame]]:
     """``(file name, seller, known mapping, raw frame)`` for every supplier file, in file order."""
-    return [(name, seller, dict(headers), RAW_BUILDERS[name](spark, sf_dir))
+    return [(name, seller, dict(headers), landing_file(spark, sf_dir, name))
             for name, seller, headers in SOURCES]
 
 
@@ -179,7 +187,7 @@ def renamed_source(spark: SparkSession, sf_dir: str, name: str = "source_b.csv"
     """A source with every mapped header swapped for an unseen name and the
     columns in reverse order; returns the frame and its true mapping."""
     _, _, headers = next(s for s in SOURCES if s[0] == name)
-    raw = RAW_BUILDERS[name](spark, sf_dir)
+    raw = landing_file(spark, sf_dir, name)
     truth, cols = {}, []
     for i, (field, col) in enumerate(headers.items()):
         new = RENAME_BANK[field][i % len(RENAME_BANK[field])]
@@ -199,7 +207,7 @@ def relabelled(raw: DataFrame, headers: dict, layout: dict) -> DataFrame:
 def training_tables(spark: SparkSession, sf_dir: str) -> list[tuple[str, dict, DataFrame]]:
     """Tables with a known mapping for training: the readable sources and the
     further layouts."""
-    out = [(name, dict(h), RAW_BUILDERS[name](spark, sf_dir))
+    out = [(name, dict(h), landing_file(spark, sf_dir, name))
            for name, _, h in SOURCES if name != "source_d.csv"]
     base = {name: (h, raw) for name, h, raw in out}
     for name, src, layout in TRAINING_LAYOUTS:
