@@ -99,7 +99,9 @@ def parse_text_date(col) -> Column:
             out = (F.when(text.rlike(shape), parsed) if out is None
                    else out.when(text.rlike(shape), parsed))
     iso = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?)?$"
-    return out.when(text.rlike(iso), text.try_cast("timestamp"))
+    out = out.when(text.rlike(iso), text.try_cast("timestamp"))
+    # one cheap test first: most text (names, codes) is not shaped like a date
+    return F.when(text.rlike("^[0-9]{1,4}[-/.][0-9]"), out)
 
 
 def slug(col) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import session as SS
 from ..operators import profile as P
 from ..sources import fixtures as FX
+from ..sources.materialize import materialized
 
 RENAMED_FILE = "source_b_renamed.csv"
 _lock = threading.Lock()
@@ -31,19 +32,18 @@ class SchemaInference:
         self.truths[RENAMED_FILE] = renamed_truth
 
     def profiles(self) -> DataFrame:
-        """M5 over the target files."""
-        return P.profile_columns(self.targets)
-
-    def _profiles_checkpointed(self) -> DataFrame:
-        """Target profiles written to the checkpoint folder: one row per column,
-        reused by scoring without re-reading the raw tables."""
-        return self.profiles().checkpoint(eager=True)
+        """M5 over the target files: one row per column, written once to the
+        shared folder and reused by scoring, report and accuracy."""
+        return materialized(self.spark, "profiles", self.sf_dir.rstrip("/"),
+                            lambda: P.profile_columns(self.targets))
 
     def _training_set(self) -> DataFrame:
-        prof = P.profile_columns([(n, raw) for n, _, raw in self.training])
-        train = P.labelled(prof, self.spark, {n: h for n, h, _ in self.training})
-        # a few dozen rows, read many times by the forest and the folds
-        return train.checkpoint(eager=True)
+        """Labelled profiles of the training files (a few dozen rows, read many
+        times by the forest and the folds), written once."""
+        def build() -> DataFrame:
+            prof = P.profile_columns([(n, raw) for n, _, raw in self.training])
+            return P.labelled(prof, self.spark, {n: h for n, h, _ in self.training})
+        return materialized(self.spark, "training-profiles", self.sf_dir.rstrip("/"), build)
 
     def trained(self):
         """M7: (model, cv accuracy, training rows, saved path), once per app and folder."""
@@ -69,7 +69,7 @@ class SchemaInference:
             F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("train_accuracy"))
 
     def scores(self) -> DataFrame:
-        return P.score(self.trained()[0], self._profiles_checkpointed())
+        return P.score(self.trained()[0], self.profiles())
 
     def mapping(self) -> DataFrame:
         """M6: (source_file, field, column, confidence)."""
