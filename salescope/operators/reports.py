@@ -8,7 +8,7 @@ as a window over the whole table and never through the driver.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import schema as S
 from ..functions.numeric import count_or_zero, half_up, money, ratio, share_pct
@@ -143,6 +143,15 @@ def top_products(fact: DataFrame, n: int = S.TOP_PRODUCTS) -> DataFrame:
             .orderBy(F.desc("amount"), "product_code", "product_canon").limit(n))
 
 
+def product_rank(fact: DataFrame, n: int = S.TOP_PRODUCTS) -> DataFrame:
+    """The product list with its row position (1-based). The position is
+    numbered on the top-``n`` list only, so the window sees ``n`` rows."""
+    top = top_products(fact, n)
+    order = Window.orderBy(F.desc("amount"), "product_code", "product_canon")
+    return top.select(F.row_number().over(order).alias("rank"), "product_code", "product_canon",
+                      "amount", "share_pct")
+
+
 def seller_coverage(fact: DataFrame) -> DataFrame:
     """Active customers per seller and their share of all customers."""
     all_customers = fact.agg(F.countDistinct("customer_id").alias("c")).scalar()

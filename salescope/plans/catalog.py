@@ -16,6 +16,7 @@ from ..operators import stock as ST
 from ..sources import fixtures as FX
 from ..operators import timeseries as TS
 from ..operators import ingest as IG
+from ..sinks.writers import report_meta
 from ..sources.fact import sales_fact
 from . import consolidate as CO
 from . import ingest_sql as IS
@@ -61,6 +62,11 @@ for _name, _op, _sql in [
     ("coverage_by_month", R.coverage_by_month, RS.COVERAGE_BY_MONTH),
     ("highlights", R.highlights, RS.HIGHLIGHTS),
     ("argmax_per_seller", R.argmax_per_seller, RS.ARGMAX_PER_SELLER),
+    ("product_rank", R.product_rank, RS.PRODUCT_RANK),
+    ("basic_group_reports", lambda fact: R.basic_group_reports(fact)["seller"],
+     RS.BASIC_BY_SELLER),
+    ("report_meta", lambda fact: report_meta(fact.sparkSession, fact, False)
+                                 .drop("generated_at", "notes"), RS.REPORT_META),
     ("daily_sales", TS.daily_sales, QS.DAILY_SALES),
     ("weekly_sales", TS.weekly_sales, QS.WEEKLY_SALES),
     ("monthly_sales", TS.monthly_sales, QS.MONTHLY_SALES),
@@ -110,6 +116,15 @@ _ingest("ingest_counts", IS.INGEST_COUNTS)(lambda ig: ig.counts())
 _ingest("ingest_log", IS.INGEST_LOG)(lambda ig: ig.log())
 
 
+@_ingest("preview", IS.PREVIEW)
+def _preview(ig: CO.Ingest) -> DataFrame:
+    """L4: first 5 rows of the first standardised file, with its distinct customers."""
+    std = ig.frames[0]
+    customers = std.agg(F.countDistinct("customer_id")).scalar()
+    return (std.orderBy("_row_no").limit(5)
+               .select(*_STD, "_row_no", customers.alias("file_customers")))
+
+
 @_ingest("log_for_files", IS.LOG_FOR_FILES)
 def _log_for_files(ig: CO.Ingest) -> DataFrame:
     files = ig.spark.createDataFrame([(f,) for f in IS.LOG_FILES], "source_file string")

@@ -195,3 +195,9 @@ LOG_FILES = ["source_b.csv", "source_d.csv"]
 LOG_FOR_FILES = _sql(
     f",{INGEST_LOG_BODY}\nSELECT * FROM logged WHERE source_file IN "
     f"({', '.join(repr(f) for f in LOG_FILES)})")
+
+PREVIEW = _sql(f"""
+SELECT {STD_COLS}, row_no AS _row_no,
+       (SELECT count(DISTINCT customer_id) FROM std_a) AS file_customers
+FROM std_a ORDER BY row_no LIMIT 5
+""")

@@ -163,3 +163,25 @@ FROM {argmax_sql('seller', 'channel', 'best_channel')} a
 JOIN {argmax_sql('seller', 'region', 'best_region')} b ON a.seller = b.seller
 JOIN {argmax_sql('seller', 'product_canon', 'best_product')} c ON a.seller = c.seller
 """)
+
+PRODUCT_RANK = with_fact(f"""
+SELECT row_number() OVER (ORDER BY amount DESC, product_code, product_canon) AS rank,
+       product_code, product_canon, amount, share_pct
+FROM (SELECT g.product_code, g.product_canon, {A} AS amount, {_share('g.a')} AS share_pct
+      FROM (SELECT product_code, product_canon, sum(amount) AS a FROM fact
+            WHERE product_code IS NOT NULL AND product_canon IS NOT NULL
+            GROUP BY product_code, product_canon) g
+      ORDER BY g.a DESC, g.product_code, g.product_canon LIMIT 30)
+""")
+
+BASIC_BY_SELLER = with_fact("""
+SELECT seller, CAST(sum(quantity) AS BIGINT) AS units, count(DISTINCT customer_id) AS customers,
+       CAST(sum(amount) AS DOUBLE) AS amount
+FROM fact WHERE seller IS NOT NULL GROUP BY seller
+""")
+
+REPORT_META = with_fact("""
+SELECT false AS empty, strftime(min(sale_date), '%Y-%m-%d') AS date_min,
+       strftime(max(sale_date), '%Y-%m-%d') AS date_max, 14 AS horizon_days
+FROM fact
+""")
