@@ -57,9 +57,17 @@ def normalize_id(col) -> Column:
     return F.when(F.length(digits) < S.ID_WIDTH, F.lpad(digits, S.ID_WIDTH, "0")).otherwise(digits)
 
 
+NUMBER_SHAPE = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def to_number(col) -> Column:
-    """Text to double, NULL when not a number."""
-    return F.trim(_c(col).cast("string")).try_cast("double")
+    """Text to double, NULL when not a number.
+
+    A cheap shape test runs first: only number-like text reaches the cast,
+    so names and dates never pay for a failed parse.
+    """
+    text = F.trim(_c(col).cast("string"))
+    return F.when(text.rlike(NUMBER_SHAPE), text.try_cast("double"))
 
 
 def parse_mixed_date(col) -> Column:
@@ -71,7 +79,7 @@ def parse_mixed_date(col) -> Column:
     then as ISO. Unparsable text is NULL.
     """
     text = F.trim(_c(col).cast("string"))
-    num = text.try_cast("double")
+    num = to_number(text)
     serial_micros = F.floor((num - F.lit(25569.0)) * F.lit(86400000000.0) + F.lit(0.5))
     serial = F.when(
         (num > S.SERIAL_MIN_EXCLUSIVE) & (num < S.SERIAL_MAX_EXCLUSIVE),

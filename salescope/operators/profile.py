@@ -62,9 +62,14 @@ def profile_columns(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     num = E.to_number(v)
     is_num = num.isNotNull() & ~F.isnan(num)
     is_int = is_num & ((num % F.lit(1.0)) == 0)
-    digits = F.length(num.try_cast("decimal(38,0)").cast("string"))
+    # characters of the integer as text (sign included), by arithmetic
+    digits = (F.when(num == 0, F.lit(1))
+               .otherwise(F.floor(F.log10(F.abs(num))) + 1 + F.when(num < 0, 1).otherwise(0)))
     up = F.upper(F.trim(v))
-    kw_hit = F.exists(F.array(*[F.lit(k) for k in S.CHANNEL_KEYWORDS]), lambda k: up.contains(k))
+    # an OR of contains (not a lambda over an array) keeps the aggregate in codegen
+    kw_hit = None
+    for k in S.CHANNEL_KEYWORDS:
+        kw_hit = up.contains(k) if kw_hit is None else (kw_hit | up.contains(k))
     g = cells.groupBy("source_file", "column").agg(
         F.count(v).alias("_nn"), F.count_if(is_num).alias("_num"), F.count_if(is_int).alias("_int"),
         F.avg(F.when(is_num, num)).alias("_mean"), F.stddev_samp(F.when(is_num, num)).alias("_std"),
@@ -75,10 +80,14 @@ def profile_columns(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
         F.count_if(is_num & num.between(S.PROFILE_SERIAL_MIN, S.PROFILE_SERIAL_MAX)).alias("_ser"),
         F.count_if(v.isNotNull() & ~is_num & E.parse_text_date(v).isNotNull()).alias("_date"),
         F.avg(F.length(v)).alias("_mlen"), F.max(F.length(v)).alias("_xlen"),
-        F.countDistinct(v).alias("_dist"),
         F.count_if(up.isin(*S.REGION_CODES)).alias("_uf"),
         F.count_if(v.isNotNull() & kw_hit).alias("_kw"),
     )
+    # distinct values per column in their own aggregation: the wide one above
+    # then has no distinct expansion and runs as a plain hash aggregate
+    distinct = (cells.where(v.isNotNull()).select("source_file", "column", "value").distinct()
+                     .groupBy("source_file", "column").agg(F.count(F.lit(1)).alias("_dist")))
+    g = g.join(distinct, ["source_file", "column"], "left").fillna(0, ["_dist"])
     n = F.greatest(F.col("_nn"), F.lit(1)).cast("double")
 
     def frac(c: str, den: Column = n) -> Column:

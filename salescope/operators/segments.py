@@ -34,11 +34,22 @@ def standardized(r: DataFrame) -> DataFrame:
     return r.select("*", *cols)
 
 
+ROWS_PER_PARTITION = 200_000
+
+
 def assign_clusters(r: DataFrame, k: int = S.SEGMENT_COUNT, seed: int = S.SEGMENT_SEED,
                     n_init: int = S.SEGMENT_INITS, max_iter: int = 100) -> DataFrame:
-    """Customers with their cluster id (``prediction``)."""
+    """Customers with their cluster id (``prediction``).
+
+    The feature table is cached for the iterations, in partitions sized to
+    its row count: every KMeans iteration is one job, so a few rows spread
+    over many partitions would be all scheduling.
+    """
     vec = VectorAssembler(inputCols=[f"z_{c}" for c in FEATURES], outputCol="features")
-    data = vec.transform(standardized(r)).persist(StorageLevel.MEMORY_AND_DISK)
+    features = vec.transform(standardized(r))
+    rows = r.count()
+    parts = max(1, -(-rows // ROWS_PER_PARTITION))
+    data = features.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         def fit(i: int):
             model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=1e-4,

@@ -34,15 +34,16 @@ class SchemaInference:
     def profiles(self) -> DataFrame:
         """M5 over the target files: one row per column, written once to the
         shared folder and reused by scoring, report and accuracy."""
+        # one row per column of the files: a single partition holds it
         return materialized(self.spark, "profiles", self.sf_dir.rstrip("/"),
-                            lambda: P.profile_columns(self.targets))
+                            lambda: P.profile_columns(self.targets).coalesce(1))
 
     def _training_set(self) -> DataFrame:
         """Labelled profiles of the training files (a few dozen rows, read many
         times by the forest and the folds), written once."""
         def build() -> DataFrame:
             prof = P.profile_columns([(n, raw) for n, _, raw in self.training])
-            return P.labelled(prof, self.spark, {n: h for n, h, _ in self.training})
+            return P.labelled(prof, self.spark, {n: h for n, h, _ in self.training}).coalesce(1)
         return materialized(self.spark, "training-profiles", self.sf_dir.rstrip("/"), build)
 
     def trained(self):
