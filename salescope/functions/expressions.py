@@ -71,7 +71,7 @@ def to_number(col) -> Column:
 
 
 def parse_mixed_date(col) -> Column:
-    """P5: Excel serial, day-first text or ISO text to a timestamp.
+    """P5: Excel serial, day-first text or ISO text to a timestamp (without zone).
 
     A value that reads as a number is a serial date only strictly inside
     (20000, 80000), fraction of day kept; any other number is NULL. Text is
@@ -85,9 +85,11 @@ def parse_mixed_date(col) -> Column:
         (num > S.SERIAL_MIN_EXCLUSIVE) & (num < S.SERIAL_MAX_EXCLUSIVE),
         F.timestamp_micros(serial_micros),
     )
-    return F.when(text.isNull() | (text == ""), F.lit(None).cast("timestamp")) \
+    parsed = F.when(text.isNull() | (text == ""), F.lit(None).cast("timestamp")) \
         .when(num.isNotNull(), serial) \
         .otherwise(parse_text_date(text))
+    # wall-clock time, as in the source (no time zone attached)
+    return parsed.cast("timestamp_ntz")
 
 
 def parse_text_date(col) -> Column:

@@ -15,7 +15,7 @@ STANDARD_SCHEMA = T.StructType([
     T.StructField("customer_name", T.StringType()),
     T.StructField("customer_id", T.StringType()),
     T.StructField("region", T.StringType()),
-    T.StructField("sale_date", T.TimestampType()),
+    T.StructField("sale_date", T.TimestampNTZType()),
     T.StructField("product_code", T.StringType()),
     T.StructField("product_name", T.StringType()),
     T.StructField("amount", T.DecimalType(18, 2)),

@@ -47,7 +47,7 @@ def lineitem_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         E.normalize_text("c_name").alias("customer_name"),
         E.normalize_id(F.col("c_custkey").cast("string")).alias("customer_id"),
         E.normalize_upper("n_name").alias("region"),
-        F.col("l_shipdate").cast("timestamp").alias("sale_date"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("sale_date"),
         F.col("p_partkey").cast("string").alias("product_code"),
         E.normalize_text("p_name").alias("product_name"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
