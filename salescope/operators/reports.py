@@ -41,6 +41,32 @@ def argmax_label(fact: DataFrame, key: str, label: str, value: str = "amount",
                .select(key, F.col("_m.lbl").alias(out)))
 
 
+def argmax_labels(fact: DataFrame, key: str, labels: dict[str, str],
+                  value: str = "amount") -> DataFrame:
+    """W2 for several labels in one scan: per ``key``, for each ``label`` the
+    value with the largest summed ``value`` (ties: smallest label), as column
+    ``labels[label]``.
+
+    One grouping-sets aggregation sums per (key, label) for every label at
+    once, then one aggregation per key keeps ``min(struct(-sum, label))`` for
+    each set; both steps combine map-side.
+    """
+    names = list(labels)
+    sets = [[F.col(key), F.col(lbl)] for lbl in names]
+    per = (fact.where(F.col(key).isNotNull())
+               .groupingSets(sets, key, *names)
+               .agg(F.sum(value).alias("_v"), F.grouping_id().alias("_gid")))
+    n = len(names)
+    best = []
+    for i, lbl in enumerate(names):
+        # grouping_id has a 1 bit for every label column left out of the set
+        gid = sum(1 << (n - 1 - j) for j in range(n) if j != i)
+        pick = F.when((F.col("_gid") == gid) & F.col(lbl).isNotNull(),
+                      F.struct((-F.col("_v")).alias("nv"), F.col(lbl).alias("lbl")))
+        best.append(F.min(pick)["lbl"].alias(labels[lbl]))
+    return per.groupBy(key).agg(*best)
+
+
 def kpis(fact: DataFrame) -> DataFrame:
     """A1: sixteen global metrics in one row."""
     g = fact.agg(
@@ -87,11 +113,9 @@ def by_seller(fact: DataFrame) -> DataFrame:
         ratio(money("_a"), "units").alias("unit_price"),
         share_pct("_a", total_amount(fact)).alias("share_pct"),
     )
-    for label in ("channel", "region", "product_canon"):
-        best = argmax_label(fact, "seller", label,
-                            out="best_product" if label == "product_canon" else None)
-        out = out.join(best, "seller", "left")
-    return out.orderBy(F.desc("amount"), "seller")
+    best = argmax_labels(fact, "seller", {"channel": "best_channel", "region": "best_region",
+                                          "product_canon": "best_product"})
+    return out.join(best, "seller", "left").orderBy(F.desc("amount"), "seller")
 
 
 def by_channel(fact: DataFrame) -> DataFrame:
@@ -260,9 +284,8 @@ def highlights(fact: DataFrame) -> DataFrame:
 
 def argmax_per_seller(fact: DataFrame) -> DataFrame:
     """W2 on its own: best channel, region and product per seller."""
-    out = argmax_label(fact, "seller", "channel")
-    out = out.join(argmax_label(fact, "seller", "region"), "seller")
-    return out.join(argmax_label(fact, "seller", "product_canon", out="best_product"), "seller")
+    return argmax_labels(fact, "seller", {"channel": "best_channel", "region": "best_region",
+                                          "product_canon": "best_product"})
 
 
 def basic_group_reports(fact: DataFrame) -> dict[str, DataFrame]:

@@ -158,12 +158,14 @@ FROM {_peak('sale_date', 'd')},
 """)
 
 ARGMAX_PER_SELLER = with_fact(f"""
-SELECT a.seller, a.best_channel, b.best_region, c.best_product
-FROM {argmax_sql('seller', 'channel', 'best_channel')} a
-JOIN {argmax_sql('seller', 'region', 'best_region')} b ON a.seller = b.seller
-JOIN {argmax_sql('seller', 'product_canon', 'best_product')} c ON a.seller = c.seller
+SELECT s.seller, a.best_channel, b.best_region, c.best_product
+FROM (SELECT DISTINCT seller FROM fact WHERE seller IS NOT NULL) s
+LEFT JOIN {argmax_sql('seller', 'channel', 'best_channel')} a ON s.seller = a.seller
+LEFT JOIN {argmax_sql('seller', 'region', 'best_region')} b ON s.seller = b.seller
+LEFT JOIN {argmax_sql('seller', 'product_canon', 'best_product')} c ON s.seller = c.seller
 """)
 
+
 PRODUCT_RANK = with_fact(f"""
 SELECT row_number() OVER (ORDER BY amount DESC, product_code, product_canon) AS rank,
        product_code, product_canon, amount, share_pct
