@@ -46,10 +46,14 @@ def assign_clusters(r: DataFrame, k: int = S.SEGMENT_COUNT, seed: int = S.SEGMEN
     over many partitions would be all scheduling.
     """
     vec = VectorAssembler(inputCols=[f"z_{c}" for c in FEATURES], outputCol="features")
-    features = vec.transform(standardized(r))
+    # the per-customer table is read by the count, the scaler statistics and
+    # the features: cache it so the fact is aggregated once
+    r = r.persist(StorageLevel.MEMORY_AND_DISK)
     rows = r.count()
     parts = max(1, -(-rows // ROWS_PER_PARTITION))
-    data = features.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    data = vec.transform(standardized(r)).repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    data.count()
+    r.unpersist()
     try:
         def fit(i: int):
             model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=1e-4,
@@ -57,11 +61,15 @@ def assign_clusters(r: DataFrame, k: int = S.SEGMENT_COUNT, seed: int = S.SEGMEN
             return model.summary.trainingCost, i, model
 
         # the fits are independent Spark jobs over the same cached features;
-        # submitting them from a few threads lets the scheduler overlap them
-        with ThreadPoolExecutor(max_workers=max(1, min(n_init, 4))) as pool:
+        # submitting them from several threads lets the scheduler overlap them
+        # (as many at once as there are partitions per core to keep busy)
+        slots = max(1, r.sparkSession.sparkContext.defaultParallelism // parts)
+        with ThreadPoolExecutor(max_workers=max(1, min(n_init, slots))) as pool:
             fits = list(pool.map(fit, range(n_init)))
         best = min(fits, key=lambda t: (t[0], t[1]))[2]
-        return best.transform(data).drop("features")
+        # assignments written to the checkpoint folder while the features are
+        # cached, so reading them later does not re-aggregate the fact
+        return best.transform(data).drop("features").checkpoint(eager=True)
     finally:
         data.unpersist()
 
