@@ -168,7 +168,7 @@ def _schema(name: str, sql: str | None = None):
     return deco
 
 
-_schema("profile_columns")(lambda si: si.profiles())
+_schema("profile_columns", IS.PROFILE_COLUMNS)(lambda si: si.profiles())
 _schema("train_classifier")(lambda si: si.training_summary())
 _schema("map_columns")(lambda si: si.mapping())
 _schema("mapping_report")(lambda si: si.report())

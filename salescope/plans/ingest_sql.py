@@ -201,3 +201,118 @@ SELECT {STD_COLS}, row_no AS _row_no,
        (SELECT count(DISTINCT customer_id) FROM std_a) AS file_customers
 FROM std_a ORDER BY row_no LIMIT 5
 """)
+
+# ------------------------------------------------------------ column profiles
+
+NUMBER_SHAPE = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def sql_text_date(t: str) -> str:
+    """Day-first or ISO text to a timestamp, by the text's shape (as the Spark side)."""
+    branches = []
+    for sep, rx_sep in (("/", "/"), ("-", "-"), (".", "[.]")):
+        for fmt, rx_time in ((" %H:%M:%S", " [0-9]{1,2}:[0-9]{2}:[0-9]{2}"),
+                             (" %H:%M", " [0-9]{1,2}:[0-9]{2}"), ("", "")):
+            shape = f"^[0-9]{{1,2}}{rx_sep}[0-9]{{1,2}}{rx_sep}[0-9]{{4}}{rx_time}$"
+            branches.append(f"WHEN regexp_matches({t}, '{shape}') "
+                            f"THEN try_strptime({t}, '%d{sep}%m{sep}%Y{fmt}')")
+    iso = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?)?$"
+    branches.append(f"WHEN regexp_matches({t}, '{iso}') THEN TRY_CAST({t} AS TIMESTAMP)")
+    return (f"(CASE WHEN regexp_matches({t}, '^[0-9]{{1,4}}[-/.][0-9]') THEN "
+            f"(CASE {' '.join(branches)} END) END)")
+
+
+def _renamed_b() -> list[tuple[str, str]]:
+    out = []
+    for i, (field, col) in enumerate(B.items()):
+        bank = FX.RENAME_BANK[field]
+        out.append((col, bank[i % len(bank)]))
+    return list(reversed(out))
+
+
+def _profile_tables() -> list[tuple[str, str, list[tuple[str, str]]]]:
+    d = FX.SOURCE_D_HEADERS
+    return [
+        ("source_a.csv", "raw_a", [(c, c) for c in A.values()]),
+        ("source_b.csv", "raw_b", [(c, c) for c in B.values()]),
+        ("source_c.csv", "raw_c", [(c, c) for c in C.values()]),
+        ("source_d.csv", "raw_d", [(c, c) for c in d.values()]),
+        ("source_b_renamed.csv", "raw_b", _renamed_b()),
+    ]
+
+
+def _header_flag(col: str, kws: list[str]) -> str:
+    tokens = f"string_split(trim(regexp_replace(lower({col}), '[^a-z0-9]+', ' ', 'g')), ' ')"
+    kin = " OR ".join(f"contains(t, '{k}')" for k in kws)
+    tin = " OR ".join(f"contains('{k}', t)" for k in kws)
+    return (f"CASE WHEN len(list_filter({tokens}, lambda t: ({kin}) OR "
+            f"(length(t) >= 2 AND ({tin})))) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END")
+
+
+def _profile_sql() -> str:
+    from .. import schema as S
+    d = FX.SOURCE_D_HEADERS
+    raw_d = (f"raw_d AS (SELECT event_type AS {q(d['channel'])}, props AS {q(d['product_name'])}"
+             f" FROM events)")
+    cells = " UNION ALL ".join(
+        f"SELECT '{name}' AS source_file, '{new.replace(chr(39), chr(39) * 2)}' AS \"column\", "
+        f"CAST({q(old)} AS VARCHAR) AS value FROM {cte}"
+        for name, cte, cols in _profile_tables() for old, new in cols)
+    kw = " OR ".join(f"contains(up, '{k}')" for k in S.CHANNEL_KEYWORDS)
+    ufs = ", ".join(f"'{u}'" for u in S.REGION_CODES)
+    feat = f"""
+cells AS ({cells}),
+cell_feats AS (
+  SELECT source_file, "column", value, num, up,
+         (num IS NOT NULL AND NOT isnan(num)) AS is_num,
+         (num IS NOT NULL AND NOT isnan(num) AND num % 1.0 = 0) AS is_int,
+         CASE WHEN num = 0 THEN 1 ELSE floor(log10(abs(num))) + 1
+              + CASE WHEN num < 0 THEN 1 ELSE 0 END END AS digits,
+         {sql_text_date('t')} AS dt
+  FROM (SELECT *, CASE WHEN regexp_matches(t, '{NUMBER_SHAPE}') THEN TRY_CAST(t AS DOUBLE) END AS num,
+               upper(t) AS up
+        FROM (SELECT *, trim(value) AS t FROM cells))),
+agg AS (
+  SELECT source_file, "column", count(value) AS nn,
+         count(*) FILTER (WHERE is_num) AS nnum, count(*) FILTER (WHERE is_int) AS nint,
+         avg(CASE WHEN is_num THEN num END) AS mean, stddev_samp(CASE WHEN is_num THEN num END) AS sd,
+         max(CASE WHEN is_num THEN num END) AS mx, min(CASE WHEN is_num THEN num END) AS mn,
+         count(*) FILTER (WHERE is_int AND digits = 14) AS l14,
+         count(*) FILTER (WHERE is_int AND digits BETWEEN 12 AND 13) AS l1213,
+         count(*) FILTER (WHERE is_int AND digits BETWEEN 8 AND 14) AS l814,
+         count(*) FILTER (WHERE is_num AND num BETWEEN 30000 AND 80000) AS ser,
+         count(*) FILTER (WHERE value IS NOT NULL AND NOT is_num AND dt IS NOT NULL) AS ndate,
+         avg(length(value)) AS mlen, max(length(value)) AS xlen,
+         count(DISTINCT value) AS dist,
+         count(*) FILTER (WHERE up IN ({ufs})) AS nuf,
+         count(*) FILTER (WHERE value IS NOT NULL AND ({kw})) AS nkw
+  FROM cell_feats GROUP BY source_file, "column"),
+prof AS (
+  SELECT source_file, "column",
+         {', '.join(f"ROUND6({_header_flag(chr(34) + 'column' + chr(34), S.HEADER_KEYWORDS[f])}) AS hdr_{f}" for f in S.FIELDS)},
+         ROUND6(nnum / CAST(greatest(nn, 1) AS DOUBLE)) AS pct_num,
+         ROUND6(nint / CAST(greatest(nnum, 1) AS DOUBLE)) AS pct_int,
+         ROUND6(coalesce(CASE WHEN NOT isnan(mean) THEN mean END, 0.0)) AS num_mean,
+         ROUND6(coalesce(CASE WHEN NOT isnan(sd) THEN sd END, 0.0)) AS num_std,
+         ROUND6(coalesce(CASE WHEN NOT isnan(mx) THEN mx END, 0.0)) AS num_max,
+         ROUND6(coalesce(CASE WHEN NOT isnan(mn) THEN mn END, 0.0)) AS num_min,
+         ROUND6(l14 / CAST(greatest(nint, 1) AS DOUBLE)) AS pct_len14,
+         ROUND6(l1213 / CAST(greatest(nint, 1) AS DOUBLE)) AS pct_len12_13,
+         ROUND6(l814 / CAST(greatest(nint, 1) AS DOUBLE)) AS pct_len8_14,
+         ROUND6(ser / CAST(greatest(nn, 1) AS DOUBLE)) AS pct_excel_serial,
+         ROUND6(ndate / CAST(greatest(nn, 1) AS DOUBLE)) AS pct_date,
+         ROUND6(coalesce(mlen, 0.0)) AS mean_len,
+         ROUND6(CAST(coalesce(xlen, 0) AS DOUBLE)) AS max_len,
+         ROUND6(dist / CAST(greatest(nn, 1) AS DOUBLE)) AS distinct_ratio,
+         ROUND6(nuf / CAST(greatest(nn, 1) AS DOUBLE)) AS pct_uf,
+         ROUND6(nkw / CAST(greatest(nn, 1) AS DOUBLE)) AS pct_canal_kw
+  FROM agg)
+SELECT *, CASE WHEN pct_num > 0.9 AND pct_int < 0.5 AND num_mean > 1 AND num_mean < 100000
+               THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS money_like,
+          CASE WHEN mean_len > 18 AND distinct_ratio > 0.05
+               THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS product_like
+FROM prof"""
+    return _r(f"WITH {RAW_CTE},\n{raw_d},{feat}")
+
+
+PROFILE_COLUMNS = _profile_sql()
