@@ -55,8 +55,9 @@ def header_flag(column: Column, keywords: Sequence[str]) -> Column:
     return hit.cast("int").cast("double")
 
 
-def profile_columns(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """M5: one row of features per (source_file, column)."""
+def content_profile(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+    """M5 content features (everything but the header flags) per
+    (source_file, column), rounded to 6 decimals."""
     cells = long_values(tables)
     v = F.col("value")
     num = E.to_number(v)
@@ -94,26 +95,53 @@ def profile_columns(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
         return F.col(c).cast("double") / den
 
     nz = lambda c: F.coalesce(F.when(~F.isnan(F.col(c)), F.col(c)), F.lit(0.0))
+    per_int = F.greatest(F.col("_int"), F.lit(1)).cast("double")
     feats = {
-        **{f"hdr_{f}": header_flag(F.col("column"), S.HEADER_KEYWORDS[f]) for f in S.FIELDS},
         "pct_num": frac("_num"),
         "pct_int": frac("_int", F.greatest(F.col("_num"), F.lit(1)).cast("double")),
         "num_mean": nz("_mean"), "num_std": nz("_std"), "num_max": nz("_max"), "num_min": nz("_min"),
-        "pct_len14": frac("_l14", F.greatest(F.col("_int"), F.lit(1)).cast("double")),
-        "pct_len12_13": frac("_l1213", F.greatest(F.col("_int"), F.lit(1)).cast("double")),
-        "pct_len8_14": frac("_l814", F.greatest(F.col("_int"), F.lit(1)).cast("double")),
+        "pct_len14": frac("_l14", per_int), "pct_len12_13": frac("_l1213", per_int),
+        "pct_len8_14": frac("_l814", per_int),
         "pct_excel_serial": frac("_ser"), "pct_date": frac("_date"),
         "mean_len": F.coalesce(F.col("_mlen"), F.lit(0.0)),
         "max_len": F.coalesce(F.col("_xlen"), F.lit(0)).cast("double"),
         "distinct_ratio": frac("_dist"), "pct_uf": frac("_uf"), "pct_canal_kw": frac("_kw"),
     }
-    out = g.select("source_file", "column",
-                   *[half_up(c, 6).alias(k) for k, c in feats.items()])
+    return g.select("source_file", "column", *[half_up(c, 6).alias(k) for k, c in feats.items()])
+
+
+def with_header_flags(content: DataFrame) -> DataFrame:
+    """Full M5 rows: header flags from the column name, content features, and
+    the two derived flags, in the fixed feature order."""
     money = ((F.col("pct_num") > 0.9) & (F.col("pct_int") < 0.5)
              & (F.col("num_mean") > 1) & (F.col("num_mean") < 100000))
     product = (F.col("mean_len") > 18) & (F.col("distinct_ratio") > 0.05)
-    return out.select("*", money.cast("double").alias("money_like"),
-                      product.cast("double").alias("product_like"))
+    hdr = [half_up(header_flag(F.col("column"), S.HEADER_KEYWORDS[f]), 6).alias(f"hdr_{f}")
+           for f in S.FIELDS]
+    return content.select("source_file", "column", *hdr,
+                          *[c for c in CONTENT_FEATURES if c not in ("money_like", "product_like")],
+                          money.cast("double").alias("money_like"),
+                          product.cast("double").alias("product_like"))
+
+
+def relabel(content: DataFrame, spark: SparkSession,
+            renames: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """Content profiles of (file, column) pairs seen under other names: rows
+    ``(source_file, column, new_file, new_column)``. The same values have the
+    same content features, so only the names change (the map has one row per
+    column)."""
+    m = spark.createDataFrame(list(renames), "source_file string, column string, "
+                                             "new_file string, new_column string")
+    return (content.join(F.broadcast(m), ["source_file", "column"])
+                   .drop("source_file", "column")
+                   .withColumnRenamed("new_file", "source_file")
+                   .withColumnRenamed("new_column", "column")
+                   .select(*content.columns))
+
+
+def profile_columns(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+    """M5: one row of features per (source_file, column)."""
+    return with_header_flags(content_profile(tables))
 
 
 def labelled(profiles: DataFrame, spark: SparkSession,

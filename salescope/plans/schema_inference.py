@@ -26,23 +26,38 @@ class SchemaInference:
         self.spark, self.sf_dir = spark, sf_dir
         self.training = FX.training_tables(spark, sf_dir)
         renamed, renamed_truth = FX.renamed_source(spark, sf_dir)
-        self.targets = [(name, raw) for name, _, _, raw in FX.raw_sources(spark, sf_dir)]
-        self.targets.append((RENAMED_FILE, renamed))
+        self.base = [(name, raw) for name, _, _, raw in FX.raw_sources(spark, sf_dir)]
+        self.files = {name for name, _ in self.base}
+        self.targets = self.base + [(RENAMED_FILE, renamed)]
         self.truths = {name: h for name, _, h in FX.SOURCES}
         self.truths[RENAMED_FILE] = renamed_truth
 
+    def _content(self) -> DataFrame:
+        """Content features of the four supplier files, computed once (one row
+        per column, a single partition holds them). Files that are the same
+        data under other headers reuse these rows."""
+        return materialized(self.spark, "content-profiles", self.sf_dir.rstrip("/"),
+                            lambda: P.content_profile(self.base).coalesce(1))
+
     def profiles(self) -> DataFrame:
-        """M5 over the target files: one row per column, written once to the
-        shared folder and reused by scoring, report and accuracy."""
-        # one row per column of the files: a single partition holds it
-        return materialized(self.spark, "profiles", self.sf_dir.rstrip("/"),
-                            lambda: P.profile_columns(self.targets).coalesce(1))
+        """M5 over the target files (the renamed file reuses its source's content)."""
+        renamed = [("source_b.csv", old, RENAMED_FILE, new)
+                   for old, new in FX.renamed_headers("source_b.csv").items()]
+        content = self._content()
+        return P.with_header_flags(content.unionByName(P.relabel(content, self.spark, renamed)))
 
     def _training_set(self) -> DataFrame:
         """Labelled profiles of the training files (a few dozen rows, read many
         times by the forest and the folds), written once."""
         def build() -> DataFrame:
-            prof = P.profile_columns([(n, raw) for n, _, raw in self.training])
+            content = self._content()
+            known = {n for n, _, _ in self.training}
+            renames = []
+            for name, src, layout in FX.TRAINING_LAYOUTS:
+                src_headers = dict(next(h for n, _, h in FX.SOURCES if n == src))
+                renames += [(src, src_headers[f], name, col) for f, col in layout.items()]
+            base = content.where(F.col("source_file").isin(*[n for n in known if n in self.files]))
+            prof = P.with_header_flags(base.unionByName(P.relabel(content, self.spark, renames)))
             return P.labelled(prof, self.spark, {n: h for n, h, _ in self.training}).coalesce(1)
         return materialized(self.spark, "training-profiles", self.sf_dir.rstrip("/"), build)
 

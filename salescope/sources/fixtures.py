@@ -182,17 +182,22 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> list[tuple[str, str, dict,
             for name, seller, headers in SOURCES]
 
 
+def renamed_headers(name: str = "source_b.csv") -> dict[str, str]:
+    """Old header -> unseen header for every mapped column of a source."""
+    _, _, headers = next(s for s in SOURCES if s[0] == name)
+    return {col: RENAME_BANK[field][i % len(RENAME_BANK[field])]
+            for i, (field, col) in enumerate(headers.items())}
+
+
 def renamed_source(spark: SparkSession, sf_dir: str, name: str = "source_b.csv"
                    ) -> tuple[DataFrame, dict]:
     """A source with every mapped header swapped for an unseen name and the
     columns in reverse order; returns the frame and its true mapping."""
     _, _, headers = next(s for s in SOURCES if s[0] == name)
     raw = landing_file(spark, sf_dir, name)
-    truth, cols = {}, []
-    for i, (field, col) in enumerate(headers.items()):
-        new = RENAME_BANK[field][i % len(RENAME_BANK[field])]
-        truth[field] = new
-        cols.append(F.col(f"`{col}`").alias(new))
+    new = renamed_headers(name)
+    truth = {field: new[col] for field, col in headers.items()}
+    cols = [F.col(f"`{col}`").alias(new[col]) for col in headers.values()]
     cols.reverse()
     return raw.select(*cols, "_row_no"), truth
 

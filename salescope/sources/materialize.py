@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import session as SS
 
-_lock = threading.Lock()
+_lock = threading.RLock()
 _paths: dict[tuple[str, ...], str] = {}
 
 
