@@ -18,10 +18,11 @@ Every row of the inputs reaches a source; nothing is sampled.
 """
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.joins import bounded_broadcast
-from .materialize import materialized
+from .materialize import is_materialized, materialize_lock, materialized
 from .tables import read_table
 
 # --- fixed values: header layouts of the supplier files (field -> header) ---
@@ -99,9 +100,9 @@ def _serial_text(col: str):
     return F.datediff(F.to_date(F.col(col)), F.lit("1899-12-30").cast("date")).cast("string")
 
 
-def raw_source_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_source_a(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     h = SOURCE_A_HEADERS
-    li = _lines(spark, sf_dir).where(F.col("l_orderkey") % 3 != 0)
+    li = (lines if lines is not None else _lines(spark, sf_dir)).where(F.col("l_orderkey") % 3 != 0)
     pid = F.lpad(F.col("c_custkey").cast("string"), 14, "0")
     punct = F.concat(F.substring(pid, 1, 2), F.lit("."), F.substring(pid, 3, 3), F.lit("."),
                      F.substring(pid, 6, 3), F.lit("/"), F.substring(pid, 9, 4), F.lit("-"),
@@ -122,9 +123,9 @@ def raw_source_a(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_orderkey") * 16 + F.col("l_linenumber")).cast("bigint").alias("_row_no"))
 
 
-def raw_source_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_source_b(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     h = SOURCE_B_HEADERS
-    li = _lines(spark, sf_dir).where(F.col("l_orderkey") % 3 != 1)
+    li = (lines if lines is not None else _lines(spark, sf_dir)).where(F.col("l_orderkey") % 3 != 1)
     date_text = (F.when(F.col("l_orderkey") % 3 == 0, F.date_format("l_shipdate", "yyyy-MM-dd"))
                   .otherwise(F.date_format("l_shipdate", "dd/MM/yyyy")))
     bad = F.col("l_orderkey") % 5 == 0
@@ -176,8 +177,26 @@ def landing_file(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
                         lambda: RAW_BUILDERS[name](spark, sf_dir))
 
 
+def write_landing(spark: SparkSession, sf_dir: str) -> None:
+    """Write every supplier file once. The two line-item files share one join
+    of the order tables, cached while both are written."""
+    with materialize_lock():
+        if all(is_materialized(spark, f"landing-{n}", sf_dir.rstrip("/")) for n, _, _ in SOURCES):
+            return
+        lines = _lines(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for name, build in (("source_a.csv", raw_source_a), ("source_b.csv", raw_source_b)):
+                materialized(spark, f"landing-{name}", sf_dir.rstrip("/"),
+                             lambda b=build: b(spark, sf_dir, lines))
+        finally:
+            lines.unpersist()
+        for name in ("source_c.csv", "source_d.csv"):
+            landing_file(spark, sf_dir, name)
+
+
 def raw_sources(spark: SparkSession, sf_dir: str) -> list[tuple[str, str, dict, DataFrame]]:
     """``(file name, seller, known mapping, raw frame)`` for every supplier file, in file order."""
+    write_landing(spark, sf_dir)
     return [(name, seller, dict(headers), landing_file(spark, sf_dir, name))
             for name, seller, headers in SOURCES]
 
