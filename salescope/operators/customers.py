@@ -77,7 +77,7 @@ def customer_detail(fact: DataFrame) -> DataFrame:
         "customer_id", "customer_name", "region", "channel", "seller",
         money("_a").alias("amount"), "units", "transactions", "active_days", "products",
         "first_purchase", "last_purchase",
-        F.datediff(ref, F.col("last_purchase")).alias("recency_days"),
+        F.datediff(ref, F.col("last_purchase")).cast("bigint").alias("recency_days"),
         ratio(money("_a"), "transactions").alias("ticket"),
     )
     return (out.join(top_product_per_customer(fact), "customer_id", "left")
@@ -92,7 +92,7 @@ def rfm(fact: DataFrame) -> DataFrame:
              .groupBy("customer_id")
              .agg(F.max("sale_date").alias("_last"), F.countDistinct("sale_date").alias("frequency"),
                   F.sum("amount").alias("_a")))
-    return g.select("customer_id", F.datediff(ref, F.col("_last")).alias("recency"),
+    return g.select("customer_id", F.datediff(ref, F.col("_last")).cast("bigint").alias("recency"),
                     "frequency", money("_a").alias("monetary"))
 
 

@@ -172,7 +172,7 @@ def product_rank(fact: DataFrame, n: int = S.TOP_PRODUCTS) -> DataFrame:
     numbered on the top-``n`` list only, so the window sees ``n`` rows."""
     top = top_products(fact, n)
     order = Window.orderBy(F.desc("amount"), "product_code", "product_canon")
-    return top.select(F.row_number().over(order).alias("rank"), "product_code", "product_canon",
+    return top.select(F.row_number().over(order).cast("bigint").alias("rank"), "product_code", "product_canon",
                       "amount", "share_pct")
 
 

@@ -78,7 +78,7 @@ def daily_xy(fact: DataFrame) -> DataFrame:
     d = (fact.where(F.col("sale_date").isNotNull())
              .groupBy("sale_date").agg(F.sum("amount").alias("_a")))
     return d.select("sale_date",
-                    (F.row_number().over(Window.orderBy("sale_date")) - 1).alias("day_index"),
+                    (F.row_number().over(Window.orderBy("sale_date")) - 1).cast("bigint").alias("day_index"),
                     F.col("_a").cast("double").alias("amount"))
 
 

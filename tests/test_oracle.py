@@ -9,6 +9,9 @@ from conftest import SF_SMALL
 from tools.check_oracle import digest
 
 SQL = entry.oracle_sql()
+# Spark simple type -> DuckDB type name
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -19,6 +22,10 @@ def test_query_matches_oracle(spark, duck, name):
     o_cols = [d[0] for d in cur.description]
     o_rows = cur.fetchall()
     assert sorted(s_cols) == sorted(o_cols)
+    o_types = {d[0]: str(d[1]) for d in duck.execute(f"DESCRIBE {SQL[name]}").fetchall()}
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        assert TYPES.get(t, t.upper()) == o_types[f.name], (f.name, t, o_types[f.name])
     assert len(s_rows) == len(o_rows)
     assert digest(s_cols, s_rows)[0] == digest(o_cols, o_rows)[0]
 
