@@ -175,6 +175,14 @@ _schema("mapping_report")(lambda si: si.report())
 _schema("mapping_accuracy")(lambda si: si.accuracy())
 
 
+@_schema("consolidate_inferred", IS.CONSOLIDATE_INFERRED)
+def _consolidate_inferred(si: SI.SchemaInference) -> DataFrame:
+    """Upload flow: every file standardised with the mapping the classifier
+    inferred (files lacking a required field are quarantined), then consolidated."""
+    sources = CO.inferred_sources(si.spark, si.sf_dir, si.mapping())
+    return CO.Ingest(si.spark, si.sf_dir, sources=sources, tag="inferred").fact()
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -69,8 +69,9 @@ def log_for_files(log: DataFrame, files: DataFrame) -> DataFrame:
 class Ingest:
     """The ingest plan over the supplier files of one folder of tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str | None = None, sources=None):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, sources=None,
+                 tag: str = "known"):
+        self.spark, self.sf_dir, self.tag = spark, sf_dir, tag
         self.sources = sources if sources is not None else fixtures.raw_sources(spark, sf_dir)
         self.frames, self.meta = standardize_all(self.sources)
 
@@ -79,7 +80,7 @@ class Ingest:
         are written once (parsing happens once) and read back."""
         if self.sf_dir is None:
             return ingest.union_sources(self.frames)
-        return materialized(self.spark, "stacked", self.sf_dir.rstrip("/"),
+        return materialized(self.spark, f"stacked-{self.tag}", self.sf_dir.rstrip("/"),
                             lambda: ingest.union_sources(self.frames))
 
     def cleaned(self) -> DataFrame:
@@ -109,6 +110,26 @@ class Ingest:
         return out
 
 
+AUTO_SELLER_PREFIX = "Auto · "  # fixed value: seller of a file whose mapping was inferred
+
+
+def auto_seller(file_name: str) -> str:
+    """Default seller of an uploaded file: the prefix and the file name without extension."""
+    return AUTO_SELLER_PREFIX + file_name.rsplit(".", 1)[0]
+
+
+def inferred_sources(spark: SparkSession, sf_dir: str, mapping: DataFrame
+                     ) -> list[tuple[str, str, dict, DataFrame]]:
+    """The supplier files with the column mapping the classifier inferred
+    (``mapping``: source_file, field, column, confidence). The mapping has at
+    most nine rows per file, so it is read back as metadata."""
+    inferred: dict[str, dict[str, str]] = {}
+    for r in mapping.select("source_file", "field", "column").collect():
+        inferred.setdefault(r["source_file"], {})[r["field"]] = r["column"]
+    return [(name, auto_seller(name), inferred.get(name, {}), raw)
+            for name, _, _, raw in fixtures.raw_sources(spark, sf_dir)]
+
+
 def empty_fact(spark: SparkSession) -> DataFrame:
     """K4: a fact table with no rows and the fixed 13-column schema."""
     return spark.createDataFrame([], S.FACT_SCHEMA)

@@ -118,15 +118,18 @@ def _std(raw: str, m: dict, seller: str, source: str, rank: int) -> str:
          {rank} AS source_rank, row_no FROM {raw}"""
 
 
-STD_A = _std("raw_a", A, "Distribuidor A", "source_a.csv", 0)
-STD_B = _std("raw_b", B, "Distribuidor B", "source_b.csv", 1)
-STD_C = _std("raw_c", C, "Distribuidor C", "source_c.csv", 2)
-STD_CTE = f""",
-std_a AS ({STD_A}),
-std AS ({STD_A}
-  UNION ALL {STD_B}
-  UNION ALL {STD_C}),"""
-
+def _std_cte(sellers: tuple[str, str, str]) -> str:
+    std_a = _std("raw_a", A, sellers[0], "source_a.csv", 0)
+    std_b = _std("raw_b", B, sellers[1], "source_b.csv", 1)
+    std_c = _std("raw_c", C, sellers[2], "source_c.csv", 2)
+    return f""",
+std_a AS ({std_a}),
+std AS ({std_a}
+  UNION ALL {std_b}
+  UNION ALL {std_c}),"""
+
+
+STD_CTE = _std_cte(("Distribuidor A", "Distribuidor B", "Distribuidor C"))
 INGEST_WITH = f"WITH {RAW_CTE}{STD_CTE}{CONSOLIDATE_CTE}\n"
 
 STD_COLS = ("customer_name, customer_id, region, sale_ts AS sale_date, product_code, "
@@ -316,3 +319,10 @@ FROM prof"""
 
 
 PROFILE_COLUMNS = _profile_sql()
+
+# The same consolidation when every file's mapping is inferred (sellers get
+# the default "Auto · <file stem>"): equal to the known-mapping result only if
+# the classifier maps every field of every readable file right.
+CONSOLIDATE_INFERRED = _r(
+    f"WITH {RAW_CTE}{_std_cte(('Auto · source_a', 'Auto · source_b', 'Auto · source_c'))}"
+    f"{CONSOLIDATE_CTE}\nSELECT * FROM fact")
