@@ -5,6 +5,7 @@ Every function takes and returns a ``Column`` so it composes inside one
 """
 from __future__ import annotations
 
+import datetime as dt
 import unicodedata
 
 from pyspark.sql import Column, functions as F
@@ -33,12 +34,8 @@ def _accent_table() -> tuple[str, str]:
 
 
 _ACCENT_SRC, _ACCENT_DST = _accent_table()
-
-
-def blank_to_null(col) -> Column:
-    """Trimmed text, NULL when empty."""
-    t = F.trim(_c(col))
-    return F.when(t == "", F.lit(None).cast("string")).otherwise(t)
+# days from the Excel epoch to 1970-01-01
+EPOCH_TO_UNIX_DAYS = (dt.date(1970, 1, 1) - dt.date.fromisoformat(S.EXCEL_EPOCH)).days
 
 
 def normalize_text(col) -> Column:
@@ -80,7 +77,8 @@ def parse_mixed_date(col) -> Column:
     """
     text = F.trim(_c(col).cast("string"))
     num = to_number(text)
-    serial_micros = F.floor((num - F.lit(25569.0)) * F.lit(86400000000.0) + F.lit(0.5))
+    serial_micros = F.floor((num - F.lit(float(EPOCH_TO_UNIX_DAYS))) * F.lit(86400000000.0)
+                            + F.lit(0.5))
     serial = F.when(
         (num > S.SERIAL_MIN_EXCLUSIVE) & (num < S.SERIAL_MAX_EXCLUSIVE),
         F.timestamp_micros(serial_micros),

@@ -23,24 +23,6 @@ def total_amount(fact: DataFrame) -> Column:
     return fact.agg(F.sum("amount").alias("t")).scalar()
 
 
-def argmax_label(fact: DataFrame, key: str, label: str, value: str = "amount",
-                 out: str | None = None) -> DataFrame:
-    """Per ``key``, the ``label`` with the largest summed ``value``; ties go to
-    the smallest label.
-
-    Two aggregations with map-side combine (sum per key and label, then
-    ``min(struct(-sum, label))`` per key), so a hot key never lands whole in
-    one task.
-    """
-    out = out or f"best_{label}"
-    per = (fact.where(F.col(key).isNotNull() & F.col(label).isNotNull())
-               .groupBy(key, label).agg(F.sum(value).alias("_v")))
-    return (per.groupBy(key)
-               .agg(F.min(F.struct((-F.col("_v")).alias("nv"), F.col(label).alias("lbl")))
-                    .alias("_m"))
-               .select(key, F.col("_m.lbl").alias(out)))
-
-
 def argmax_labels(fact: DataFrame, key: str, labels: dict[str, str],
                   value: str = "amount") -> DataFrame:
     """W2 for several labels in one scan: per ``key``, for each ``label`` the

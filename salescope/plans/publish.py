@@ -5,6 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import schema as S
 from ..operators import customers as C
 from ..operators import forecast as FC
 from ..operators import reports as R
@@ -28,7 +29,7 @@ def report_builders(stock: DataFrame | None = None) -> dict[str, Callable[[DataF
         "segments": SG.rfm_segments, "customers": C.customer_detail,
     }
     if stock is not None:
-        out["stock"] = lambda fact: ST.stock_status(fact, stock)
+        out["stock"] = lambda fact: ST.stock_status(fact, stock).limit(S.STOCK_LIST_ROWS)
         out["stock_summary"] = lambda fact: ST.stock_summary(ST.stock_status(fact, stock))
     return out
 

@@ -60,7 +60,6 @@ INACTIVE_CUSTOMER_DAYS = 30  # strict
 STOCK_STATUS_BANDS = [(15, "CRITICO"), (30, "BAIXO"), (60, "OK")]
 STOCK_STATUS_TOP = "ALTO"
 NO_SALES_COVER_DAYS = 999.0
-STOCK_TARGET_DAYS = 60
 # Segment labels by falling mean monetary value; further clusters are "Cluster i".
 SEGMENT_LABELS = ["Campeões", "Leais", "Em desenvolvimento", "Em risco"]
 SEGMENT_COUNT = 4
@@ -96,10 +95,3 @@ HEADER_KEYWORDS = {
     "channel": ["canal", "painel", "segmento"],
 }
 # --- end of fixed values ---
-
-MAPPING_SCHEMA = T.StructType([
-    T.StructField("source_file", T.StringType()),
-    T.StructField("field", T.StringType()),
-    T.StructField("column", T.StringType()),
-    T.StructField("confidence", T.DoubleType()),
-])

@@ -7,7 +7,6 @@ runs, a checkpoint folder when none is configured.
 from __future__ import annotations
 
 import tempfile
-import uuid
 
 from pyspark.sql import SparkSession
 
@@ -79,10 +78,6 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *parts])
 
 
-def fresh_shared_path(spark: SparkSession, prefix: str) -> str:
-    return shared_path(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through the Hadoop file system of the session."""
     jvm = spark.sparkContext._jvm
@@ -91,9 +86,5 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 __all__ = ["get_session", "prepare", "checkpoint_dir", "shared_path",
-           "fresh_shared_path", "path_exists", "local_path"]
+           "path_exists"]

@@ -19,22 +19,12 @@ _lock = threading.RLock()
 _paths: dict[tuple[str, ...], str] = {}
 
 
-def materialize_lock() -> threading.RLock:
-    """The lock that serialises the first write of shared tables."""
-    return _lock
-
-
 def _path(spark: SparkSession, kind: str, key: str) -> tuple[tuple[str, ...], str]:
     k = (spark.sparkContext.applicationId, kind, key)
     digest = hashlib.sha1("|".join(k).encode()).hexdigest()[:16]
     return k, SS.shared_path(spark, f"{kind}-{digest}")
 
 
-def is_materialized(spark: SparkSession, kind: str, key: str) -> bool:
-    _, path = _path(spark, kind, key)
-    return SS.path_exists(spark, path + "/_SUCCESS")
-
-
 def materialized(spark: SparkSession, kind: str, key: str,
                  build: Callable[[], DataFrame]) -> DataFrame:
     """``build()`` written once under ``<checkpoint dir>/<kind>-<digest>``, read back."""
