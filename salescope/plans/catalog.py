@@ -18,6 +18,7 @@ from ..operators import timeseries as TS
 from ..operators import ingest as IG
 from ..sinks.writers import report_meta
 from ..sources.fact import sales_fact
+from ..streaming.landing import stream_landing_file
 from . import consolidate as CO
 from . import ingest_sql as IS
 from . import report_sql as RS
@@ -183,6 +184,13 @@ def _consolidate_inferred(si: SI.SchemaInference) -> DataFrame:
     return CO.Ingest(si.spark, si.sf_dir, sources=sources, tag="inferred").fact()
 
 
+@register("landing_stream", IS.STREAM_SOURCE_A)
+def _landing_stream(spark, sf_dir):
+    """Structured Streaming ingest of a supplier file dropped as CSV into a
+    landing folder, then consolidated (file names aside)."""
+    return stream_landing_file(spark, sf_dir, "source_a.csv").drop("source_file")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
