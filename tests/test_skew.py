@@ -11,7 +11,7 @@ from decimal import Decimal
 
 import pandas as pd
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from salescope import schema as S
 from salescope.operators import customers as C
@@ -91,3 +91,19 @@ def test_plans_have_no_window_over_fact_rows(spark, stacked):
         assert "Window" not in plan
         # every aggregation is split into a partial (map-side) and a final step
         assert "Partial" in plan or "partial_" in plan
+
+
+def test_broadcast_only_behind_a_proven_bound(spark):
+    from salescope.operators.joins import bounded_broadcast, has_at_most
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    assert has_at_most(small, 10) and not has_at_most(big, 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = spark.range(5000).select((F.col("id") % 1000).alias("k"))
+        hinted = _plan(fact.join(bounded_broadcast(small, max_rows=10), "k"))
+        unhinted = _plan(fact.join(bounded_broadcast(big, max_rows=10), "k"))
+        assert "BroadcastHashJoin" in hinted
+        assert "BroadcastHashJoin" not in unhinted and "SortMergeJoin" in unhinted
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
