@@ -15,10 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import session as SS
 
-_lock = threading.RLock()
+_guard = threading.Lock()
+_locks: dict[tuple[str, ...], threading.RLock] = {}
 _paths: dict[tuple[str, ...], str] = {}
 
 
+def _lock_for(k: tuple[str, ...]) -> threading.RLock:
+    """One lock per table: the same table is written once, different tables
+    may be written at the same time."""
+    with _guard:
+        return _locks.setdefault(k, threading.RLock())
+
+
 def _path(spark: SparkSession, kind: str, key: str) -> tuple[tuple[str, ...], str]:
     k = (spark.sparkContext.applicationId, kind, key)
     digest = hashlib.sha1("|".join(k).encode()).hexdigest()[:16]
@@ -29,7 +37,7 @@ def materialized(spark: SparkSession, kind: str, key: str,
                  build: Callable[[], DataFrame]) -> DataFrame:
     """``build()`` written once under ``<checkpoint dir>/<kind>-<digest>``, read back."""
     k, path = _path(spark, kind, key)
-    with _lock:
+    with _lock_for(k):
         if _paths.get(k) != path or not SS.path_exists(spark, path + "/_SUCCESS"):
             build().write.mode("overwrite").parquet(path)
             _paths[k] = path
