@@ -18,13 +18,18 @@ def _c(col) -> Column:
 
 
 def _accent_table() -> tuple[str, str]:
-    """Letters of Latin-1 and Latin Extended-A/B with their ASCII base letter.
+    """Characters of the Basic Multilingual Plane with their ASCII base.
 
     Built by rule from Unicode NFKD: a character maps to its decomposition
-    when that keeps exactly one ASCII character (``é`` -> ``e``).
+    when that keeps exactly one ASCII character (``é`` -> ``e``, fullwidth
+    ``Ａ`` -> ``A``). Characters whose decomposition keeps several ASCII
+    characters (ligatures such as ``ﬁ``) are dropped with the other
+    non-ASCII characters.
     """
     src, dst = [], []
-    for code in range(0x00A0, 0x0250):
+    for code in range(0x00A0, 0x10000):
+        if 0xD800 <= code <= 0xDFFF:
+            continue
         ch = chr(code)
         base = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
         if len(base) == 1 and base != ch:
