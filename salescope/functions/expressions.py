@@ -39,6 +39,27 @@ def _accent_table() -> tuple[str, str]:
 
 
 _ACCENT_SRC, _ACCENT_DST = _accent_table()
+
+# Blocks where a character's decomposition spells several ASCII characters
+# that product names use (fractions, ligature letters, ellipsis, ™, №, Roman
+# numerals): Latin-1 Supplement, Latin Extended-A/B, General Punctuation,
+# Letterlike Symbols, Number Forms.
+SPELLED_BLOCKS = [(0x00A0, 0x0250), (0x2000, 0x2070), (0x2100, 0x2190)]
+
+
+def _spelled_table() -> list[tuple[str, str]]:
+    """(character, ASCII spelling) for multi-letter NFKD decompositions, by rule."""
+    out = []
+    for lo, hi in SPELLED_BLOCKS:
+        for code in range(lo, hi):
+            ch = chr(code)
+            base = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
+            if len(base) > 1:
+                out.append((ch, base))
+    return out
+
+
+_SPELLED = _spelled_table()
 # days from the Excel epoch to 1970-01-01
 EPOCH_TO_UNIX_DAYS = (dt.date(1970, 1, 1) - dt.date.fromisoformat(S.EXCEL_EPOCH)).days
 
@@ -117,9 +138,20 @@ def parse_text_date(col) -> Column:
     return F.when(text.rlike("^[0-9]{1,4}[-/.][0-9]"), out)
 
 
+def spell_out(col) -> Column:
+    """Characters whose decomposition spells several ASCII letters (``½`` ->
+    ``12``, ``™`` -> ``TM``) written out; only rows with a non-ASCII character
+    go through the literal replacements."""
+    text = _c(col).cast("string")
+    out = text
+    for ch, base in _SPELLED:
+        out = F.replace(out, F.lit(ch), F.lit(base))
+    return F.when(text.rlike(r"[^\x00-\x7F]"), out).otherwise(text)
+
+
 def slug(col) -> Column:
     """ASCII-fold, runs of non-alphanumerics to ``_``, trim ``_``, upper."""
-    folded = F.translate(_c(col).cast("string"), _ACCENT_SRC, _ACCENT_DST)
+    folded = F.translate(spell_out(col), _ACCENT_SRC, _ACCENT_DST)
     ascii_only = F.regexp_replace(folded, r"[^\x00-\x7F]", "")
     joined = F.regexp_replace(ascii_only, r"[^A-Za-z0-9]+", "_")
     return F.upper(F.regexp_replace(joined, r"^_+|_+$", ""))

@@ -25,12 +25,14 @@ def model_id(v: str) -> str:
 
 
 def fold(ch: str) -> str:
-    """ASCII stays; otherwise the NFKD decomposition when it keeps one ASCII
-    character; anything else is dropped (the documented rule)."""
+    """ASCII stays; otherwise the NFKD decomposition's ASCII part when it is one
+    character, or when the character is in a spelled block; anything else is
+    dropped (the documented rule)."""
     if ord(ch) < 128:
         return ch
     base = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
-    return base if len(base) == 1 else ""
+    spelled = any(lo <= ord(ch) < hi for lo, hi in E.SPELLED_BLOCKS)
+    return base if len(base) == 1 or spelled else ""
 
 
 def model_synthetic(v: str) -> str:
@@ -40,8 +42,11 @@ def model_synthetic(v: str) -> str:
 
 ids = st.text(alphabet="0123456789.-/ ()", max_size=22)
 # letters whose decomposition keeps at most one ASCII character, plus punctuation
-names = st.text(alphabet=st.characters(min_codepoint=32, max_codepoint=0x24F,
-                                       blacklist_categories=("Cs", "Cc")), max_size=40)
+names = st.text(alphabet=st.one_of(
+    st.characters(min_codepoint=32, max_codepoint=0x24F, blacklist_categories=("Cs", "Cc")),
+    st.characters(min_codepoint=0x2000, max_codepoint=0x218F, blacklist_categories=("Cs", "Cc")),
+    st.characters(min_codepoint=0x3000, max_codepoint=0xFFEF, blacklist_categories=("Cs", "Cc"))),
+    max_size=40)
 
 
 @SETTINGS
