@@ -25,6 +25,8 @@ def read_raw(spark: SparkSession, paths: str | list[str], fmt: str = "csv") -> D
         df = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
     else:
         raise ValueError(f"unsupported raw format: {fmt}")
+    # a byte-order mark at the start of a file ends up in the first header
+    df = df.select(*[F.col(f"`{c}`").alias(c.lstrip("\ufeff")) for c in df.columns])
     return df.select("*", F.col("_metadata.file_name").alias("source_file"),
                      F.monotonically_increasing_id().alias("_row_no"))
 

@@ -103,3 +103,15 @@ def test_publish_and_empty_state(spark):
     meta = [json.loads(line) for f in os.listdir(w2["meta"]) if f.endswith(".json")
             for line in open(os.path.join(w2["meta"], f))]
     assert meta[0]["empty"] is True
+
+
+def test_read_raw_strips_byte_order_mark(spark):
+    from salescope.sources.raw import read_raw
+    folder = tempfile.mkdtemp(prefix="bom-")
+    path = os.path.join(folder, "with_bom.csv")
+    with open(path, "w", encoding="utf-8-sig") as f:
+        f.write("CNPJ,Produto,UN \n12.345,Soro ½,3\n")
+    df = read_raw(spark, path)
+    assert df.columns[:3] == ["CNPJ", "Produto", "UN "]
+    row = df.collect()[0]
+    assert row["CNPJ"] == "12.345" and row["Produto"] == "Soro ½" and row["source_file"] == "with_bom.csv"
