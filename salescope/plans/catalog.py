@@ -10,13 +10,13 @@ from .. import session as SS
 from ..functions import expressions as E
 from ..operators import customers as C
 from ..operators import forecast as FC
+from ..operators import ingest as IG
 from ..operators import reports as R
 from ..operators import segments as SG
 from ..operators import stock as ST
-from ..sources import fixtures as FX
 from ..operators import timeseries as TS
-from ..operators import ingest as IG
 from ..sinks.writers import report_meta
+from ..sources import fixtures as FX
 from ..sources.fact import sales_fact
 from ..streaming.landing import stream_landing_file
 from . import consolidate as CO
@@ -100,7 +100,7 @@ def _ingest(name: str, sql: str | None):
     return deco
 
 
-_STD = [c for c in IG.STANDARD_COLUMNS]
+_STD = list(IG.STANDARD_COLUMNS)
 _ingest("standardize", IS.STANDARDIZE)(lambda ig: ig.frames[0].select(*_STD))
 _ingest("union_sources", IS.UNION_SOURCES)(
     lambda ig: ig.stacked().select(*_STD, F.col("_source_rank").alias("source_rank")))
