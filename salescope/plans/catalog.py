@@ -18,7 +18,7 @@ from ..operators import timeseries as TS
 from ..sinks.writers import report_meta
 from ..sources import fixtures as FX
 from ..sources.fact import sales_fact
-from ..streaming.landing import stream_landing_file
+from ..streaming.landing import stream_supplier_files
 from . import consolidate as CO
 from . import ingest_sql as IS
 from . import report_sql as RS
@@ -184,11 +184,11 @@ def _consolidate_inferred(si: SI.SchemaInference) -> DataFrame:
     return CO.Ingest(si.spark, si.sf_dir, sources=sources, tag="inferred").fact()
 
 
-@register("landing_stream", IS.STREAM_SOURCE_A)
+@register("landing_stream", IS.STREAM_SOURCES)
 def _landing_stream(spark, sf_dir):
-    """Structured Streaming ingest of a supplier file dropped as CSV into a
-    landing folder, then consolidated (file names aside)."""
-    return stream_landing_file(spark, sf_dir, "source_a.csv").drop("source_file")
+    """Structured Streaming ingest of the supplier files dropped as CSV into
+    landing folders, then consolidated (the part-file names aside)."""
+    return stream_supplier_files(spark, sf_dir).drop("source_file")
 
 
 def queries() -> dict[str, Query]:

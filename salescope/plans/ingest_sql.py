@@ -327,8 +327,7 @@ CONSOLIDATE_INFERRED = _r(
     f"WITH {RAW_CTE}{_std_cte(('Auto · source_a', 'Auto · source_b', 'Auto · source_c'))}"
     f"{CONSOLIDATE_CTE}\nSELECT * FROM fact")
 
-# Source A alone, consolidated (the streaming ingest of its CSV file); the
-# file name column is left out, the stream sees Spark's part-file names.
-STREAM_SOURCE_A = _r(
-    f"WITH {RAW_CTE}{STD_CTE}" + CONSOLIDATE_CTE.replace("FROM std WHERE", "FROM std_a WHERE")
-    + "\nSELECT * EXCLUDE (source_file) FROM fact")
+# Every readable supplier file, consolidated (the streaming ingest of their
+# CSV files); the file name column is left out, the stream sees Spark's
+# part-file names.
+STREAM_SOURCES = _sql("SELECT * EXCLUDE (source_file) FROM fact")
