@@ -101,7 +101,14 @@ def _ingest(name: str, sql: str | None):
 
 
 _STD = list(IG.STANDARD_COLUMNS)
-_ingest("standardize", IS.STANDARDIZE)(lambda ig: ig.frames[0].select(*_STD))
+@_ingest("standardize", IS.STANDARDIZE)
+def _standardize(ig: CO.Ingest) -> DataFrame:
+    """Every readable supplier file mapped to the 11 standard columns."""
+    out = None
+    for df in ig.frames:
+        df = df.select(*_STD)
+        out = df if out is None else out.unionByName(df)
+    return out
 _ingest("union_sources", IS.UNION_SOURCES)(
     lambda ig: ig.stacked().select(*_STD, F.col("_source_rank").alias("source_rank")))
 _ingest("clean", IS.CLEAN)(

@@ -140,7 +140,7 @@ def _sql(body: str) -> str:
     return _r(INGEST_WITH + body)
 
 
-STANDARDIZE = _sql(f"SELECT {STD_COLS} FROM std_a")
+STANDARDIZE = _sql(f"SELECT {STD_COLS} FROM std")
 UNION_SOURCES = _sql(f"SELECT {STD_COLS}, source_rank FROM std")
 CLEAN = _sql(f"SELECT {STD_COLS}, source_rank FROM valid")
 DISTINCT_DEDUP = _sql(f"SELECT {STD_COLS}, source_rank FROM dedup")
