@@ -95,6 +95,12 @@ def test_publish_and_empty_state(spark):
     assert {"kpis", "by_seller", "customers", "stock", "meta"} <= set(written)
     k = spark.read.json(written["kpis"]).collect()[0]
     assert k.transactions == fact.count()
+    # the stock list shows the top rows by value, the summary counts every SKU
+    stock_rows = spark.read.json(written["stock"])
+    skus = FX.stock_table(spark, SF_SMALL).select("product_code").union(
+        fact.select("product_code")).distinct().count()
+    assert stock_rows.count() == min(S.STOCK_LIST_ROWS, skus)
+    assert spark.read.json(written["stock_summary"]).collect()[0].skus == skus
     daily = spark.read.json(written["daily_sales"]).collect()
     assert len(daily[0].period) == 10                    # yyyy-MM-dd text
     empty_out = tempfile.mkdtemp(prefix="empty-")
