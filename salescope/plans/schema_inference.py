@@ -99,3 +99,14 @@ class SchemaInference:
     def accuracy(self) -> DataFrame:
         """M8."""
         return P.mapping_accuracy(self.spark, self.mapping(), self.truths)
+
+
+def infer_mappings(spark: SparkSession, model, tables) -> dict[str, dict[str, str]]:
+    """Column mapping of every raw table with a trained forest (M5 + M6):
+    ``{file name: {field: column}}``. The tables are profiled on the
+    cluster; only the mapping (at most nine rows per file) comes back."""
+    m = P.mutual_best(P.score(model, P.profile_columns(list(tables))))
+    out: dict[str, dict[str, str]] = {}
+    for r in m.select("source_file", "field", "column").collect():
+        out.setdefault(r["source_file"], {})[r["field"]] = r["column"]
+    return out

@@ -121,3 +121,29 @@ def test_read_raw_strips_byte_order_mark(spark):
     assert df.columns[:3] == ["CNPJ", "Produto", "UN "]
     row = df.collect()[0]
     assert row["CNPJ"] == "12.345" and row["Produto"] == "Soro ½" and row["source_file"] == "with_bom.csv"
+
+
+def test_user_flow_on_a_landing_folder(spark):
+    """The README example: scan a folder, infer mappings, consolidate, write, publish."""
+    from salescope.plans.consolidate import auto_seller
+    from salescope.plans.publish import publish
+    from salescope.plans.schema_inference import infer_mappings
+    from salescope.sources.fact import read_fact, write_fact
+    folder = tempfile.mkdtemp(prefix="landing-")
+    _write_csv_files(spark, folder)
+    out = tempfile.mkdtemp(prefix="out-")
+
+    files = scan_landing(spark, folder)
+    model = SchemaInference(spark, SF_SMALL).trained()[0]
+    mappings = infer_mappings(spark, model, files)
+    ig = Ingest(spark, sources=[(n, auto_seller(n), mappings.get(n, {}), df) for n, df in files])
+    write_fact(ig.fact(), out + "/fact")
+    written = publish(spark, read_fact(spark, out + "/fact"), out + "/reports")
+
+    known = {n: h for n, _, h in FX.SOURCES}
+    assert all(mappings[n] == known[n] for n, _ in files)
+    fact = read_fact(spark, out + "/fact")
+    assert fact.count() == Ingest(spark, SF_SMALL).fact().count()
+    assert {r.seller for r in fact.select("seller").distinct().collect()} == \
+        {"Auto · source_a", "Auto · source_b", "Auto · source_c"}
+    assert "by_seller" in written
