@@ -57,6 +57,8 @@ def _write_csv_files(spark, folder):
 def test_csv_landing_round_trip(spark):
     folder = tempfile.mkdtemp(prefix="landing-")
     _write_csv_files(spark, folder)
+    with open(os.path.join(folder, "planilha.xlsx"), "wb") as f:   # not a readable format
+        f.write(b"PK\x03\x04")
     files = scan_landing(spark, folder)
     assert [n for n, _ in files] == ["source_a.csv", "source_b.csv", "source_c.csv"]
     known = {n: (s, h) for n, s, h in FX.SOURCES}
