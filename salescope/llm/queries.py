@@ -5,10 +5,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding
+from . import mixing, packing, sharding, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.query,
+    "op2_packing": packing.query,
+    "op4_token_output": token_output.query,
     "op8_mixing": mixing.query,
 }
 SQL: dict[str, str] = {
