@@ -1,15 +1,18 @@
 """Token ids of whole texts by a byte-level BPE of the ``tokenizers`` library.
 
-The pre-tokenizer always cuts before a single space between two visible
-characters, so a text is encoded as its space-separated parts and each
-distinct part is handed to the tokenizer once per worker (a cache of at most
-``CACHE_PARTS`` parts; parts beyond it are encoded once per batch). A text
-with anything else next to a space, or with the string of an added token, is
-encoded in one piece. The ids are those of ``Tokenizer.encode``.
+The pre-tokenizer always cuts before a single space between two characters
+that are no white space, so a text is encoded as its space-separated parts,
+and each distinct part goes through the tokenizer once per worker: a worker
+keeps the ids of the first ``CACHE_PARTS`` parts it meets and encodes others
+once per batch. Parts are handed over joined by spaces; a part's ids begin at
+the token that starts with a space. A text with other white space next to a
+space, or with the string of an added token, is encoded in one piece. The ids
+are those of ``Tokenizer.encode``.
 """
 from __future__ import annotations
 
 import os
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +20,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import common as C
 
-CACHE_PARTS = 200_000
+CACHE_PARTS = 400_000
 BATCH_CHARS = 1 << 21
+JOINED_PARTS = 2_000       # parts handed to the tokenizer as one string
+BESIDE_SPACE = [x for c in " \n\t\r\v\f" for x in (" " + c, c + " ")]
+OTHER_SPACES = "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -27,99 +33,84 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class _Parts(dict):
-    """part -> number in the pool; a missing part is noted and gives -1."""
-
-    def __init__(self):
-        super().__init__()
-        self.missed: list[str] = []
-
-    def __missing__(self, part: str) -> int:
-        self.missed.append(part)
-        return -1
-
-
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        size = self.tokenizer.get_vocab_size()
+        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
         self.whole = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] + ["\x00"]
-        self._empty()
-
-    def _empty(self) -> None:
-        self.parts = _Parts()
-        self.pool = np.zeros(1 << 16, np.uint32)
-        self.used = 0
-        self.bounds = [0]
-
-    @staticmethod
-    def _visible(c: str) -> bool:
-        return "!" <= c <= "~" or c.isalnum()
-
-    def _add(self, missed: list[str]) -> None:
-        known = [p for p in dict.fromkeys(missed)]
-        texts, safe = [], []
-        for p in known:
-            body = p[1:] if p[0:1] == "\x00" else p
-            if body and self._visible(body[0]) and self._visible(body[-1]):
-                safe.append(p)
-                texts.append(body if p[0] == "\x00" else " " + body)
-            else:
-                self.parts[p] = -2
-        for p, e in zip(safe, self._encode(texts)):
-            ids = e.ids
-            end = self.used + len(ids)
-            if end > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), np.uint32)])
-            self.pool[self.used:end] = ids
-            self.parts[p] = len(self.bounds) - 1
-            self.bounds.append(end)
-            self.used = end
-
-    def _encode(self, texts: list[str]):
-        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        self.parts: dict[str, int] = {}                    # part -> its number
+        self.first, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
+
+    def _splits(self, text: str) -> bool:
+        """Whether every single space of the text stands between two characters that are no white space."""
+        return not (text[0].isspace() or text[-1].isspace() or any(x in text for x in BESIDE_SPACE)
+                    or any(x in text for x in self.whole)
+                    or (not text.isascii() and any(x in text for x in OTHER_SPACES)))
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, np.uint32)
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per part); a part that begins with a zero byte opens its text, others follow a space."""
+        opening = [p[1:] for p in parts if p[0] == "\x00"]
+        following = [p for p in parts if p[0] != "\x00"]
+        joined = [" " + " ".join(following[i:i + JOINED_PARTS]) for i in range(0, len(following), JOINED_PARTS)]
+        ids = np.concatenate([np.zeros(0, np.uint32), *self._encode(joined)])
+        begins = np.flatnonzero(self.opens[ids])
+        if len(begins) != len(following):                  # not this vocabulary's way to write a space
+            each = self._encode([" " + p for p in following])
+            ids, counts = np.concatenate([np.zeros(0, np.uint32), *each]), np.array([len(x) for x in each], np.int64)
+        else:
+            counts = np.diff(np.append(begins, len(ids)))
+        heads = self._encode(opening)
+        return (np.concatenate([ids, *heads]),
+                np.concatenate([counts, np.array([len(h) for h in heads], np.int64)]).astype(np.int64))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids one after the other, number of ids per text)."""
-        if len(self.parts) > CACHE_PARTS:
-            self._empty()
         direct, every, sizes = [], [], np.zeros(len(texts), np.int64)
         for k, t in enumerate(texts):
             if not t:
                 continue
-            if any(w in t for w in self.whole):
+            if not self._splits(t):
                 direct.append(k)
                 continue
             p = t.split(" ")
             p[0] = "\x00" + p[0]
             every += p
             sizes[k] = len(p)
-        self.parts.missed = []
-        at = np.fromiter(map(self.parts.__getitem__, every), np.int64, len(every))
-        if self.parts.missed:
-            self._add(self.parts.missed)
-            for j in np.flatnonzero(at == -1):
-                at[j] = self.parts[every[j]]
+        at = np.fromiter(map(self.parts.get, every, repeat(-1)), np.int64, len(every))
+        missing = np.flatnonzero(at < 0)
+        first, length, pool = self.first, self.length, self.pool
+        if len(missing):
+            missed = [every[j] for j in missing]
+            unknown = sorted(dict.fromkeys(missed), key=lambda p: p[0] == "\x00")
+            ids, counts = self._encode_parts(unknown)
+            number = dict(zip(unknown, range(len(first), len(first) + len(unknown))))
+            at[missing] = np.fromiter(map(number.__getitem__, missed), np.int64, len(missed))
+            first = np.concatenate([first, len(pool) + np.cumsum(counts) - counts])
+            length = np.concatenate([length, counts])
+            pool = np.concatenate([pool, ids])
+            if len(self.parts) < CACHE_PARTS:
+                self.parts.update(number)
+                self.first, self.length, self.pool = first, length, pool
         owner = np.repeat(np.arange(len(texts)), sizes)
-        odd = np.unique(owner[at == -2])
-        if len(odd):
-            direct += odd.tolist()
-            stay = ~np.isin(owner, odd)
-            at, owner = at[stay], owner[stay]
-        bounds = np.asarray(self.bounds, np.int64)
-        first, length = bounds[:-1][at], np.diff(bounds)[at]
-        counts = np.bincount(owner, weights=length, minlength=len(texts)).astype(np.int64)
-        total = int(length.sum())
-        shift = np.repeat(first - (np.cumsum(length) - length), length)
-        flat = self.pool[shift + np.arange(total)]
+        size = length[at]
+        counts = np.bincount(owner, weights=size, minlength=len(texts)).astype(np.int64)
+        shift = np.repeat(first[at] - (np.cumsum(size) - size), size)
+        flat = pool[shift + np.arange(len(shift))]
         if direct:
             pieces = np.split(flat, np.cumsum(counts)[:-1])
-            for k, e in zip(direct, self._encode([texts[k] for k in direct])):
-                pieces[k] = np.asarray(e.ids, np.uint32)
-                counts[k] = len(pieces[k])
-            flat = np.concatenate(pieces) if pieces else flat
-        return flat.astype(np.uint32, copy=False), counts
+            for k, ids in zip(direct, self._encode([texts[k] for k in direct])):
+                pieces[k] = ids
+                counts[k] = len(ids)
+            flat = np.concatenate(pieces)
+        return flat, counts
 
 
 def encoder(path: str) -> Encoder:
