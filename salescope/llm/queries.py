@@ -5,13 +5,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, sharding, token_output
+from . import langid, mixing, packing, sharding, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.query,
     "op2_packing": packing.query,
     "op4_token_output": token_output.query,
     "op8_mixing": mixing.query,
+    "op10_langid": langid.query,
 }
 SQL: dict[str, str] = {
     "op8_mixing": mixing.SQL,

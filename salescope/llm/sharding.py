@@ -29,6 +29,7 @@ from . import common as C
 N_SHARDS = 8
 SEED = 11
 BUCKET_BYTES = 32 << 20
+BROADCAST_BUCKETS = 100_000    # the bucket table is broadcast up to this many rows, joined by shuffle beyond
 
 
 def record_size(text: str = "text"):
@@ -75,7 +76,7 @@ def shard(docs: DataFrame, n_shards: int = N_SHARDS, seed: int = SEED,
     with C.shuffle_cleanup(spark):
         buckets.write.mode("overwrite").parquet(path)
     written = spark.read.schema(buckets.schema).parquet(path)
-    return _numbered(written, n_shards)
+    return _numbered(written, n_shards, n_buckets <= BROADCAST_BUCKETS)
 
 
 def _repeated(draws: DataFrame, n_buckets: int) -> DataFrame | None:
@@ -87,11 +88,13 @@ def _repeated(draws: DataFrame, n_buckets: int) -> DataFrame | None:
     return often if often.limit(1).count() else None
 
 
-def _numbered(written: DataFrame, n_shards: int) -> DataFrame:
+def _numbered(written: DataFrame, n_shards: int, few_buckets: bool) -> DataFrame:
     counts = written.groupBy("bucket").agg(F.count("*").alias("n"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
                .withColumn("rows", F.sum("n").over(Window.partitionBy())).drop("n"))
+    if few_buckets:                                        # one row a bucket, counted above
+        offsets = F.broadcast(offsets)
     position = F.col("before") + F.col("place")
     numbered = written.join(offsets, "bucket").withColumn("position", position)
     # shard s holds positions from ceil(s * rows / n) on

@@ -14,6 +14,7 @@ import pyarrow as pa
 
 SEPARATORS = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 BLOCK_BYTES = 1 << 20          # text handled at once; one longer document is one block
+BLOCK_ROWS = 1 << 9            # documents handled at once
 
 _IS_SEP = np.zeros(256, dtype=bool)
 _IS_SEP[list(SEPARATORS)] = True
@@ -61,11 +62,11 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def blocks(offsets: np.ndarray, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Runs [i, j) of documents of at most ``size`` bytes (one document at least)."""
+    """Runs [i, j) of at most ``BLOCK_ROWS`` documents and ``size`` bytes (one document at least)."""
     i, n = 0, len(offsets) - 1
     while i < n:
         j = int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1
-        j = min(max(j, i + 1), n)
+        j = min(max(j, i + 1), i + BLOCK_ROWS, n)
         yield i, j
         i = j
 
