@@ -96,10 +96,16 @@ class Words:
         self.start = np.flatnonzero(begins & inside)
         self.end = np.flatnonzero(ends & inside) + 1
         self.first = np.searchsorted(self.start, offsets)
-        p, q = _power_tables(n + 1)
+        p, _ = _power_tables(n + 1)
         run = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE_CODE[buf] * p[:n], dtype=np.uint64, out=run[1:])
-        self.hash = mix((run[self.end] - run[self.start]) * q[self.start])
+        self._run = run
+        self.hash = self.bytes_hash(self.start, self.end)
+
+    def bytes_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hash of the block's bytes [start, end)."""
+        _, q = _power_tables(len(self._run))
+        return mix((self._run[end] - self._run[start]) * q[start])
 
     def __len__(self) -> int:
         return len(self.start)
@@ -107,10 +113,6 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def grams(self, n: int) -> np.ndarray:
-        """Hash of the n words that start at each word; valid where they fit the document."""
-        return gram_hashes(self.hash, n)
-
 
 def prefix_powers(h: np.ndarray) -> np.ndarray:
     """Running polynomial sums of word hashes (one more entry than words)."""
@@ -126,16 +128,18 @@ def span_hash(run: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return mix((run[hi] - run[lo]) * q[lo] + (hi - lo).astype(np.uint64))
 
 
-def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
-    lo = np.arange(max(0, len(h) - n + 1))
-    return span_hash(prefix_powers(h), lo, lo + n)
+def word_hashes(words: list[str], lower: bool = False) -> np.ndarray:
+    """Hashes of single words, as ``Words`` gives them."""
+    buf, off = utf8(pa.array(words, pa.string()))
+    return Words(buf, off, lower).hash
 
 
 def shingle_sets(words: Words, n: int) -> list[np.ndarray]:
     """Sorted distinct n-word shingles per document; with fewer words the whole sequence is one."""
     run = prefix_powers(words.hash)
     out = []
-    all_grams = span_hash(run, *(lambda lo: (lo, lo + n))(np.arange(max(0, len(words) - n + 1))))
+    begin = np.arange(max(0, len(words) - n + 1))
+    all_grams = span_hash(run, begin, begin + n)
     for a, b in zip(words.first[:-1], words.first[1:]):
         if b - a >= n:
             g = np.sort(all_grams[a:b - n + 1])
