@@ -61,12 +61,12 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return buf[off[0]:off[-1]] if n else buf[:0], off - off[0] if n else np.zeros(1, np.int64)
 
 
-def blocks(offsets: np.ndarray, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Runs [i, j) of at most ``BLOCK_ROWS`` documents and ``size`` bytes (one document at least)."""
+def blocks(offsets: np.ndarray, size: int = BLOCK_BYTES, rows: int = BLOCK_ROWS) -> Iterator[tuple[int, int]]:
+    """Runs [i, j) of at most ``rows`` documents and ``size`` bytes (one document at least)."""
     i, n = 0, len(offsets) - 1
     while i < n:
         j = int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1
-        j = min(max(j, i + 1), i + BLOCK_ROWS, n)
+        j = min(max(j, i + 1), i + rows, n)
         yield i, j
         i = j
 
@@ -77,12 +77,12 @@ class Words:
     ``first[d]:first[d + 1]`` are the words of document d of the block.
     """
 
-    def __init__(self, buf: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray, lower: bool = False, separators: np.ndarray = _IS_SEP):
         offsets = offsets - offsets[0]
         n = len(buf)
         if lower:
             buf = LOWER[buf]
-        sep = _IS_SEP[buf]
+        sep = separators[buf]
         inside = ~sep
         begins = np.empty(n, bool)
         ends = np.empty(n, bool)

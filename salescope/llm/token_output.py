@@ -32,6 +32,7 @@ END_ID = 0
 SHARD_TOKENS = 1 << 20
 LEAST_COUNT = 24          # a pair seen less often in a shard gets no rule
 LEAST_GAIN = 0.01         # a round that replaces a smaller share of the symbols is the last
+BROADCAST_SHARDS = 100_000   # the shards' offsets are broadcast up to this many, joined by shuffle beyond
 _HASH_BITS = 20
 SCHEMA = ("part long, shard long, doc_ids array<long>, doc_tokens array<long>, rules binary, lengths binary, "
           "symbols binary, wide boolean, n_tokens long, base long")
@@ -193,6 +194,8 @@ def read_tokens(spark, out: str) -> DataFrame:
     offsets = (shards.select("part", "shard", "n_tokens")
                .withColumn("in_part", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)))
                .join(parts, "part").select("part", "shard", (F.col("in_part") + F.col("parts_before")).alias("before")))
+    if shards.count() <= BROADCAST_SHARDS:                 # one row a shard, counted here
+        offsets = F.broadcast(offsets)
     return (shards.join(offsets, ["part", "shard"])
             .mapInArrow(_decode, "doc_id long, start long, n_tokens long, ids binary"))
 
