@@ -5,17 +5,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, langid, mixing, packing, secret_crf, sharding, token_output
+from . import cover_tree, jaccard_join, langid, learned_ann, mixing, packing, secret_crf, sharding, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.query,
     "op2_packing": packing.query,
+    "op3_learned_ann": learned_ann.query,
     "op4_token_output": token_output.query,
+    "op6_cover_tree": cover_tree.query,
     "op7_jaccard_join": jaccard_join.query,
     "op8_mixing": mixing.query,
     "op9_secret_crf": secret_crf.query,
     "op10_langid": langid.query,
 }
 SQL: dict[str, str] = {
+    "op6_cover_tree": cover_tree.SQL,
     "op8_mixing": mixing.SQL,
 }
