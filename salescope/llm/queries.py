@@ -5,13 +5,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cover_tree, jaccard_join, langid, learned_ann, mixing, packing, secret_crf, sharding, token_output
+from . import cover_tree, debruijn_dedup, jaccard_join, langid, learned_ann, mixing, packing, secret_crf, sharding, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.query,
     "op2_packing": packing.query,
     "op3_learned_ann": learned_ann.query,
     "op4_token_output": token_output.query,
+    "op5_debruijn_dedup": debruijn_dedup.query,
     "op6_cover_tree": cover_tree.query,
     "op7_jaccard_join": jaccard_join.query,
     "op8_mixing": mixing.query,
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_langid": langid.query,
 }
 SQL: dict[str, str] = {
+    "op5_debruijn_dedup": debruijn_dedup.SQL,
     "op6_cover_tree": cover_tree.SQL,
     "op8_mixing": mixing.SQL,
 }
