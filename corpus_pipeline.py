@@ -1,10 +1,33 @@
-"""Training-data pipeline: language ID, n-gram Jaccard join, secret scans, mixing, packing."""
+"""Training-data pipeline: language ID, n-gram Jaccard join, secret scans, mixing, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor
+kept; all but the last return the columns of ``documents``.
+"""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salescope.llm import common as C
-from salescope.llm import mixing
+from salescope.llm import jaccard_join, langid, mixing, packing, secret_crf
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a recognisable language go; a missing lang is filled with the prediction."""
+    out = langid.identify(docs).filter(F.col("lang_pred") != langid.UNKNOWN)
+    return out.select(F.col("record").withField("lang", F.coalesce("record.lang", "lang_pred")).alias("record")
+                      ).select("record.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by shingle similarity the document with the smallest doc_id stays, once."""
+    stay = (jaccard_join.join(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.col("doc_id").alias("_stay")).distinct())
+    return (docs.join(stay, docs["doc_id"].eqNullSafe(stay["_stay"]), "left_semi").dropDuplicates(["doc_id"]))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in place; every document stays."""
+    return secret_crf.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,10 +35,19 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(docs)
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the mixed documents in sequences, with their token ids."""
+    return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
+
+
 STAGES = [
+    ("language ID", identify_language),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("secret scans", mask_secrets),
     ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
-ORACLE_SQL = None
+ORACLE_SQL = None      # classifiers, hashing vocabularies and packing are beyond SQL; see tests/llm
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
