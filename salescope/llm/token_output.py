@@ -63,6 +63,11 @@ def compress(ids: np.ndarray, base: int, least: int = LEAST_COUNT) -> tuple[np.n
     while len(seq) > 1 and made < free:
         rank, pairs = _frequent_pairs(seq, least)
         rank[rank >= free - made] = none
+        again = np.flatnonzero((rank[1:] == rank[:-1]) & (rank[1:] != none)) + 1   # aaa...: every second place
+        if len(again):
+            fresh = np.flatnonzero(np.diff(again, prepend=-2) > 1)
+            nth = np.arange(len(again)) - np.repeat(fresh, np.diff(np.append(fresh, len(again))))
+            rank[again[nth % 2 == 0]] = none
         left = np.concatenate([[none], rank[:-1]])
         right = np.concatenate([rank[1:], [none]])
         take = np.flatnonzero((rank < left) & (rank <= right) & (rank != none))
@@ -148,13 +153,17 @@ def _writer(path: str, end_id: int, shard_tokens: int):
         base = T.encoder(path).tokenizer.get_vocab_size()
         docs, counts, ids, held, shard = [], [], [], 0, 0
         for doc_ids, flat, sizes in T.encoded_batches(batches, path, end_id):
-            docs += doc_ids.to_pylist()
-            counts += sizes.tolist()
-            ids.append(flat)
-            held += len(flat)
-            if held >= shard_tokens:
-                yield _shard_row(part, shard, base, docs, counts, np.concatenate(ids))
-                docs, counts, ids, held, shard = [], [], [], 0, shard + 1
+            ends, at, done = np.cumsum(sizes), 0, 0
+            while at < len(sizes):                         # up to the document that fills the shard
+                to = min(int(np.searchsorted(ends, done + shard_tokens - held)) + 1, len(sizes))
+                docs += doc_ids.slice(at, to - at).to_pylist()
+                counts += sizes[at:to].tolist()
+                ids.append(flat[done:ends[to - 1]])
+                held += int(ends[to - 1]) - done
+                at, done = to, int(ends[to - 1])
+                if held >= shard_tokens:
+                    yield _shard_row(part, shard, base, docs, counts, np.concatenate(ids))
+                    docs, counts, ids, held, shard = [], [], [], 0, shard + 1
         if docs:
             yield _shard_row(part, shard, base, docs, counts, np.concatenate(ids))
     return write
