@@ -3,13 +3,16 @@
 A document's set is its distinct five-word shingles (64-bit hashes of the
 whole words). Documents with equal sets form one class; only classes go on.
 
-1. Document frequencies of all shingles: each task cuts its distinct shingles
-   into hash ranges, every range is counted on its own (a shingle costs one
-   entry per task batch, however often it occurs), and the shingles that occur
-   twice or more are kept with their counts.
-2. The kept counts go back to the sets, range by range. A shingle that occurs
-   once cannot be shared, so a class keeps only its repeated shingles; it can
-   have a partner only if they are at least 80 % of its set.
+1. Document frequencies: each task cuts its distinct shingles into hash
+   ranges, every range is counted on its own (a shingle costs one entry per
+   task batch, however often it occurs), and the shingles that occur twice or
+   more are kept with their counts, which go back to the sets range by range.
+   First this is done for the shingles in the lowest ``REGION`` of the hash
+   space only: a class of n shingles with a partner misses at most
+   ``n - ceil(0.8 n)`` of them, so one that misses more there is done with.
+2. For the classes that are left it is done with all shingles. A shingle that
+   occurs once cannot be shared, so a class keeps only its repeated shingles;
+   it can have a partner only if they are at least 80 % of its set.
 3. Shingles are globally ordered, rare first. Two sets of Jaccard 0.8 share a
    shingle among the first ``n - ceil(0.8 n) + 1`` of each, so classes that
    share such a prefix shingle are gathered into clusters (connected
@@ -45,7 +48,8 @@ from .components import components
 
 SHINGLE = 5
 PERCENT = 80
-RANGE_SHINGLES = 2_000_000     # entries counted in one task at a time
+RANGE_SHINGLES = 4_000_000     # entries counted in one task at a time
+REGION = 0.4                   # share of the hash space that decides which classes go on
 FLUSH_SHINGLES = 1 << 20       # entries a task gathers before it sends them on
 BLOCK_SHINGLES = 1_000_000     # shingles of one trie
 LEADERS = 8
@@ -67,18 +71,32 @@ def _blocks_of_sets(batches, n: int):
             yield batch.slice(i, j - i), K.shingle_sets(words, n)
 
 
+def _region_end(region: float) -> np.uint64:
+    return np.uint64(min(int(region * 2.0 ** 24), 2 ** 24 - 1) << 40 | ((1 << 40) - 1))
+
+
+def _within(sets: list[np.ndarray], region: float) -> list[np.ndarray]:
+    """The part of each ascending set that lies in the lowest share of the hash space."""
+    if region >= 1:
+        return sets
+    end = _region_end(region)
+    return [s[:np.searchsorted(s, end, "right")] for s in sets]
+
+
 def summaries(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, class key for every document."""
+    """doc_id, n_shingles, class key and shingles in the region for every document."""
     def rows(batches):
         for part, sets in _blocks_of_sets(batches, n):
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(class_keys(sets))],
-                names=["doc_id", "n_shingles", "class"])
-    return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, n_shingles long, class long")
+                [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(class_keys(sets)),
+                 pa.array([len(s) for s in _within(sets, REGION)], pa.int64())],
+                names=["doc_id", "n_shingles", "class", "low"])
+    return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, n_shingles long, class long, low long")
 
 
-def _range_of(h: np.ndarray, ranges: int) -> np.ndarray:
-    return (((h >> np.uint64(40)) * np.uint64(ranges)) >> np.uint64(24)).astype(np.int64)
+def _range_of(h: np.ndarray, ranges: int, region: float) -> np.ndarray:
+    top = (h >> np.uint64(40)).astype(np.int64)
+    return top * ranges // ((int(_region_end(region)) >> 40) + 1)
 
 
 def _pack(h: np.ndarray) -> tuple[bytes, bytes]:
@@ -90,14 +108,14 @@ def _unpack(low: bytes, high: bytes) -> np.ndarray:
     return np.frombuffer(low, "<u4").astype(np.uint64) | (np.frombuffer(high, "<u2").astype(np.uint64) << np.uint64(32))
 
 
-def repeated_shingles(docs: DataFrame, ranges: int, n: int = SHINGLE) -> DataFrame:
+def repeated_shingles(docs: DataFrame, ranges: int, n: int = SHINGLE, region: float = 1.0) -> DataFrame:
     """One row per hash range: the shingles that occur in two documents or more, and in how many."""
     def send(batches):
         held, size = [], 0
 
         def flush():
             h, counts = np.unique(np.concatenate(held), return_counts=True)
-            cut = np.searchsorted(_range_of(h, ranges), np.arange(ranges + 1))
+            cut = np.searchsorted(_range_of(h, ranges, region), np.arange(ranges + 1))
             rows = {"range": [], "low": [], "high": [], "often": [], "times": []}
             for r in np.flatnonzero(np.diff(cut)):
                 part, c = h[cut[r]:cut[r + 1]], counts[cut[r]:cut[r + 1]]
@@ -110,8 +128,8 @@ def repeated_shingles(docs: DataFrame, ranges: int, n: int = SHINGLE) -> DataFra
                 [("range", pa.int64()), *[(c, pa.binary()) for c in ("low", "high", "often", "times")]]))
 
         for _, sets in _blocks_of_sets(batches, n):
-            held += sets
-            size += sum(map(len, sets))
+            held += _within(sets, region)
+            size += sum(map(len, held[-len(sets):]))
             if size >= FLUSH_SHINGLES:
                 yield flush()
                 held, size = [], 0
@@ -120,17 +138,19 @@ def repeated_shingles(docs: DataFrame, ranges: int, n: int = SHINGLE) -> DataFra
 
     def count(table: pa.Table) -> pa.Table:
         ids, times = [], []
-        for row in table.to_pylist():
-            one = _unpack(row["low"], row["high"])
-            c = np.ones(len(one), np.int64)
-            c[np.frombuffer(row["often"], "<u4")] = np.frombuffer(row["times"], "<u4")
-            ids.append(one)
-            times.append(c)
+        for batch in table.to_batches():
+            for row in batch.to_pylist():
+                one = _unpack(row["low"], row["high"])
+                c = np.ones(len(one), np.uint32)
+                c[np.frombuffer(row["often"], "<u4")] = np.frombuffer(row["times"], "<u4")
+                ids.append(one)
+                times.append(c)
         ids, times = np.concatenate(ids), np.concatenate(times)
-        order = np.argsort(ids)
+        order = np.argsort(ids, kind="stable")
         ids, times = ids[order], times[order]
+        del order
         first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
-        total = np.add.reduceat(times, first)
+        total = np.add.reduceat(times, first, dtype=np.int64)
         keep = total >= 2
         return pa.Table.from_pydict({"range": [table.column("range")[0].as_py()],
                                      "shingles": [ids[first][keep].tobytes()],
@@ -142,25 +162,25 @@ def repeated_shingles(docs: DataFrame, ranges: int, n: int = SHINGLE) -> DataFra
     return sent.groupBy("range").applyInArrow(count, "range long, shingles binary, counts binary")
 
 
-def repeated_sets(docs: DataFrame, frequent: DataFrame, ranges: int, n: int = SHINGLE) -> DataFrame:
-    """class, n, shingles, counts: the repeated shingles of each class that can have a partner at all."""
+def _sent_sets(docs: DataFrame, ranges: int, n: int, region: float) -> DataFrame:
+    """The shingles of each class, cut into hash ranges, with the classes they belong to."""
     def send(batches):
-        held, keys, size = [], [], 0
+        held, keys, sizes, size = [], [], [], 0
 
         def flush():
             h = np.concatenate(held)
             owner = np.repeat(np.arange(len(held), dtype=np.int64), [len(s) for s in held])
-            r = _range_of(h, ranges)
+            r = _range_of(h, ranges, region)
             order = np.argsort(r, kind="stable")
             cut = np.searchsorted(r[order], np.arange(ranges + 1))
             rows = {"range": [], "low": [], "high": [], "owner": [], "classes": [], "sizes": []}
-            key, sizes = np.concatenate(keys), np.array([len(s) for s in held], "<u4")
+            key, whole = np.concatenate(keys), np.array(sizes, "<u4")
             for k in np.flatnonzero(np.diff(cut)):
                 at = order[cut[k]:cut[k + 1]]
                 low, high = _pack(h[at])
                 inside, place = np.unique(owner[at], return_inverse=True)
                 values = (int(k), low, high, place.astype("<u2" if len(inside) < 1 << 16 else "<u4").tobytes(),
-                          key[inside].tobytes(), sizes[inside].tobytes())
+                          key[inside].tobytes(), whole[inside].tobytes())
                 for name, v in zip(rows, values):
                     rows[name].append(v)
             return pa.RecordBatch.from_pydict(rows, schema=pa.schema(
@@ -170,33 +190,74 @@ def repeated_sets(docs: DataFrame, frequent: DataFrame, ranges: int, n: int = SH
             key = class_keys(sets)
             first = np.unique(key, return_index=True)[1]
             first = first[key[first] != 0]                  # equal sets of a block once
-            held += [sets[k] for k in first]
+            held += _within([sets[k] for k in first], region)
+            sizes += [len(sets[k]) for k in first]
             keys.append(key[first])
-            size += sum(len(sets[k]) for k in first)
+            size += sum(map(len, held[len(held) - len(first):]))
             if size >= FLUSH_SHINGLES:
                 yield flush()
-                held, keys, size = [], [], 0
+                held, keys, sizes, size = [], [], [], 0
         if size:
             yield flush()
 
+    return docs.select("text").mapInArrow(
+        send, "range long, low binary, high binary, owner binary, classes binary, sizes binary")
+
+
+def _hits(row: dict):
+    """(classes, their sizes, owner of each shingle, hash of each, counts of the repeated ones, which are repeated)."""
+    known, counts = np.frombuffer(row["shingles"], np.uint64), np.frombuffer(row["counts"], "<u4")
+    h = _unpack(row["low"], row["high"])
+    classes, sizes = np.frombuffer(row["classes"], np.int64), np.frombuffer(row["sizes"], "<u4")
+    owner = np.frombuffer(row["owner"], "<u2" if len(classes) < 1 << 16 else "<u4")
+    if not len(known):
+        return classes, sizes, owner, h, counts[:0], np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+    hit = np.flatnonzero(known[at] == h)
+    return classes, sizes, owner, h, counts[at[hit]], hit
+
+
+def promising_classes(docs: DataFrame, rows: DataFrame, n: int = SHINGLE, region: float = REGION) -> DataFrame:
+    """class: those that do not miss too many shingles of the region to have a partner.
+
+    A range only tells the repeated shingles of a class beyond a quarter of
+    its shingles there; a quarter of all in the region is added in return, so
+    the sum is never below the true number.
+    """
+    total = rows.select(F.sum("low").alias("t")).first()["t"] or 0
+    ranges = max(1, math.ceil(total / RANGE_SHINGLES))
+    frequent = C.store(repeated_shingles(docs, ranges, n, region), "shingles")
+
+    def count(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                classes, _, owner, _, _, hit = _hits(row)
+                found = np.bincount(owner[hit], minlength=len(classes))
+                beyond = 4 * found - np.bincount(owner, minlength=len(classes))
+                some = np.flatnonzero(beyond > 0)
+                yield pa.RecordBatch.from_arrays([pa.array(classes[some]), pa.array(beyond[some].astype(np.int64))],
+                                                 names=["class", "beyond"])
+
+    sent = _sent_sets(docs, ranges, n, region)
+    told = sent.join(frequent.hint("shuffle_merge"), "range").select(*sent.columns, "shingles", "counts").mapInArrow(
+        count, "class long, beyond long").groupBy("class").agg(F.sum("beyond").alias("beyond"))
+    classes = rows.filter("n_shingles > 0").select("class", "n_shingles", "low").distinct()
+    missing = F.col("n_shingles") - F.ceil(F.col("n_shingles") * PERCENT / 100)
+    return C.store(classes.join(told, "class", "left").filter(
+        4 * (F.col("low") - missing) <= F.col("low") + F.coalesce("beyond", F.lit(0))).select("class"), "promising")
+
+
+def repeated_sets(docs: DataFrame, frequent: DataFrame, ranges: int, n: int = SHINGLE) -> DataFrame:
+    """class, n, s (shingles and counts), kept: the repeated shingles of each class that can have a partner at all."""
     def attach(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                known = np.frombuffer(row["shingles"], np.uint64)
-                counts = np.frombuffer(row["counts"], "<u4")
-                h = _unpack(row["low"], row["high"])
-                classes = np.frombuffer(row["classes"], np.int64)
-                owner = np.frombuffer(row["owner"], "<u2" if len(classes) < 1 << 16 else "<u4")
-                if not len(known):
-                    continue
-                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                hit = np.flatnonzero(known[at] == h)
-                hit = hit[np.argsort(owner[hit], kind="stable")]
+                classes, sizes, owner, h, times, hit = _hits(row)
+                by_owner = np.argsort(owner[hit], kind="stable")
+                hit, times = hit[by_owner], times[by_owner]
                 inside, begin = np.unique(owner[hit], return_index=True)
                 code = h[hit] | (np.uint64(row["range"] & 0xFFFF) << np.uint64(48))
-                times = counts[at[hit]]
                 bounds = np.append(begin, len(hit)).astype(np.int32)
-                sizes = np.frombuffer(row["sizes"], "<u4")
 
                 def binary(values, width):
                     return pa.Array.from_buffers(pa.binary(), len(inside), [
@@ -207,16 +268,13 @@ def repeated_sets(docs: DataFrame, frequent: DataFrame, ranges: int, n: int = SH
                      pa.array(sizes[inside].astype(np.int64)), binary(code, 8), binary(times.astype("<u4"), 4)],
                     names=["class", "range", "n", "shingles", "counts"])
 
-    sent = docs.select("text").mapInArrow(
-        send, "range long, low binary, high binary, owner binary, classes binary, sizes binary")
-    hits = sent.join(frequent.hint("shuffle_merge"), "range").select(
-        "range", "low", "high", "owner", "classes", "sizes", "shingles", "counts").mapInArrow(
+    sent = _sent_sets(docs, ranges, n, 1.0)
+    hits = sent.join(frequent.hint("shuffle_merge"), "range").select(*sent.columns, "shingles", "counts").mapInArrow(
         attach, "class long, range long, n long, shingles binary, counts binary")
     once = hits.groupBy("class", "range").agg(F.first("n").alias("n"), F.first(F.struct("shingles", "counts")).alias("s"))
-    sets = (once.groupBy("class").agg(F.first("n").alias("n"), F.collect_list("s").alias("s"),
+    return (once.groupBy("class").agg(F.first("n").alias("n"), F.collect_list("s").alias("s"),
                                       F.sum(F.octet_length("s.counts") / 4).cast("long").alias("kept"))
             .filter(F.col("kept") * 100 >= F.col("n") * PERCENT))
-    return sets
 
 
 def _ordered(row) -> tuple[np.ndarray, np.ndarray]:
@@ -379,11 +437,16 @@ def _links(blocks: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def class_components(docs: DataFrame, classes: DataFrame, n: int = SHINGLE,
-                     block_shingles: int = BLOCK_SHINGLES) -> DataFrame | None:
-    """(node, component) over class keys, for classes linked with another; None if there are none."""
-    spark = docs.sparkSession
-    total = classes.select(F.sum("n_shingles").alias("t")).first()["t"] or 0
-    ranges = max(C.parallelism(spark), math.ceil(total / RANGE_SHINGLES))
+                     block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """(node, component) over class keys, for classes linked with another."""
+    chosen = promising_classes(docs, classes, n)
+    first = classes.join(chosen, "class").groupBy("class").agg(
+        F.min("doc_id").alias("_first"), F.first("n_shingles").alias("n_shingles"))
+    first = C.store(first, "first")
+    docs = C.store(docs.join(first.select("_first").distinct(), docs["doc_id"].eqNullSafe(F.col("_first")), "left_semi"),
+                   "candidates")
+    total = first.select(F.sum("n_shingles").alias("t")).first()["t"] or 0
+    ranges = max(1, math.ceil(total / RANGE_SHINGLES))
     frequent = C.store(repeated_shingles(docs, ranges, n), "shingles")
     sets = C.store(repeated_sets(docs, frequent, ranges, n), "sets")
     entries = C.store(prefix_entries(sets), "prefixes")
