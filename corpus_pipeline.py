@@ -19,10 +19,16 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by shingle similarity the document with the smallest doc_id stays, once."""
+    """Of each group linked by shingle similarity the document with the smallest doc_id stays, once.
+
+    A document is told by doc_id and text, so rows without doc_id are judged one by one.
+    """
     stay = (jaccard_join.join(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("_stay")).distinct())
-    return (docs.join(stay, docs["doc_id"].eqNullSafe(stay["_stay"]), "left_semi").dropDuplicates(["doc_id"]))
+            .groupBy("doc_id", "class").agg(F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash").distinct())
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"),
+                       F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    return (rows.join(stay, rows["id"].eqNullSafe(stay["doc_id"]) & (rows["hash"] == stay["text_hash"]), "left_semi")
+            .dropDuplicates(["id", "hash"]).select("record.*"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

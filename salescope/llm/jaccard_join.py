@@ -84,14 +84,15 @@ def _within(sets: list[np.ndarray], region: float) -> list[np.ndarray]:
 
 
 def summaries(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, class key and shingles in the region for every document."""
+    """doc_id, hash of the text, n_shingles, class key and shingles in the region for every document."""
     def rows(batches):
         for part, sets in _blocks_of_sets(batches, n):
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(class_keys(sets)),
-                 pa.array([len(s) for s in _within(sets, REGION)], pa.int64())],
-                names=["doc_id", "n_shingles", "class", "low"])
-    return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, n_shingles long, class long, low long")
+                [part.column("doc_id"), part.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array(class_keys(sets)), pa.array([len(s) for s in _within(sets, REGION)], pa.int64())],
+                names=["doc_id", "text_hash", "n_shingles", "class", "low"])
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
+        rows, "doc_id long, text_hash long, n_shingles long, class long, low long")
 
 
 def _range_of(h: np.ndarray, ranges: int, region: float) -> np.ndarray:
@@ -507,7 +508,7 @@ def _leaders(members: DataFrame, many: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, class (key of the shingle set, 0 if empty), component_id for every document."""
+    """doc_id, text_hash, n_shingles, class (key of the shingle set, 0 if empty), component_id for every document."""
     C.prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     rows = C.store(summaries(docs, n), "classes")
@@ -519,7 +520,7 @@ def join(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
     label = named.groupBy("part").agg(F.min("first").alias("component_id"))
     known = named.join(label, "part").select("class", "component_id")
     return rows.join(known, "class", "left").select(
-        "doc_id", "n_shingles", "class",
+        "doc_id", "text_hash", "n_shingles", "class",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 

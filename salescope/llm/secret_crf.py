@@ -53,16 +53,24 @@ _EDGE = b"\"'`()[]{}<>,;:."
 _FIELD = np.uint64(21)
 
 
-def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, end, kind) of the three patterns, leftmost and non-overlapping per kind."""
+def _matches(text: str) -> list[tuple[re.Match, int]]:
     out = []
     folded = text.lower()
     if any(stem in folded for stem in ASSIGN_STEMS):
-        out += [(m.start(), m.end(), 0) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 6]
+        out += [(m, 0) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 6]
     if "AKIA" in text:
-        out += [(m.start(), m.end(), 1) for m in ACCESS.finditer(text) if len(m.group()) >= 20]
-    out += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
-    return out
+        out += [(m, 1) for m in ACCESS.finditer(text) if len(m.group()) >= 20]
+    return out + [(m, 2) for m in HEX.finditer(text)]
+
+
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, kind) of the three patterns, leftmost and non-overlapping per kind."""
+    return [(*m.span(), kind) for m, kind in _matches(text)]
+
+
+def _secret_parts(text: str) -> list[tuple[int, int, int]]:
+    """The secrets themselves, without the words that announce them: what the field learns to tag."""
+    return [(*(m.span(2) if kind == 0 else m.span()), kind) for m, kind in _matches(text)]
 
 
 def _class_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -262,8 +270,8 @@ def _stretches(batches):
                 lo, hi = words.first[d], words.first[d + 1]
                 if hi == lo:
                     continue
-                spans = base_spans(text)
-                tags = _label_words(words, d, off[i + d] - off[i], _byte_places(text, text.encode(), spans))
+                places = _byte_places(text, text.encode(), _secret_parts(text))
+                tags = _label_words(words, d, off[i + d] - off[i], places)
                 odd = np.flatnonzero((tags > 0) | (features[lo:hi, 0] // 9 % 3 > 0) | (features[lo:hi, 1] % 5 > 2))
                 centres = odd[:: max(1, len(odd) // 6)].tolist() + [hashes[i + d] % (hi - lo)]
                 for c in centres:
