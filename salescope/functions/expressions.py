@@ -17,17 +17,15 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _accent_table() -> tuple[str, str]:
-    """Characters of the Basic Multilingual Plane with their ASCII base.
-
-    Built by rule from Unicode NFKD: a character maps to its decomposition
-    when that keeps exactly one ASCII character (``é`` -> ``e``, fullwidth
-    ``Ａ`` -> ``A``). Characters whose decomposition keeps several ASCII
-    characters (ligatures such as ``ﬁ``) are dropped with the other
-    non-ASCII characters.
+def _fold_tables() -> tuple[str, str, dict[str, str]]:
+    """Characters with an ASCII decomposition, by rule from Unicode NFKD.
+
+    One ASCII letter (``é`` -> ``e``, fullwidth ``Ａ`` -> ``A``) goes into a
+    translation table, several (``ﬁ`` -> ``fi``, ``½`` -> ``12``, ``㎏`` ->
+    ``kg``) into a dictionary; other characters are dropped by the slug.
     """
-    src, dst = [], []
-    for code in range(0x00A0, 0x10000):
+    src, dst, spelled = [], [], {}
+    for code in range(0x00A0, 0x110000):
         if 0xD800 <= code <= 0xDFFF:
             continue
         ch = chr(code)
@@ -35,31 +33,12 @@ def _accent_table() -> tuple[str, str]:
         if len(base) == 1 and base != ch:
             src.append(ch)
             dst.append(base)
-    return "".join(src), "".join(dst)
-
-
-_ACCENT_SRC, _ACCENT_DST = _accent_table()
-
-# Blocks where a character's decomposition spells several ASCII characters
-# that product names use (fractions, ligature letters, ellipsis, ™, №, Roman
-# numerals): Latin-1 Supplement, Latin Extended-A/B, General Punctuation,
-# Letterlike Symbols, Number Forms.
-SPELLED_BLOCKS = [(0x00A0, 0x0250), (0x2000, 0x2070), (0x2100, 0x2190)]
+        elif len(base) > 1:
+            spelled[ch] = base
+    return "".join(src), "".join(dst), spelled
 
 
-def _spelled_table() -> list[tuple[str, str]]:
-    """(character, ASCII spelling) for multi-letter NFKD decompositions, by rule."""
-    out = []
-    for lo, hi in SPELLED_BLOCKS:
-        for code in range(lo, hi):
-            ch = chr(code)
-            base = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
-            if len(base) > 1:
-                out.append((ch, base))
-    return out
-
-
-_SPELLED = _spelled_table()
+_ACCENT_SRC, _ACCENT_DST, _SPELLED = _fold_tables()
 # days from the Excel epoch to 1970-01-01
 EPOCH_TO_UNIX_DAYS = (dt.date(1970, 1, 1) - dt.date.fromisoformat(S.EXCEL_EPOCH)).days
 
@@ -94,12 +73,12 @@ def to_number(col) -> Column:
 
 
 def parse_mixed_date(col) -> Column:
-    """P5: Excel serial, day-first text or ISO text to a timestamp (without zone).
+    """P5: Excel serial, ``yyyyMMdd``, or date text to a timestamp (without zone).
 
     A value that reads as a number is a serial date only strictly inside
-    (20000, 80000), fraction of day kept; any other number is NULL. Text is
-    tried day-first with ``/``, ``-`` or ``.`` separators (optional time),
-    then as ISO. Unparsable text is NULL.
+    (20000, 80000), fraction of day kept; eight digits that are a calendar date
+    are that date; any other number is NULL. Text goes to
+    :func:`parse_text_date`. Unparsable text is NULL.
     """
     text = F.trim(_c(col).cast("string"))
     num = to_number(text)
@@ -108,7 +87,7 @@ def parse_mixed_date(col) -> Column:
     serial = F.when(
         (num > S.SERIAL_MIN_EXCLUSIVE) & (num < S.SERIAL_MAX_EXCLUSIVE),
         F.timestamp_micros(serial_micros),
-    )
+    ).when(text.rlike("^[0-9]{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
     parsed = F.when(text.isNull() | (text == ""), F.lit(None).cast("timestamp")) \
         .when(num.isNotNull(), serial) \
         .otherwise(parse_text_date(text))
@@ -116,37 +95,80 @@ def parse_mixed_date(col) -> Column:
     return parsed.cast("timestamp_ntz")
 
 
+# A time of day, a fraction, a half-day mark and a zone, each optional. The zone
+# is left out of the value: the wall-clock time of the text counts.
+_TIME = (r"(?:[ T]+([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:[.,]([0-9]{1,9}))?)?"
+         r" ?([AaPp])?[.]?(?:[Mm][.]?)?(?: ?(?:[Zz]|UTC|GMT|[+-][0-9]{2}:?[0-9]{2}))?)?$")
+_DAY_FIRST = r"^([0-9]{1,2})[-/. ]([0-9]{1,2})[-/. ]([0-9]{4}|[0-9]{2})" + _TIME
+_YEAR_FIRST = r"^([0-9]{4})[-/.]([0-9]{1,2})(?:[-/.]([0-9]{1,2}))?" + _TIME
+_NAMED = (r"^([0-9]{1,2})[-/. ]+(?:de +)?([A-Za-zçÇ]{3,12})[.]?[-/. ]+(?:de +)?([0-9]{4}|[0-9]{2})" + _TIME)
+# First three letters of month names, English and Portuguese.
+_MONTHS = {"jan": 1, "feb": 2, "fev": 2, "mar": 3, "apr": 4, "abr": 4, "may": 5, "mai": 5, "jun": 6,
+           "jul": 7, "aug": 8, "ago": 8, "sep": 9, "set": 9, "oct": 10, "out": 10, "nov": 11,
+           "dec": 12, "dez": 12}
+# Two-digit years from here on belong to the 1900s.
+_PIVOT_YEAR = 69
+
+
+def _fields_to_timestamp(text: Column, pattern: str, year: Column, month: Column, day: Column) -> Column:
+    """Date fields and the time groups 4 to 8 of ``pattern`` as a timestamp; NULL if no such moment."""
+    def group(i: int) -> Column:
+        return F.regexp_extract(text, pattern, i)
+
+    half = F.lower(group(8))
+    hour = F.coalesce(group(4).try_cast("int"), F.lit(0))
+    hour = (F.when((half == "p") & (hour < 12), hour + 12)
+             .when((half == "a") & (hour == 12), F.lit(0)).otherwise(hour))
+    minute = F.coalesce(group(5).try_cast("int"), F.lit(0))
+    second = F.coalesce(F.concat(group(6), F.lit("."), F.substring(F.rpad(group(7), 6, "0"), 1, 6))
+                        .try_cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)"))
+    return F.try_make_timestamp(year, month, day, hour, minute, second)
+
+
+def _full_year(col: Column) -> Column:
+    y = col.try_cast("int")
+    return F.when(F.length(col) == 2, y + F.when(y >= _PIVOT_YEAR, 1900).otherwise(2000)).otherwise(y)
+
+
 def parse_text_date(col) -> Column:
-    """Day-first text (``/``, ``-`` or ``.``, optional ``H:mm`` or ``H:mm:ss``)
-    or ISO text to a timestamp; NULL when it is neither.
+    """Date text to a timestamp; NULL when it is none.
 
-    The text's shape picks the one pattern to try, so no row goes through a
-    chain of failing parses.
+    Day first (``/``, ``-``, ``.`` or blank, two- or four-digit year); month
+    first only where day first is impossible; year first (also without a day);
+    month names in English and Portuguese. Each with an optional time, fraction,
+    am/pm and zone. The text's shape picks the one rule to try, so no row goes
+    through a chain of failing parses; names and codes stop at the first test.
     """
     text = F.trim(_c(col).cast("string"))
-    out = None
-    for sep, rx_sep in (("/", "/"), ("-", "-"), (".", "[.]")):
-        for fmt, rx_time in ((" H:mm:ss", " [0-9]{1,2}:[0-9]{2}:[0-9]{2}"),
-                             (" H:mm", " [0-9]{1,2}:[0-9]{2}"), ("", "")):
-            shape = f"^[0-9]{{1,2}}{rx_sep}[0-9]{{1,2}}{rx_sep}[0-9]{{4}}{rx_time}$"
-            parsed = F.try_to_timestamp(text, F.lit(f"d{sep}M{sep}yyyy{fmt}"))
-            out = (F.when(text.rlike(shape), parsed) if out is None
-                   else out.when(text.rlike(shape), parsed))
-    iso = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?)?$"
-    out = out.when(text.rlike(iso), text.try_cast("timestamp"))
+
+    def group(pattern: str, i: int) -> Column:
+        return F.regexp_extract(text, pattern, i)
+
+    a, b = group(_DAY_FIRST, 1).try_cast("int"), group(_DAY_FIRST, 2).try_cast("int")
+    swap = (b > 12) & (a <= 12)
+    day_first = _fields_to_timestamp(text, _DAY_FIRST, _full_year(group(_DAY_FIRST, 3)),
+                                     F.when(swap, a).otherwise(b), F.when(swap, b).otherwise(a))
+    year_first = _fields_to_timestamp(
+        text, _YEAR_FIRST, group(_YEAR_FIRST, 1).try_cast("int"), group(_YEAR_FIRST, 2).try_cast("int"),
+        F.coalesce(group(_YEAR_FIRST, 3).try_cast("int"), F.lit(1)))
+    months = F.create_map(*[F.lit(x) for pair in _MONTHS.items() for x in pair])
+    named = _fields_to_timestamp(
+        text, _NAMED, _full_year(group(_NAMED, 3)),
+        F.element_at(months, F.lower(F.substring(group(_NAMED, 2), 1, 3))), group(_NAMED, 1).try_cast("int"))
+    out = (F.when(text.rlike(_DAY_FIRST), day_first).when(text.rlike(_YEAR_FIRST), year_first)
+            .when(text.rlike(_NAMED), named))
     # one cheap test first: most text (names, codes) is not shaped like a date
-    return F.when(text.rlike("^[0-9]{1,4}[-/.][0-9]"), out)
+    return F.when(text.rlike("^[0-9]{1,4}[-/. ]+[0-9A-Za-z]"), out)
 
 
 def spell_out(col) -> Column:
     """Characters whose decomposition spells several ASCII letters (``½`` ->
-    ``12``, ``™`` -> ``TM``) written out; only rows with a non-ASCII character
-    go through the literal replacements."""
+    ``12``, ``ﬁ`` -> ``fi``) written out; only rows that hold one are taken apart."""
     text = _c(col).cast("string")
-    out = text
-    for ch, base in _SPELLED:
-        out = F.replace(out, F.lit(ch), F.lit(base))
-    return F.when(text.rlike(r"[^\x00-\x7F]"), out).otherwise(text)
+    table = F.create_map(*[F.lit(x) for pair in _SPELLED.items() for x in pair])
+    letters = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    spelled = F.array_join(F.transform(letters, lambda c: F.coalesce(F.element_at(table, c), c)), "")
+    return F.when(text.rlike("[" + "".join(_SPELLED) + "]"), spelled).otherwise(text)
 
 
 def slug(col) -> Column:
@@ -169,9 +191,10 @@ def numeric_code(col) -> Column:
 
 
 def coerce_amount(col) -> Column:
-    """Text to decimal(18,2); unparsable counts as 0."""
-    return F.coalesce(F.trim(_c(col).cast("string")).try_cast("decimal(18,2)"),
-                      F.lit(0).cast("decimal(18,2)"))
+    """Text to decimal(38,6); text that is no number, or too large a one, counts as 0
+    (and as a row without an amount in the ingest counts)."""
+    return F.coalesce(F.trim(_c(col).cast("string")).try_cast(S.RAW_AMOUNT_TYPE),
+                      F.lit(0).cast(S.RAW_AMOUNT_TYPE))
 
 
 def coerce_quantity(col) -> Column:

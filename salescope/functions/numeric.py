@@ -8,15 +8,22 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# From here on a double times its scale has no fraction left to round.
+_WHOLE_DOUBLES = float(2 ** 52)
+
+
 def half_up(col, digits: int = 2) -> Column:
-    """Round half up on the binary double: ``floor(x * 10^d + 0.5) / 10^d``.
+    """Round half up on the binary double: ``floor(x * 10^d + 0.5) / 10^d``;
+    a value too large to have such a digit is returned as it is.
 
     Written with plain IEEE operations so any SQL engine evaluating the
     same formula gets the same bits (SQL ``round`` differs between engines
     at .5 on binary doubles).
     """
     scale = float(10 ** digits)
-    return (F.floor(_c(col).cast("double") * F.lit(scale) + F.lit(0.5)) / F.lit(scale))
+    x = _c(col).cast("double")
+    return F.when(F.abs(x * F.lit(scale)) < _WHOLE_DOUBLES,
+                  F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).otherwise(x)
 
 
 def at_least_one(col) -> Column:

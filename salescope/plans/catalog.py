@@ -24,6 +24,7 @@ from . import ingest_sql as IS
 from . import report_sql as RS
 from . import schema_inference as SI
 from . import series_sql as QS
+from . import value_forms as VF
 
 # Search term of the registered customer-search query (any term works).
 SEARCH_TERM = "building"
@@ -149,6 +150,11 @@ _ingest("normalize_id", IS.NORMALIZE_ID)(_texts("customer_id", E.normalize_id))
 _ingest("synthetic_code", IS.SYNTHETIC_CODE)(_texts("product_name", E.synthetic_code))
 
 
+register("date_forms", VF.DATE_FORMS)(VF.date_forms)
+register("amount_forms", VF.AMOUNT_FORMS)(VF.amount_forms)
+register("slug_forms", VF.SLUG_FORMS)(VF.slug_forms)
+
+
 @register("sku_velocity", QS.SKU_VELOCITY)
 def _sku_velocity(spark, sf_dir):
     return ST.sku_velocity(sales_fact(spark, sf_dir))

@@ -39,7 +39,7 @@ def sql_numeric_code(x: str) -> str:
 
 
 def sql_amount(x: str) -> str:
-    return f"coalesce(TRY_CAST(trim(CAST({x} AS VARCHAR)) AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2)))"
+    return f"coalesce(TRY_CAST(trim(CAST({x} AS VARCHAR)) AS DECIMAL(38,6)), CAST(0 AS DECIMAL(38,6)))"
 
 
 def sql_quantity(x: str) -> str:
@@ -48,7 +48,7 @@ def sql_quantity(x: str) -> str:
 
 
 def _pid() -> str:
-    return "lpad(CAST(c_custkey AS VARCHAR), 14, '0')"
+    return f"lpad(CAST({FX.ID_BASE} + CAST(c_custkey AS BIGINT) * {FX.ID_STEP} AS VARCHAR), 14, '0')"
 
 
 A, B, C = FX.SOURCE_A_HEADERS, FX.SOURCE_B_HEADERS, FX.SOURCE_C_HEADERS
@@ -87,6 +87,8 @@ raw_b AS (
          CASE WHEN l_orderkey % 5 = 0 AND l_linenumber = 1 THEN '0'
               WHEN l_orderkey % 5 = 0 AND l_linenumber = 2 THEN '-1'
               WHEN l_orderkey % 5 = 0 AND l_linenumber = 3 THEN 'x'
+              WHEN l_orderkey % 25 = 0 AND l_linenumber = 4 THEN '0.004'
+              WHEN l_orderkey % 25 = 0 AND l_linenumber = 5 THEN '1e17'
               ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS {q(B['amount'])},
          CAST(CAST(trunc(l_quantity) AS BIGINT) AS VARCHAR) AS {q(B['quantity'])},
          c_mktsegment AS {q(B['channel'])},

@@ -2,7 +2,9 @@
 given tables, for side-by-side checks. Same column names as the Spark side.
 
 ``ROUND2(x)`` in the text stands for the library's rounding
-(``floor(x * 100 + 0.5) / 100`` on doubles), expanded by :func:`_r`.
+(``floor(x * 100 + 0.5) / 100`` on doubles), expanded by :func:`_r`. With six
+digits, where ids of 14 digits leave the range of exact doubles, a value
+without such a digit stays as it is.
 """
 from __future__ import annotations
 
@@ -34,8 +36,8 @@ fact AS (
   SELECT d.customer_name, d.customer_id, d.region, CAST(d.sale_ts AS DATE) AS sale_date,
          d.product_code, d.product_name, d.amount, d.quantity, d.channel, d.seller,
          d.source_file, coalesce(k.product_canon, d.product_name) AS product_canon,
-         CASE WHEN d.quantity > 0 THEN CAST(d.amount AS DOUBLE) / d.quantity
-              ELSE CAST(d.amount AS DOUBLE) END AS unit_price
+         CASE WHEN d.quantity > 0 THEN CAST(CAST(d.amount AS VARCHAR) AS DOUBLE) / d.quantity
+              ELSE CAST(CAST(d.amount AS VARCHAR) AS DOUBLE) END AS unit_price
   FROM dedup d LEFT JOIN canon k ON d.product_code = k.product_code
 )"""
 
@@ -87,7 +89,11 @@ def _r(sql: str) -> str:
             j += 1
         inner = _r(sql[m.end():j - 1])
         scale = f"{10 ** int(m.group(1))}.0"
-        out.append(f"(floor(CAST({inner} AS DOUBLE) * {scale} + 0.5) / {scale})")
+        if m.group(1) == "6":
+            out.append(f"(list_transform([CAST({inner} AS DOUBLE)], lambda v: CASE WHEN abs(v * {scale}) < {2 ** 52}.0 "
+                       f"THEN floor(v * {scale} + 0.5) / {scale} ELSE v END)[1])")
+        else:
+            out.append(f"(floor(CAST({inner} AS DOUBLE) * {scale} + 0.5) / {scale})")
         i = j
     return "".join(out)
 

@@ -10,6 +10,10 @@ FIELDS = ["customer_name", "customer_id", "region", "sale_date", "product_code",
 # Fields a raw table must provide; a file lacking one is quarantined.
 REQUIRED_FIELDS = ["customer_id", "sale_date", "product_name", "amount", "quantity"]
 
+# Amounts of raw files keep six digits after the point: rounding to cents would
+# turn small amounts into 0 and merge rows that differ below a cent.
+RAW_AMOUNT_TYPE = T.DecimalType(38, 6)
+
 # Standardised table: the nine fields plus seller and source file.
 STANDARD_SCHEMA = T.StructType([
     T.StructField("customer_name", T.StringType()),
@@ -18,7 +22,7 @@ STANDARD_SCHEMA = T.StructType([
     T.StructField("sale_date", T.TimestampNTZType()),
     T.StructField("product_code", T.StringType()),
     T.StructField("product_name", T.StringType()),
-    T.StructField("amount", T.DecimalType(18, 2)),
+    T.StructField("amount", RAW_AMOUNT_TYPE),
     T.StructField("quantity", T.LongType()),
     T.StructField("channel", T.StringType()),
     T.StructField("seller", T.StringType()),

@@ -74,6 +74,14 @@ SOURCES = [
 # --- end of fixed values ---
 
 
+# Company ids of 14 digits, one per customer key.
+ID_BASE, ID_STEP = 10_000_000_000_000, 6_700_417
+
+
+def _company_id():
+    return F.lpad((F.lit(ID_BASE) + F.col("c_custkey").cast("bigint") * ID_STEP).cast("string"), 14, "0")
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = (read_table(spark, sf_dir, "customer")
@@ -104,7 +112,7 @@ def _serial_text(col: str):
 def raw_source_a(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     h = SOURCE_A_HEADERS
     li = (lines if lines is not None else _lines(spark, sf_dir)).where(F.col("l_orderkey") % 3 != 0)
-    pid = F.lpad(F.col("c_custkey").cast("string"), 14, "0")
+    pid = _company_id()
     punct = F.concat(F.substring(pid, 1, 2), F.lit("."), F.substring(pid, 3, 3), F.lit("."),
                      F.substring(pid, 6, 3), F.lit("/"), F.substring(pid, 9, 4), F.lit("-"),
                      F.substring(pid, 13, 2))
@@ -133,10 +141,12 @@ def raw_source_b(spark: SparkSession, sf_dir: str, lines: DataFrame | None = Non
     amount = (F.when(bad & (F.col("l_linenumber") == 1), F.lit("0"))
                .when(bad & (F.col("l_linenumber") == 2), F.lit("-1"))
                .when(bad & (F.col("l_linenumber") == 3), F.lit("x"))
+               .when((F.col("l_orderkey") % 25 == 0) & (F.col("l_linenumber") == 4), F.lit("0.004"))
+               .when((F.col("l_orderkey") % 25 == 0) & (F.col("l_linenumber") == 5), F.lit("1e17"))
                .otherwise(_money_text("l_extendedprice")))
     return li.select(
         F.col("c_name").alias(h["customer_name"]),
-        F.lpad(F.col("c_custkey").cast("string"), 14, "0").alias(h["customer_id"]),
+        _company_id().alias(h["customer_id"]),
         F.col("n_name").alias(h["region"]), date_text.alias(h["sale_date"]),
         F.col("p_partkey").cast("string").alias(h["product_code"]),
         F.concat_ws(" ", "p_name", "p_type").alias(h["product_name"]),
