@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import schema as S
 from ..functions.numeric import money, ratio
+from .reports import argmax_labels
 
 
 def latest_date(fact: DataFrame):
@@ -37,12 +38,13 @@ def mode_per_customer(fact: DataFrame) -> DataFrame:
     """Per customer, the most frequent name, region, channel and seller;
     ties go to the smallest value, no value gives ``""``.
 
-    ``mode`` is an object-hash aggregate with map-side partial buffers.
+    Rows are counted per (customer, value) for the four columns at once, which
+    combines map-side, so neither a hot customer's rows nor a buffer of all its
+    values meet in one task; the largest count per customer is kept after.
     """
-    base = fact.where(F.col("customer_id").isNotNull())
-    return base.groupBy("customer_id").agg(
-        *[F.coalesce(F.mode(c, True), F.lit("")).alias(c)
-          for c in ("customer_name", "region", "channel", "seller")])
+    columns = ("customer_name", "region", "channel", "seller")
+    best = argmax_labels(fact, "customer_id", {c: c for c in columns}, F.count(F.lit(1)))
+    return best.select("customer_id", *[F.coalesce(c, F.lit("")).alias(c) for c in columns])
 
 
 def top_product_per_customer(fact: DataFrame) -> DataFrame:
@@ -62,8 +64,7 @@ def customer_detail(fact: DataFrame) -> DataFrame:
 
     Three per-customer aggregates (totals with distinct counts, modes, top
     product) joined on the customer key: kept apart, each aggregate stays on
-    its fastest physical path (the modes' object buffers do not ride through
-    the distinct-count expansion).
+    its fastest physical path.
     """
     ref = latest_date(fact)
     base = fact.where(F.col("customer_id").isNotNull())

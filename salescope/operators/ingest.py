@@ -6,7 +6,7 @@ canonical fields of :data:`salescope.schema.FIELDS`.
 """
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -101,8 +101,13 @@ def distinct_dedup(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS) -> DataFrame
 
 
 def canonical_names(df: DataFrame) -> DataFrame:
-    """J1 (lookup side): per code, the longest product name (ties: greatest)."""
+    """J1 (lookup side): per code, the longest product name (ties: greatest).
+
+    The different (code, name) pairs come first: a hash aggregation that
+    shrinks map-side, so the sort-based maximum sees few rows per code.
+    """
     return (df.where(F.col("product_code").isNotNull() & F.col("product_name").isNotNull())
+              .select("product_code", "product_name").distinct()
               .groupBy("product_code")
               .agg(F.max(F.struct(F.length("product_name").alias("n"),
                                   F.col("product_name").alias("name"))).alias("_m"))
@@ -131,9 +136,14 @@ def finalize(df: DataFrame) -> DataFrame:
     )
 
 
-def consolidate(frames: Sequence[DataFrame]) -> DataFrame:
-    """Standardised tables -> fact: union, clean, dedup, canonicalise, finalise."""
-    return finalize(canonical_name(distinct_dedup(clean(union_sources(frames)))))
+def consolidate(frames: Sequence[DataFrame],
+                keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Standardised tables -> fact: union, clean, dedup, canonicalise, finalise.
+
+    The deduplicated rows are read twice (names, then rows); ``keep`` may write
+    them once and give them back.
+    """
+    return finalize(canonical_name(keep(distinct_dedup(clean(union_sources(frames))))))
 
 
 def ingest_counts(stacked: DataFrame, fact: DataFrame) -> DataFrame:

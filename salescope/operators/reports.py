@@ -24,10 +24,10 @@ def total_amount(fact: DataFrame) -> Column:
 
 
 def argmax_labels(fact: DataFrame, key: str, labels: dict[str, str],
-                  value: str = "amount") -> DataFrame:
+                  value: Column | None = None) -> DataFrame:
     """W2 for several labels in one scan: per ``key``, for each ``label`` the
-    value with the largest summed ``value`` (ties: smallest label), as column
-    ``labels[label]``.
+    value with the largest aggregate ``value`` (default: the summed amount;
+    ties: smallest label), as column ``labels[label]``.
 
     One grouping-sets aggregation sums per (key, label) for every label at
     once, then one aggregation per key keeps ``min(struct(-sum, label))`` for
@@ -37,7 +37,8 @@ def argmax_labels(fact: DataFrame, key: str, labels: dict[str, str],
     sets = [[F.col(key), F.col(lbl)] for lbl in names]
     per = (fact.where(F.col(key).isNotNull())
                .groupingSets(sets, key, *names)
-               .agg(F.sum(value).alias("_v"), F.grouping_id().alias("_gid")))
+               .agg((F.sum("amount") if value is None else value).alias("_v"),
+                    F.grouping_id().alias("_gid")))
     n = len(names)
     best = []
     for i, lbl in enumerate(names):

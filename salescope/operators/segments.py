@@ -23,6 +23,7 @@ FEATURES = ["recency", "frequency", "monetary"]
 
 
 def standardized(r: DataFrame) -> DataFrame:
+    """The features with their z-scores (population deviation; a constant feature is 0)."""
     stats = r.agg(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c)
                     for c in FEATURES])
     cols = []
@@ -34,36 +35,37 @@ def standardized(r: DataFrame) -> DataFrame:
     return r.select("*", *cols)
 
 
-ROWS_PER_PARTITION = 200_000
+# The features lie in this many partitions whatever the size or the session, dealt
+# by customer and sorted inside: seeds pick rows by partition and place, so the
+# start points, and with them the clusters, do not depend on the partitioning.
+PARTITIONS = 32
 
 
 def assign_clusters(r: DataFrame, k: int = S.SEGMENT_COUNT, seed: int = S.SEGMENT_SEED,
-                    n_init: int = S.SEGMENT_INITS, max_iter: int = 100) -> DataFrame:
-    """Customers with their cluster id (``prediction``).
+                    n_init: int = S.SEGMENT_INITS, max_iter: int = 100) -> DataFrame | None:
+    """Customers with their cluster id (``prediction``); None if there are fewer than ``k``.
 
-    The feature table is cached for the iterations, in partitions sized to
-    its row count: every KMeans iteration is one job, so a few rows spread
-    over many partitions would be all scheduling.
+    The per-customer table is cached first, so the fact is aggregated once for
+    the count, the scaler statistics and the features.
     """
     vec = VectorAssembler(inputCols=[f"z_{c}" for c in FEATURES], outputCol="features")
-    # the per-customer table is read by the count, the scaler statistics and
-    # the features: cache it so the fact is aggregated once
     r = r.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = r.count()
-    parts = max(1, -(-rows // ROWS_PER_PARTITION))
-    data = vec.transform(standardized(r)).repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
-    data.count()
-    r.unpersist()
+    data = None
     try:
+        if r.count() < k:
+            return None
+        data = vec.transform(standardized(r)).repartition(PARTITIONS, "customer_id") \
+                  .sortWithinPartitions("customer_id").persist(StorageLevel.MEMORY_AND_DISK)
+        data.count()
+
         def fit(i: int):
             model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=1e-4,
                            featuresCol="features").fit(data)
             return model.summary.trainingCost, i, model
 
-        # the fits are independent Spark jobs over the same cached features;
-        # submitting them from several threads lets the scheduler overlap them
-        # (as many at once as there are partitions per core to keep busy)
-        slots = max(1, r.sparkSession.sparkContext.defaultParallelism // parts)
+        # the fits are independent Spark jobs over the same cached features; a few
+        # at a time let the scheduler overlap them
+        slots = max(1, r.sparkSession.sparkContext.defaultParallelism // 4)
         with ThreadPoolExecutor(max_workers=max(1, min(n_init, slots))) as pool:
             fits = list(pool.map(fit, range(n_init)))
         best = min(fits, key=lambda t: (t[0], t[1]))[2]
@@ -71,7 +73,9 @@ def assign_clusters(r: DataFrame, k: int = S.SEGMENT_COUNT, seed: int = S.SEGMEN
         # cached, so reading them later does not re-aggregate the fact
         return best.transform(data).drop("features").checkpoint(eager=True)
     finally:
-        data.unpersist()
+        if data is not None:
+            data.unpersist()
+        r.unpersist()
 
 
 def summarize(clustered: DataFrame) -> DataFrame:
@@ -96,9 +100,9 @@ def summarize(clustered: DataFrame) -> DataFrame:
 def rfm_segments(fact: DataFrame, k: int = S.SEGMENT_COUNT, n_init: int = S.SEGMENT_INITS
                  ) -> DataFrame:
     """M3: cluster summary; empty when there are fewer customers than ``k``."""
-    r = rfm(fact)
-    if r.limit(k).count() < k:
+    clustered = assign_clusters(rfm(fact), k=k, n_init=n_init)
+    if clustered is None:
         schema = ("cluster bigint, customers bigint, mean_recency double, mean_frequency double, "
                   "mean_monetary double, total_monetary double, label string")
         return fact.sparkSession.createDataFrame([], schema)
-    return summarize(assign_clusters(r, k=k, n_init=n_init))
+    return summarize(clustered)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import session as SS
 from ..functions import expressions as E
+from ..functions.numeric import half_up
 from ..operators import customers as C
 from ..operators import forecast as FC
 from ..operators import ingest as IG
@@ -90,6 +91,10 @@ for _name, _op, _sql in [
     ("customer_sort_recency",
      lambda fact: C.customer_list(fact, "", "recency_days", C.S.CUSTOMER_LIST_ROWS),
      QS.customer_search_sql("", "recency_days ASC", 500)),
+    *[(f"customer_sort_{by}",
+       lambda fact, by=by: C.customer_list(fact, "", by, C.S.CUSTOMER_LIST_ROWS),
+       QS.customer_search_sql("", f"{by} DESC", 500))
+      for by in C.S.CUSTOMER_SORT_COLUMNS if by != "recency_days"],
 ]:
     _report(_name, _op, _sql)
 
@@ -170,6 +175,13 @@ def _stock_summary(spark, sf_dir):
     return ST.stock_summary(ST.stock_status(sales_fact(spark, sf_dir), FX.stock_table(spark, sf_dir)))
 
 
+@register("rfm_standardized", QS.RFM_STANDARDIZED)
+def _rfm_standardized(spark, sf_dir):
+    """The z-scores the clusters are made of, to six digits."""
+    return SG.standardized(C.rfm(sales_fact(spark, sf_dir))).select(
+        "customer_id", *[half_up(f"z_{c}", 6).alias(f"z_{c}") for c in SG.FEATURES])
+
+
 @register("rfm_segments")
 def _rfm_segments(spark, sf_dir):
     return SG.rfm_segments(sales_fact(spark, sf_dir))

@@ -87,7 +87,11 @@ class Ingest:
         return ingest.clean(self.stacked())
 
     def deduped(self) -> DataFrame:
-        return ingest.distinct_dedup(self.cleaned())
+        """A18; like the stacked rows, written once for the given tables."""
+        if self.sf_dir is None:
+            return ingest.distinct_dedup(self.cleaned())
+        return materialized(self.spark, f"deduped-{self.tag}", self.sf_dir.rstrip("/"),
+                            lambda: ingest.distinct_dedup(self.cleaned()))
 
     def fact(self) -> DataFrame:
         return ingest.finalize(ingest.canonical_name(self.deduped()))

@@ -168,6 +168,20 @@ FROM fact WHERE customer_id IS NOT NULL GROUP BY customer_id
 """)
 
 
+def _z(c: str) -> str:
+    return (f"ROUND6(CASE WHEN (SELECT stddev_pop({c}) FROM rfm) > 0 THEN "
+            f"(CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM rfm)) / (SELECT stddev_pop({c}) FROM rfm) "
+            f"ELSE 0.0 END) AS z_{c}")
+
+
+RFM_STANDARDIZED = with_fact(f""", rfm AS (
+SELECT customer_id, date_diff('day', max(sale_date), {REF}) AS recency,
+       count(DISTINCT sale_date) AS frequency, CAST(sum(amount) AS DOUBLE) AS monetary
+FROM fact WHERE customer_id IS NOT NULL GROUP BY customer_id)
+SELECT customer_id, {", ".join(_z(c) for c in ("recency", "frequency", "monetary"))} FROM rfm
+""")
+
+
 def customer_search_sql(query: str, order: str = "amount DESC", limit: int = 500) -> str:
     q = query.strip().lower().replace("'", "''")
     cols = ["customer_id", "customer_name", "region", "channel", "seller", "top_product"]

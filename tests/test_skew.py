@@ -107,3 +107,37 @@ def test_broadcast_only_behind_a_proven_bound(spark):
         assert "BroadcastHashJoin" not in unhinted and "SortMergeJoin" in unhinted
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_modes_count_before_they_meet(spark):
+    """No per-customer object buffer, no sort of fact rows: rows are counted in a hash
+    aggregation before the first exchange."""
+    from salescope.operators import customers as C
+    rows = [(f"{k:014d}" if k % 3 else "00000000000000", f"n{k % 7}") for k in range(60)]
+    fact = (spark.createDataFrame(rows, "customer_id string, customer_name string")
+            .selectExpr("*", "'r' as region", "'c' as channel", "cast(null as string) as seller"))
+    text = C.mode_per_customer(fact)._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "ObjectHashAggregate" not in text
+    deepest = text.rstrip().splitlines()
+    first_exchange = max(i for i, line in enumerate(deepest) if "Exchange" in line)
+    assert not any("Sort" in line for line in deepest[first_exchange + 1:])
+    assert any("HashAggregate" in line and "partial_count" in line for line in deepest[first_exchange + 1:])
+
+
+def test_segments_do_not_depend_on_partitioning(spark):
+    """The same clusters from three partitionings of the same customers."""
+    import random
+
+    from salescope.operators import segments as SG
+    rng = random.Random(3)
+    rows = [(f"{k:05d}", rng.randrange(300), rng.randrange(1, 40), rng.random() * 9000) for k in range(900)]
+    schema = "customer_id string, recency bigint, frequency bigint, monetary double"
+    seen = set()
+    for parts in (1, 5, 13):
+        df = spark.createDataFrame(rows, schema).repartition(parts)
+        out = SG.assign_clusters(df, n_init=2).collect()
+        groups: dict = {}
+        for r in out:
+            groups.setdefault(r.prediction, []).append(r.customer_id)
+        seen.add(tuple(sorted(tuple(sorted(g)) for g in groups.values())))
+    assert len(seen) == 1
