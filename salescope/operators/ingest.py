@@ -22,13 +22,14 @@ def missing_required(mapping: Mapping[str, str | None]) -> list[str]:
     return [f for f in S.REQUIRED_FIELDS if not mapping.get(f)]
 
 
-def standardize(raw: DataFrame, mapping: Mapping[str, str | None], seller: str,
-                source_file: str | Column) -> DataFrame:
+def standardize(raw: DataFrame, mapping: Mapping[str, str | None], seller: str | Column,
+                source_file: str | Column, carry: Sequence[str] = ()) -> DataFrame:
     """One ``select`` from raw text columns to the 11 standard columns.
 
     Optional fields fall back: customer name to the raw id, region to
     ``??``, product code to the synthetic code, channel to ``NAO INFORMADO``.
-    ``_row_no`` is carried along when present so dedup can keep file order.
+    ``_row_no`` is carried along when present so dedup can keep file order, and
+    so are the columns ``carry``.
     """
     missing = missing_required(mapping)
     if missing:
@@ -57,21 +58,25 @@ def standardize(raw: DataFrame, mapping: Mapping[str, str | None], seller: str,
         E.coerce_quantity(col("quantity")).alias("quantity"),
         (E.normalize_upper(col("channel")) if "channel" in m
          else F.lit(S.UNKNOWN_CHANNEL)).alias("channel"),
-        F.lit(seller).alias("seller"),
+        (seller if isinstance(seller, Column) else F.lit(seller)).alias("seller"),
         (source_file if isinstance(source_file, Column) else F.lit(source_file))
         .alias("source_file"),
     ]
     if "_row_no" in raw.columns:
         out.append(F.col("_row_no").cast("bigint").alias("_row_no"))
-    return raw.select(*out)
+    return raw.select(*out, *carry)
 
 
 def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
-    """Stack standardised tables by name; ``_source_rank`` keeps their order."""
+    """Stack standardised tables by name; ``_source_rank`` keeps their order.
+
+    Every table must bring ``_row_no``, the row order within its file: dedup
+    keeps the first row, and without the order that would be any row.
+    """
     ranked = []
     for rank, df in enumerate(frames):
         if "_row_no" not in df.columns:
-            df = df.withColumn("_row_no", F.lit(0).cast("bigint"))
+            raise ValueError("a standardised table needs _row_no, its row order")
         ranked.append(df.select(*STANDARD_COLUMNS, "_row_no",
                                 F.lit(rank).alias("_source_rank")))
     out = ranked[0]

@@ -22,6 +22,7 @@ from ..sources.fact import sales_fact
 from ..streaming.landing import stream_supplier_files
 from . import consolidate as CO
 from . import ingest_sql as IS
+from . import landing_batch as LB
 from . import report_sql as RS
 from . import schema_inference as SI
 from . import series_sql as QS
@@ -216,6 +217,10 @@ def _landing_stream(spark, sf_dir):
     return stream_supplier_files(spark, sf_dir).drop("source_file")
 
 
+register("landing_batch", IS.CONSOLIDATE_SOURCES)(LB.landing_batch)
+register("landing_log", IS.LANDING_LOG)(LB.landing_log)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -7,14 +7,16 @@ A file whose mapping lacks a required field is quarantined: it gets an
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import schema as S
 from ..operators import ingest
 from ..sources import fixtures
 from ..sources.materialize import materialized
+from ..sources.raw import Layout
 
 LOG_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()),
@@ -66,6 +68,39 @@ def log_for_files(log: DataFrame, files: DataFrame) -> DataFrame:
     return log.join(files.select("source_file"), "source_file", "left_semi")
 
 
+def stack_layouts(layouts: Sequence[Layout], mapping_of: Callable[[Layout], Mapping[str, str | None]],
+                  seller: Column) -> tuple[DataFrame | None, list[tuple[str, str]]]:
+    """U1 over the layouts of a landing folder: one standardised branch a layout, whatever
+    the number of files; files rank by name. Also ``(file, error)`` of the files left out."""
+    frames, errors = [], []
+    for layout in layouts:
+        mapping = mapping_of(layout)
+        missing = ingest.missing_required(mapping)
+        if missing:
+            errors += [(f, f"required fields not found: {missing}") for f in layout.files]
+        else:
+            frames.append(ingest.standardize(layout.frame, mapping, seller, F.col("source_file"))
+                          .withColumn("_source_rank", F.col("source_file")))
+    return (reduce(DataFrame.unionByName, frames) if frames else None), errors
+
+
+def landing_log(spark: SparkSession, files: Sequence[str], errors: Sequence[tuple[str, str]],
+                stacked: DataFrame | None) -> DataFrame:
+    """S4 for a landing folder: per file its status, the rows read, those without a date and
+    without an amount (both are left out of the fact), and the error of a file that was not read."""
+    failed = dict(errors)
+    log = spark.createDataFrame([(f, "error" if f in failed else "ok", failed.get(f)) for f in files],
+                                "source_file string, status string, error string")
+    if stacked is None:
+        return log.select("source_file", "status", *[F.lit(None).cast("bigint").alias(c)
+                                                     for c in ("rows", "no_date", "no_amount")], "error")
+    counts = stacked.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("sale_date").isNull()).alias("no_date"),
+        F.count_if(F.col("amount") <= 0).alias("no_amount"))
+    return log.join(counts, "source_file", "left").select(
+        "source_file", "status", "rows", "no_date", "no_amount", "error")
+
+
 class Ingest:
     """The ingest plan over the supplier files of one folder of tables."""
 

@@ -333,3 +333,15 @@ CONSOLIDATE_INFERRED = _r(
 # CSV files); the file name column is left out, the stream sees Spark's
 # part-file names.
 STREAM_SOURCES = _sql("SELECT * EXCLUDE (source_file) FROM fact")
+
+# The landing folder's log: the four supplier files and an empty one.
+LANDING_LOG = _sql("""
+SELECT l.source_file, l.status, c.rows, c.no_date, c.no_amount, l.error
+FROM (VALUES ('source_a.csv', 'ok', NULL), ('source_b.csv', 'ok', NULL), ('source_c.csv', 'ok', NULL),
+  ('source_d.csv', 'error',
+   'required fields not found: [''customer_id'', ''sale_date'', ''amount'', ''quantity'']'),
+  ('source_empty.csv', 'error', 'empty file: no header line')) l(source_file, status, error)
+LEFT JOIN (SELECT source_file, count(*) AS rows, count(*) FILTER (WHERE sale_ts IS NULL) AS no_date,
+                  count(*) FILTER (WHERE amount <= 0) AS no_amount FROM std GROUP BY source_file) c
+  ON c.source_file = l.source_file
+""")

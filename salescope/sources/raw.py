@@ -1,16 +1,33 @@
 """Raw supplier files (S2, S3): tabular text files read with all-string columns.
 
-Files in one landing folder may have different headers, so the folder is
-read once per header signature: files are grouped by their first line and
-each group is one ``spark.read.csv`` (header on, no schema inference). The
-source of each row comes from ``_metadata.file_name``; ``_row_no`` keeps
-the row order within a file.
+Files in one landing folder may have different headers. Only the headers are
+read to find the layouts, and each layout is one ``spark.read.csv`` over its
+files (header on, no schema inference), so a folder of many files makes as
+many scans as it has layouts and every file is read once. ``source_file``
+comes from the file's path; ``_row_no`` keeps the row order within a file.
 """
 from __future__ import annotations
 
-from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+HEADER_READERS = 16        # headers read at a time: one short job each
+
+
+@dataclass
+class Layout:
+    """Files with the same header line and the one frame that reads them all."""
+    headers: tuple[str, ...]
+    files: list[str]
+    frame: DataFrame
+
+
+def _entry_name() -> Column:
+    """The file's name, or that of the ``.csv`` folder Spark wrote it into."""
+    return F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))),
+                            r"([^/]+?)(?:(?<=\.csv)/part-[^/]*)?$", 1)
 
 
 def read_raw(spark: SparkSession, paths: str | list[str], fmt: str = "csv") -> DataFrame:
@@ -27,7 +44,7 @@ def read_raw(spark: SparkSession, paths: str | list[str], fmt: str = "csv") -> D
         raise ValueError(f"unsupported raw format: {fmt}")
     # a byte-order mark at the start of a file ends up in the first header
     df = df.select(*[F.col(f"`{c}`").alias(c.lstrip("\ufeff")) for c in df.columns])
-    return df.select("*", F.col("_metadata.file_name").alias("source_file"),
+    return df.select("*", _entry_name().alias("source_file"),
                      F.monotonically_increasing_id().alias("_row_no"))
 
 
@@ -41,36 +58,40 @@ def list_files(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[s
     if not fs.exists(path):
         return []
     names = [st.getPath().toString() for st in fs.listStatus(path)
-             if st.isFile() and st.getPath().getName().lower().endswith(suffix)]
+             if st.getPath().getName().lower().endswith(suffix)]
     return sorted(names)
 
 
-def header_signatures(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Group files by their header line (read as text, first line per file)."""
-    if not files:
-        return {}
-    # the header is the first line of the split that starts the file; the
-    # row id grows with the line order inside a split
-    lines = (spark.read.text(files)
-                  .where(F.col("_metadata.file_block_start") == 0)
-                  .select(F.col("_metadata.file_path").alias("p"), "value",
-                          F.monotonically_increasing_id().alias("i"))
-                  .groupBy("p").agg(F.min_by("value", "i").alias("header")))
-    # one row per file comes back (the headers), never the data
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for r in lines.collect():
-        groups[tuple(r["header"].lstrip("\ufeff").split(","))].append(r["p"])
-    return {k: sorted(v) for k, v in groups.items()}
+def read_headers(spark: SparkSession, files: list[str]) -> dict[str, tuple[str, ...] | Exception]:
+    """Header of every file, or why it has none; only a file's first line is read."""
+    def header(path: str) -> tuple[str, ...] | Exception:
+        try:
+            columns = spark.read.option("header", True).csv(path).columns
+        except Exception as e:  # noqa: BLE001 - one bad file must not stop the others
+            return e
+        return tuple(c.lstrip("\ufeff") for c in columns) if columns else ValueError("empty file: no header line")
+
+    with ThreadPoolExecutor(max_workers=HEADER_READERS) as pool:
+        return dict(zip(files, pool.map(header, files)))
+
+
+def scan_layouts(spark: SparkSession, folder: str) -> tuple[list[Layout], list[tuple[str, str]]]:
+    """S3: the layouts of a folder's CSV files, and ``(file, error)`` for those that have none."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    errors = []
+    for path, header in read_headers(spark, list_files(spark, folder)).items():
+        if isinstance(header, Exception):
+            errors.append((path.rsplit("/", 1)[-1], str(header).splitlines()[0][:300]))
+        else:
+            groups.setdefault(header, []).append(path)
+    return [Layout(h, [p.rsplit("/", 1)[-1] for p in paths], read_raw(spark, paths))
+            for h, paths in groups.items()], errors
 
 
 def scan_landing(spark: SparkSession, folder: str) -> list[tuple[str, DataFrame]]:
-    """S3: ``(file name, raw frame)`` for every CSV file of ``folder``, in
-    sorted order; one read per header signature, filtered per file."""
-    files = list_files(spark, folder)
-    out = []
-    for _, group in header_signatures(spark, files).items():
-        df = read_raw(spark, group)
-        for path in group:
-            name = path.rsplit("/", 1)[-1]
-            out.append((name, df.where(F.col("source_file") == name).drop("source_file")))
-    return sorted(out, key=lambda t: t[0])
+    """S3: ``(file name, raw frame)`` for every readable CSV file of ``folder``, in
+    sorted order, each file read on its own (for a handful of files whose columns
+    are still to be profiled; :func:`scan_layouts` reads many)."""
+    headers = read_headers(spark, list_files(spark, folder))
+    return [(path.rsplit("/", 1)[-1], read_raw(spark, path).drop("source_file"))
+            for path, header in headers.items() if not isinstance(header, Exception)]
