@@ -5,8 +5,8 @@ Features are categories: the word's shape (length, digits, capitals, symbols),
 how often its characters change class, ``:`` or ``=`` inside it, what the word
 before announces (a key word, a colon), the shape of the word after, and how
 much the document looks like code. The best tag path is found by Viterbi; a
-word whose outside score leads by more than any transition can make up is
-outside on every best path, so only the stretches between such words are
+word whose outside score leads by more than any neighbouring tags can make up
+is outside on every best path, so only the stretches between such words are
 decoded, with the same result.
 
 Three fixed patterns give the base spans, which always stay (``BASE``); the
@@ -197,12 +197,17 @@ class Field:
             np.add.at(moves, (tags[:, i], tags[:, i + 1]), -both[:, i])
         return [*grads, moves]
 
+    def _gains(self) -> np.ndarray:
+        """Per tag, the most that a path can gain in its moves by this tag instead of outside."""
+        enter = np.append((self.moves - self.moves[:, :1]).max(axis=0)[None], np.zeros((1, 3)), axis=0)
+        leave = np.append((self.moves - self.moves[:1]).max(axis=1)[None], np.zeros((1, 3)), axis=0)
+        return enter.max(axis=0) + leave.max(axis=0)
+
     def decode(self, scores: np.ndarray, first: np.ndarray, margin: float) -> np.ndarray:
         """Best tags per document; ``margin`` is taken off the secret tags."""
         scores = scores.copy()
         scores[:, 1:] -= margin
-        lead = scores[:, OUTSIDE] - scores[:, 1:].max(axis=1)
-        doubtful = np.flatnonzero(lead <= 2 * (self.moves.max() - self.moves.min()))
+        doubtful = np.flatnonzero((scores[:, :1] - scores <= self._gains())[:, 1:].any(axis=1))
         tags = np.zeros(len(scores), np.int8)
         if not len(doubtful):
             return tags
