@@ -91,8 +91,9 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, minimizer: int = MINIMI
     """All occurrences of runs whose minimizer lies in two documents or more."""
     runs = C.store(docs.filter("doc_id IS NOT NULL").select("doc_id", "text")
                    .mapInArrow(_find_runs(window, minimizer), RUNS), "runs")
-    shared = (runs.groupBy("minimizer").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-              .filter("a < b").select("minimizer"))
+    # written first: a join of two plain exchanges, so the rows of a frequent minimizer can be split
+    shared = C.store(runs.groupBy("minimizer").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+                     .filter("a < b").select("minimizer"), "shared")
     out = C.store(runs.join(shared, "minimizer", "left_semi"), "runs")
     C.drop_stored(docs.sparkSession, runs)
     return out
@@ -187,7 +188,8 @@ def branching_marks(docs: DataFrame, distinct: DataFrame, window: int = WINDOW)
     edges = docs.select("doc_id", "text").join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(
         _edges_of(window), "edge long, minimizer long, run long, place int, source long, last long")
     edges = C.store(edges, "edges")
-    least = edges.groupBy("edge").agg(F.min("source").alias("least"), F.max("last").alias("most")).filter("least < most")
+    least = C.store(edges.groupBy("edge").agg(F.min("source").alias("least"), F.max("last").alias("most"))
+                    .filter("least < most"), "least")
     found = edges.join(least, "edge").filter("least < last")
     out = found.groupBy("minimizer", "run").agg(F.collect_set(F.struct("place", F.col("least").alias("source"))).alias("m"))
     return out.select("minimizer", "run", F.transform("m", lambda x: F.struct(
