@@ -526,3 +526,22 @@ def join(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     return join(C.documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, md5(array_to_string(words[i:i + 4], ' ')) AS g
+    FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 4)) AS i FROM w WHERE len(words) >= 5)
+    UNION ALL SELECT doc_id, md5(array_to_string(words, ' ')) FROM w WHERE len(words) BETWEEN 1 AND 4)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+pairs AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_id
+"""

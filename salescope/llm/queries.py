@@ -22,5 +22,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op5_debruijn_dedup": debruijn_dedup.SQL,
     "op6_cover_tree": cover_tree.SQL,
+    "op7_jaccard_join": jaccard_join.SQL,
     "op8_mixing": mixing.SQL,
 }
