@@ -42,9 +42,11 @@ def status_of(cover: Column) -> Column:
 
 def stock_status(fact: DataFrame, stock: DataFrame) -> DataFrame:
     """M4: every SKU that was sold or is in stock, with stock value, cover
-    days (1 decimal) and status; descending by stock value."""
+    days (1 decimal) and status; descending by stock value. Stock rows of one
+    code (several warehouses) are summed first."""
     v = sku_velocity(fact)
-    j = v.join(stock.select("product_code", F.col("units").alias("_stock")), "product_code", "full")
+    held = stock.groupBy("product_code").agg(F.sum("units").alias("_stock"))
+    j = v.join(held, "product_code", "full")
     units = F.coalesce(F.col("_stock"), F.lit(0)).cast("bigint")
     daily = F.coalesce(F.col("avg_daily_units"), F.lit(0.0))
     cover = F.when(daily > 0, units.cast("double") / daily)

@@ -2,6 +2,7 @@
 oracle SQL. ``__spark_entry__`` exposes both."""
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,9 +17,9 @@ from ..operators import reports as R
 from ..operators import segments as SG
 from ..operators import stock as ST
 from ..operators import timeseries as TS
-from ..sinks.writers import report_meta
+from ..sinks.writers import report_meta, write_csv, write_reports
 from ..sources import fixtures as FX
-from ..sources.fact import sales_fact
+from ..sources.fact import read_fact, sales_fact, write_fact
 from ..streaming.landing import stream_supplier_files
 from . import consolidate as CO
 from . import ingest_sql as IS
@@ -69,8 +70,11 @@ for _name, _op, _sql in [
     ("product_rank", R.product_rank, RS.PRODUCT_RANK),
     ("basic_group_reports", lambda fact: R.basic_group_reports(fact)["seller"],
      RS.BASIC_BY_SELLER),
-    ("report_meta", lambda fact: report_meta(fact.sparkSession, fact, False)
-                                 .drop("generated_at", "notes"), RS.REPORT_META),
+    ("basic_by_channel", lambda fact: R.basic_group_reports(fact)["channel"], RS.basic_by("channel")),
+    ("basic_by_region", lambda fact: R.basic_group_reports(fact)["region"], RS.basic_by("region")),
+    ("basic_by_day", lambda fact: R.basic_group_reports(fact)["day"], RS.basic_by("sale_date")),
+    ("report_meta", lambda fact: report_meta(fact.sparkSession, fact, False).drop("generated_at")
+                                 .withColumn("notes", F.array_join("notes", " | ")), RS.REPORT_META),
     ("daily_sales", TS.daily_sales, QS.DAILY_SALES),
     ("weekly_sales", TS.weekly_sales, QS.WEEKLY_SALES),
     ("monthly_sales", TS.monthly_sales, QS.MONTHLY_SALES),
@@ -78,6 +82,8 @@ for _name, _op, _sql in [
     ("day_index", TS.day_index, QS.DAY_INDEX),
     ("trailing_mean_7", TS.trailing_mean_7, QS.TRAILING_MEAN_7),
     ("peak_period", TS.peak_period, QS.PEAK_PERIOD),
+    ("peak_week", lambda fact: TS.peak_period(fact, "week"), QS.peak_period_sql("week")),
+    ("peak_month", lambda fact: TS.peak_period(fact, "month"), QS.peak_period_sql("month")),
     ("sales_forecast", FC.sales_forecast, QS.SALES_FORECAST),
     ("forecast_metrics", FC.forecast_metrics, QS.FORECAST_METRICS),
     ("actual_plus_forecast", FC.actual_plus_forecast, QS.ACTUAL_PLUS_FORECAST),
@@ -217,6 +223,29 @@ def _landing_stream(spark, sf_dir):
     return stream_supplier_files(spark, sf_dir).drop("source_file")
 
 
+@register("fact_round_trip", RS.FACT)
+def _fact_round_trip(spark, sf_dir):
+    """K1 + S1: the fact written and read back."""
+    path = SS.shared_path(spark, f"fact-copy-{uuid.uuid4().hex}")
+    return read_fact(spark, write_fact(sales_fact(spark, sf_dir), path))
+
+
+@register("csv_round_trip", RS.basic_by("channel"))
+def _csv_round_trip(spark, sf_dir):
+    """K2: a report written as CSV with a header and read back."""
+    report = R.basic_group_reports(sales_fact(spark, sf_dir))["channel"]
+    path = write_csv(report, SS.shared_path(spark, f"report-{uuid.uuid4().hex}"))
+    return spark.read.option("header", True).schema(report.schema).csv(path)
+
+
+@register("report_files", RS.BY_REGION)
+def _report_files(spark, sf_dir):
+    """K3: reports written by ``write_reports``, one of them read back."""
+    written = write_reports(spark, sales_fact(spark, sf_dir), {"by_region": R.by_region},
+                            SS.shared_path(spark, f"reports-{uuid.uuid4().hex}"), fmt="parquet")
+    return spark.read.parquet(written["by_region"])
+
+
 register("landing_batch", IS.CONSOLIDATE_SOURCES)(LB.landing_batch)
 register("landing_log", IS.LANDING_LOG)(LB.landing_log)
 

@@ -182,8 +182,22 @@ SELECT seller, CAST(sum(quantity) AS BIGINT) AS units, count(DISTINCT customer_i
 FROM fact WHERE seller IS NOT NULL GROUP BY seller
 """)
 
+
+
+def basic_by(key: str) -> str:
+    return with_fact(f"""
+SELECT {key}, CAST(sum(quantity) AS BIGINT) AS units, CAST(sum(amount) AS DOUBLE) AS amount
+FROM fact WHERE {key} IS NOT NULL GROUP BY {key}
+""")
+
+
+FACT = with_fact("SELECT * FROM fact")
+
 REPORT_META = with_fact("""
 SELECT false AS empty, strftime(min(sale_date), '%Y-%m-%d') AS date_min,
-       strftime(max(sale_date), '%Y-%m-%d') AS date_max, 14 AS horizon_days
+       strftime(max(sale_date), '%Y-%m-%d') AS date_max, 14 AS horizon_days,
+       'Seller comes from the source file (one file per distributor). | '
+       || 'Stock cover uses the given stock table (target cover 60 days). | '
+       || 'Forecast: least squares on the ordinal of selling days, band of 1.5 sigma of residuals.' AS notes
 FROM fact
 """)

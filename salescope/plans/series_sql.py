@@ -44,13 +44,19 @@ SELECT count(*) AS days, ROUND2(avg(amount)) AS moving_avg_7d
 FROM (SELECT amount FROM xy ORDER BY sale_date DESC LIMIT 7)
 """)
 
-PEAK_PERIOD = with_fact("""
-SELECT 'day' AS granularity, sale_date AS period, CAST(sum(amount) AS DOUBLE) AS amount,
+
+def peak_period_sql(granularity: str = "day") -> str:
+    period = "sale_date" if granularity == "day" else f"CAST(date_trunc('{granularity}', sale_date) AS DATE)"
+    return with_fact(f"""
+SELECT '{granularity}' AS granularity, {period} AS period, CAST(sum(amount) AS DOUBLE) AS amount,
        CAST(sum(quantity) AS BIGINT) AS units
-FROM fact WHERE sale_date IS NOT NULL GROUP BY sale_date
-ORDER BY sum(amount) DESC, sale_date LIMIT 1
+FROM fact WHERE sale_date IS NOT NULL GROUP BY {period}
+ORDER BY sum(amount) DESC, {period} LIMIT 1
 """)
 
+
+PEAK_PERIOD = peak_period_sql()
+
 FIT = f""", {XY},
 line AS (
   SELECT count(*) AS n, max(sale_date) AS last_date,

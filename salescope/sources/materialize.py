@@ -27,15 +27,29 @@ def _lock_for(k: tuple[str, ...]) -> threading.RLock:
         return _locks.setdefault(k, threading.RLock())
 
 
+def input_state(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of a folder's entries: what a table made from it depends on."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(conf)
+    if not fs.exists(path):
+        return ""
+    return ";".join(sorted(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}"
+                           for st in fs.listStatus(path)))
+
+
 def _path(spark: SparkSession, kind: str, key: str) -> tuple[tuple[str, ...], str]:
-    k = (spark.sparkContext.applicationId, kind, key)
+    k = (spark.sparkContext.applicationId, kind, key, input_state(spark, key))
     digest = hashlib.sha1("|".join(k).encode()).hexdigest()[:16]
     return k, SS.shared_path(spark, f"{kind}-{digest}")
 
 
 def materialized(spark: SparkSession, kind: str, key: str,
                  build: Callable[[], DataFrame]) -> DataFrame:
-    """``build()`` written once under ``<checkpoint dir>/<kind>-<digest>``, read back."""
+    """``build()`` written once under ``<checkpoint dir>/<kind>-<digest>``, read back.
+
+    ``key`` is the input folder; a changed listing of it is another table.
+    """
     k, path = _path(spark, kind, key)
     with _lock_for(k):
         if _paths.get(k) != path or not SS.path_exists(spark, path + "/_SUCCESS"):

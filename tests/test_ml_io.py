@@ -149,3 +149,37 @@ def test_user_flow_on_a_landing_folder(spark):
     assert {r.seller for r in fact.select("seller").distinct().collect()} == \
         {"Auto · source_a", "Auto · source_b", "Auto · source_c"}
     assert "by_seller" in written
+
+
+def test_changed_inputs_are_read_again(spark):
+    """A written-once table follows the listing of its input folder."""
+    from salescope.sources.materialize import materialized
+    folder = tempfile.mkdtemp(prefix="inputs-")
+    spark.range(3).write.parquet(os.path.join(folder, "t.parquet"))
+
+    def count():
+        return materialized(spark, "copy", folder, lambda: spark.read.parquet(os.path.join(folder, "t.parquet"))).count()
+
+    assert count() == 3 and count() == 3
+    spark.range(5).write.parquet(os.path.join(folder, "u.parquet"))
+    spark.range(4).write.mode("append").parquet(os.path.join(folder, "t.parquet"))
+    assert count() == 7
+
+
+def test_layouts_are_read_once(spark):
+    """As many scans as header layouts, whatever the number of files; bad files are reported."""
+    from salescope.sources.raw import scan_layouts
+    folder = tempfile.mkdtemp(prefix="layouts-")
+    for k in range(6):
+        with open(os.path.join(folder, f"f{k}.csv"), "w") as f:
+            f.write(("a,b\n1,2\n3,4\n" if k % 2 else "c\nx\n"))
+    open(os.path.join(folder, "empty.csv"), "w").close()
+    layouts, errors = scan_layouts(spark, folder)
+    assert sorted((layout.headers, len(layout.files)) for layout in layouts) == [(("a", "b"), 3), (("c",), 3)]
+    assert [name for name, _ in errors] == ["empty.csv"]
+    for layout in layouts:
+        plan = layout.frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan csv") == 1
+        rows = layout.frame.groupBy("source_file").count().collect()
+        assert sorted(r.source_file for r in rows) == layout.files
+        assert {r["count"] for r in rows} == {len(layout.headers) if "a" in layout.headers else 1}
