@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import checkpoint_dir
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
@@ -50,14 +51,25 @@ def shuffle_cleanup(spark: SparkSession):
         spark.conf.set(_CLEANUP, before)
 
 
-def store(df: DataFrame, kind: str, partition_by: str | None = None) -> DataFrame:
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int | None):
+    """Python tasks of the statements inside get at most so many rows at a time (for rows of megabytes)."""
+    before = spark.conf.get(_BATCH_ROWS)
+    if rows:
+        spark.conf.set(_BATCH_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
+
+
+def store(df: DataFrame, kind: str, rows_at_a_time: int | None = None) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: lineage ends in files
     that outlive a lost executor."""
     spark = df.sparkSession
     path = scratch(spark, kind)
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    with shuffle_cleanup(spark):
-        writer.parquet(path)
+    with shuffle_cleanup(spark), batch_rows(spark, rows_at_a_time):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -51,6 +51,7 @@ PERCENT = 80
 RANGE_SHINGLES = 4_000_000     # entries counted in one task at a time
 REGION = 0.4                   # share of the hash space that decides which classes go on
 FLUSH_SHINGLES = 1 << 20       # entries a task gathers before it sends them on
+BATCH_ROWS = 4                 # rows of a range's shingles that a task holds at a time
 BLOCK_SHINGLES = 1_000_000     # shingles of one trie
 LEADERS = 8
 _LOW = (1 << 48) - 1
@@ -140,7 +141,7 @@ def repeated_shingles(docs: DataFrame, ranges: int, n: int = SHINGLE, region: fl
     def count(table: pa.Table) -> pa.Table:
         ids, times = [], []
         for batch in table.to_batches():
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 one = _unpack(row["low"], row["high"])
                 c = np.ones(len(one), np.uint32)
                 c[np.frombuffer(row["often"], "<u4")] = np.frombuffer(row["times"], "<u4")
@@ -205,6 +206,12 @@ def _sent_sets(docs: DataFrame, ranges: int, n: int, region: float) -> DataFrame
         send, "range long, low binary, high binary, owner binary, classes binary, sizes binary")
 
 
+def _rows(batch: pa.RecordBatch):
+    """The batch's rows as dictionaries, one at a time: a row holds megabytes."""
+    for k in range(batch.num_rows):
+        yield {name: batch.column(c)[k].as_py() for c, name in enumerate(batch.schema.names)}
+
+
 def _hits(row: dict):
     """(classes, their sizes, owner of each shingle, hash of each, counts of the repeated ones, which are repeated)."""
     known, counts = np.frombuffer(row["shingles"], np.uint64), np.frombuffer(row["counts"], "<u4")
@@ -231,7 +238,7 @@ def promising_classes(docs: DataFrame, rows: DataFrame, n: int = SHINGLE, region
 
     def count(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 classes, _, owner, _, _, hit = _hits(row)
                 found = np.bincount(owner[hit], minlength=len(classes))
                 beyond = 4 * found - np.bincount(owner, minlength=len(classes))
@@ -239,9 +246,11 @@ def promising_classes(docs: DataFrame, rows: DataFrame, n: int = SHINGLE, region
                 yield pa.RecordBatch.from_arrays([pa.array(classes[some]), pa.array(beyond[some].astype(np.int64))],
                                                  names=["class", "beyond"])
 
-    sent = _sent_sets(docs, ranges, n, region)
+    sent = C.store(_sent_sets(docs, ranges, n, region), "sent")
     told = sent.join(frequent.hint("shuffle_merge"), "range").select(*sent.columns, "shingles", "counts").mapInArrow(
         count, "class long, beyond long").groupBy("class").agg(F.sum("beyond").alias("beyond"))
+    told = C.store(told, "told", BATCH_ROWS)
+    C.drop_stored(docs.sparkSession, sent)
     classes = rows.filter("n_shingles > 0").select("class", "n_shingles", "low").distinct()
     missing = F.col("n_shingles") - F.ceil(F.col("n_shingles") * PERCENT / 100)
     return C.store(classes.join(told, "class", "left").filter(
@@ -252,7 +261,7 @@ def repeated_sets(docs: DataFrame, frequent: DataFrame, ranges: int, n: int = SH
     """class, n, s (shingles and counts), kept: the repeated shingles of each class that can have a partner at all."""
     def attach(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 classes, sizes, owner, h, times, hit = _hits(row)
                 by_owner = np.argsort(owner[hit], kind="stable")
                 hit, times = hit[by_owner], times[by_owner]
@@ -269,7 +278,7 @@ def repeated_sets(docs: DataFrame, frequent: DataFrame, ranges: int, n: int = SH
                      pa.array(sizes[inside].astype(np.int64)), binary(code, 8), binary(times.astype("<u4"), 4)],
                     names=["class", "range", "n", "shingles", "counts"])
 
-    sent = _sent_sets(docs, ranges, n, 1.0)
+    sent = C.store(_sent_sets(docs, ranges, n, 1.0), "sent")
     hits = sent.join(frequent.hint("shuffle_merge"), "range").select(*sent.columns, "shingles", "counts").mapInArrow(
         attach, "class long, range long, n long, shingles binary, counts binary")
     once = hits.groupBy("class", "range").agg(F.first("n").alias("n"), F.first(F.struct("shingles", "counts")).alias("s"))
@@ -449,7 +458,7 @@ def class_components(docs: DataFrame, classes: DataFrame, n: int = SHINGLE,
     total = first.select(F.sum("n_shingles").alias("t")).first()["t"] or 0
     ranges = max(1, math.ceil(total / RANGE_SHINGLES))
     frequent = C.store(repeated_shingles(docs, ranges, n), "shingles")
-    sets = C.store(repeated_sets(docs, frequent, ranges, n), "sets")
+    sets = C.store(repeated_sets(docs, frequent, ranges, n), "sets", BATCH_ROWS)
     entries = C.store(prefix_entries(sets), "prefixes")
     lead = entries.groupBy("shingle").agg(F.min("class").alias("b"), F.max("class").alias("most")).filter("b < most")
     edges = entries.join(lead, "shingle").select(F.col("class").alias("a"), "b").filter("a <> b").distinct()
