@@ -9,7 +9,7 @@ its true covering radius. Two trees (or one with itself) are walked together:
 a pair of nodes whose centres are farther apart than the distance plus both
 radii is left; a pair whose centres plus both radii lie within the distance
 links all its vectors at once, without listing them; others are opened, down
-to single vectors, whose cosine decides.
+to single vectors (or small nodes, compared at once), whose cosine decides.
 
 Labels of more than ``BLOCK_ROWS`` vectors are cut into cells around the top
 centres, cells into blocks, and only block pairs that pass the same bound are
@@ -37,8 +37,10 @@ from .components import components
 THRESHOLD = 0.93
 BLOCK_ROWS = 4096
 CENTRE_SAMPLE = 2048       # vectors per label from which top centres are chosen, at most
-SLACK = 1e-9               # bounds are only trusted beyond rounding
-CHUNK = 512
+SLACK = 1e-6               # bounds are only trusted beyond rounding (of distances from products)
+LEAF_PAIRS = 1 << 16       # two nodes with at most so many pairs of vectors are compared at once
+FINE = 1e-3                # radii below this are told by differences, not products
+CHUNK = 256
 
 
 class Tree:
@@ -61,20 +63,25 @@ class Tree:
         d = self.x[rows] - self.x[rows[0]]
         return np.sqrt(np.einsum("ij,ij->i", d, d))
 
+    def _fine_net(self, rows: np.ndarray, radius: float) -> list[np.ndarray]:
+        """As ``_net``, by differences: products cannot tell such small distances."""
+        groups = []
+        while len(rows):
+            near = self._distances(rows) <= radius
+            near[0] = True
+            groups.append(rows[near])
+            rows = rows[~near]
+        return groups
+
     def _open(self, node: int, radius: float) -> list[tuple[int, float]]:
         """Children of a node: a net of its vectors with half the radius, or less if all lie nearer."""
         lo, hi = self.lo[node], self.hi[node]
         while radius / 2 >= self.radius[node]:
             radius /= 2
         radius /= 2
-        rows, groups, radii = self.order[lo:hi], [], []
-        while len(rows):
-            d = self._distances(rows)
-            near = d <= radius
-            near[0] = True
-            groups.append(rows[near])
-            radii.append(float(d[near].max()))
-            rows = rows[~near]
+        rows = self.order[lo:hi]
+        groups = _net(self.x[rows], rows, radius) if radius >= FINE else self._fine_net(rows, radius)
+        radii = [float(self._distances(g).max()) if len(g) > 1 else 0.0 for g in groups]
         self.order[lo:hi] = np.concatenate(groups)
         first = len(self.lo)
         for g, r in zip(groups, radii):
@@ -87,6 +94,27 @@ class Tree:
         return [(k, radius) for k in range(first, len(self.lo))]
 
 
+def _net(x: np.ndarray, rows: np.ndarray, radius: float) -> list[np.ndarray]:
+    """Groups of ``rows`` (unit vectors ``x``): each the free ones within the radius of its first, in order.
+
+    The next few rows are compared with all that are left in one product; those
+    not taken by an earlier one of them become centres.
+    """
+    left, groups, limit = np.arange(len(rows)), [], 1 - radius * radius / 2
+    while len(left):
+        block = x[left]
+        near = block[:CHUNK] @ block.T >= limit
+        free = np.ones(len(left), bool)
+        for i in range(len(near)):
+            if free[i]:
+                free[i] = False
+                others = np.flatnonzero(near[i] & free)
+                free[others] = False
+                groups.append(rows[left[np.concatenate(([i], others))]])
+        left = left[free]
+    return groups
+
+
 class _Forest:
     def __init__(self, n: int):
         self.parent = list(range(n))
@@ -115,8 +143,32 @@ def dual_links(a: Tree, b: Tree | None, threshold: float) -> tuple[np.ndarray, n
     shift = 0 if same else len(a.x)
     forest = _Forest(shift + len(b.x))
     whole_a, whole_b = np.zeros(len(a.lo), np.int64), np.zeros(len(b.lo), np.int64)
+    own_a, own_b = np.zeros(len(a.x), np.int64), np.zeros(len(b.x), np.int64)
+
+    size_a, size_b = a.hi - a.lo, b.hi - b.lo
+
+    def compare(p: int, others: np.ndarray) -> None:
+        """All vectors of a small node with those of others (with itself: each pair once)."""
+        rows_p = a.order[a.lo[p]:a.hi[p]]
+        rows_q = np.concatenate([b.order[lo:hi] for lo, hi in zip(b.lo[others].tolist(), b.hi[others].tolist())])
+        dots = a.x[rows_p] @ b.x[rows_q].T
+        i, j = np.nonzero(dots >= threshold - SLACK)
+        if same and len(others) == 1 and p == others[0]:
+            i, j = i[i < j], j[i < j]
+        i, j = rows_p[i], rows_q[j]
+        near = _cosines(a.x[i], b.x[j]) >= threshold
+        i, j = i[near], j[near]
+        np.add.at(own_a, i, 1)
+        np.add.at(own_b, j, 1)
+        for r, c in zip(i.tolist(), (j + shift).tolist()):
+            forest.join(r, c)
 
     def all_linked(p: int, q: int) -> None:
+        if a.hi[p] - a.lo[p] == 1 == b.hi[q] - b.lo[q]:
+            whole_a[p] += 1
+            whole_b[q] += 1
+            forest.join(int(a.centre[p]), int(b.centre[q]) + shift)
+            return
         rows_p, rows_q = a.order[a.lo[p]:a.hi[p]], b.order[b.lo[q]:b.hi[q]] + shift
         if same and p == q:
             whole_a[p] += len(rows_p) - 1
@@ -142,6 +194,9 @@ def dual_links(a: Tree, b: Tree | None, threshold: float) -> tuple[np.ndarray, n
         if itself and 2 * a.radius[p] <= reach - SLACK:
             all_linked(p, p)
             continue
+        if size_a[p] * size_b[q] <= LEAF_PAIRS:
+            compare(p, np.array([q]))
+            continue
         for at in range(0, len(kp), CHUNK):
             rows = kp[at:at + CHUNK]
             dots = a.x[a.centre[rows]] @ b.x[b.centre[kq]].T
@@ -152,24 +207,39 @@ def dual_links(a: Tree, b: Tree | None, threshold: float) -> tuple[np.ndarray, n
                 ordered = kq[j] >= rows[i]
                 i, j = i[ordered], j[ordered]
             inside = d[i, j] + spread[i, j] <= reach - SLACK
-            for m, n, sure in zip(rows[i].tolist(), kq[j].tolist(), inside.tolist()):
-                if itself and m == n:
-                    stack.append((m, n))
-                elif sure:
-                    all_linked(m, n)
-                elif a.radius[m] == 0 and b.radius[n] == 0:  # two vectors (or copies of them)
-                    if _cosine(a.x[a.centre[m]], b.x[b.centre[n]]) >= threshold:
-                        all_linked(m, n)
-                else:
-                    stack.append((m, n))
+            m, n = rows[i], kq[j]
+            ends = ~inside & (a.radius[m] == 0) & (b.radius[n] == 0)     # two vectors (or copies of them)
+            if itself:
+                ends &= m != n
+                inside &= m != n
+            at_ends = np.flatnonzero(ends)
+            u, v = a.x[a.centre[m[at_ends]]], b.x[b.centre[n[at_ends]]]
+            linked = at_ends[_cosines(u, v) >= threshold]
+            for p_, q_ in zip(m[linked].tolist(), n[linked].tolist()):
+                all_linked(p_, q_)
+            for p_, q_ in zip(m[inside].tolist(), n[inside].tolist()):
+                all_linked(p_, q_)
+            open_ = np.flatnonzero(~ends & ~inside)
+            for part in np.split(open_, np.flatnonzero(np.diff(m[open_])) + 1):
+                if not len(part):
+                    continue
+                p_, others = int(m[part[0]]), n[part]
+                small = size_a[p_] * size_b[others] <= LEAF_PAIRS
+                if itself:
+                    small &= others != p_
+                if small.any():
+                    compare(p_, others[small])
+                stack += [(p_, int(q_)) for q_ in others[~small]]
     if same:
         whole_a += whole_b
+        own_a += own_b
     edges = [(r, f) for r in range(len(forest.parent)) if (f := forest.find(r)) != r]
-    return _per_vector(a, whole_a), np.zeros(0, np.int64) if same else _per_vector(b, whole_b), edges
+    return (_per_vector(a, whole_a) + own_a,
+            np.zeros(0, np.int64) if same else _per_vector(b, whole_b) + own_b, edges)
 
 
-def _cosine(u: np.ndarray, v: np.ndarray) -> float:
-    return float(u @ v) / math.sqrt(float(u @ u) * float(v @ v))
+def _cosines(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    return (u * v).sum(axis=1) / np.sqrt((u * u).sum(axis=1) * (v * v).sum(axis=1))
 
 
 def _per_vector(tree: Tree, whole: np.ndarray) -> np.ndarray:
