@@ -51,7 +51,7 @@ PERCENT = 80
 RANGE_SHINGLES = 4_000_000     # entries counted in one task at a time
 REGION = 0.4                   # share of the hash space that decides which classes go on
 FLUSH_SHINGLES = 1 << 20       # entries a task gathers before it sends them on
-BATCH_ROWS = 4                 # rows of a range's shingles that a task holds at a time
+BATCH_ROWS = 16                # rows of a range's shingles (and texts) that a task holds at a time
 BLOCK_SHINGLES = 1_000_000     # shingles of one trie
 LEADERS = 8
 _LOW = (1 << 48) - 1
@@ -246,11 +246,10 @@ def promising_classes(docs: DataFrame, rows: DataFrame, n: int = SHINGLE, region
                 yield pa.RecordBatch.from_arrays([pa.array(classes[some]), pa.array(beyond[some].astype(np.int64))],
                                                  names=["class", "beyond"])
 
-    sent = C.store(_sent_sets(docs, ranges, n, region), "sent")
+    sent = _sent_sets(docs, ranges, n, region)
     told = sent.join(frequent.hint("shuffle_merge"), "range").select(*sent.columns, "shingles", "counts").mapInArrow(
         count, "class long, beyond long").groupBy("class").agg(F.sum("beyond").alias("beyond"))
     told = C.store(told, "told", BATCH_ROWS)
-    C.drop_stored(docs.sparkSession, sent)
     classes = rows.filter("n_shingles > 0").select("class", "n_shingles", "low").distinct()
     missing = F.col("n_shingles") - F.ceil(F.col("n_shingles") * PERCENT / 100)
     return C.store(classes.join(told, "class", "left").filter(
@@ -278,13 +277,14 @@ def repeated_sets(docs: DataFrame, frequent: DataFrame, ranges: int, n: int = SH
                      pa.array(sizes[inside].astype(np.int64)), binary(code, 8), binary(times.astype("<u4"), 4)],
                     names=["class", "range", "n", "shingles", "counts"])
 
-    sent = C.store(_sent_sets(docs, ranges, n, 1.0), "sent")
+    sent = _sent_sets(docs, ranges, n, 1.0)
     hits = sent.join(frequent.hint("shuffle_merge"), "range").select(*sent.columns, "shingles", "counts").mapInArrow(
         attach, "class long, range long, n long, shingles binary, counts binary")
-    once = hits.groupBy("class", "range").agg(F.first("n").alias("n"), F.first(F.struct("shingles", "counts")).alias("s"))
-    return (once.groupBy("class").agg(F.first("n").alias("n"), F.collect_list("s").alias("s"),
-                                      F.sum(F.octet_length("s.counts") / 4).cast("long").alias("kept"))
-            .filter(F.col("kept") * 100 >= F.col("n") * PERCENT))
+    # a class of several rows gives equal parts: the set keeps one, map-side already
+    sets = hits.groupBy("class").agg(F.first("n").alias("n"),
+                                     F.collect_set(F.struct("range", "shingles", "counts")).alias("s"))
+    kept = F.aggregate("s", F.lit(0).cast("long"), lambda t, x: t + (F.octet_length(x["counts"]) / 4).cast("long"))
+    return sets.withColumn("kept", kept).filter(F.col("kept") * 100 >= F.col("n") * PERCENT)
 
 
 def _ordered(row) -> tuple[np.ndarray, np.ndarray]:
