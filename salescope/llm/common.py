@@ -12,12 +12,19 @@ from ..session import checkpoint_dir
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXT_ROWS = 1000
 _shipped: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> None:
-    """Sets the checkpoint folder and hands this package to the Python workers, once an application."""
+    """Sets the checkpoint folder and hands this package to the Python workers, once an application.
+
+    Python tasks get ``TEXT_ROWS`` rows at a time where the session leaves Spark's
+    default, which is meant for narrow rows, not for whole documents.
+    """
     checkpoint_dir(spark)
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, str(TEXT_ROWS))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, functions as F
 from . import common as C
 from . import textkit as K
 
-CACHE_PARTS = 1_000_000
-BLOCK_BYTES = 1 << 22
+CACHE_PARTS = 400_000
+BLOCK_BYTES = 1 << 20
 JOINED_PARTS = 2_000       # parts handed to the tokenizer as one string
 _SPACE = np.zeros(256, bool)
 _SPACE[32] = True
@@ -167,6 +167,7 @@ def encoded_batches(batches, path: str, end_id: int):
         for i, j in K.blocks(off, BLOCK_BYTES, 1 << 14):
             flat, counts = enc.encode(buf[off[i]:off[j]], off[i:j + 1])
             yield batch.column("doc_id").slice(i, j - i), np.insert(flat, np.cumsum(counts), np.uint32(end_id)), counts + 1
+    pa.default_memory_pool().release_unused()              # workers outlive their tasks
 
 
 def in_order(docs: DataFrame, partitions: int | None = None) -> DataFrame:
