@@ -11,7 +11,8 @@ corpus with a given minimizer meets in one group.
 * A minimizer whose runs are all equal does not branch there: all its edges
   have the same sources. Runs that always follow each other are compacted
   into paths by joins (equal source coordinates after one and before the
-  next), then pointer jumping. A path has one smallest source.
+  next, and the least occurrence of one followed by that of the next), then
+  pointer jumping. A path has one smallest source.
 * A minimizer with different runs branches: the source coordinates of one
   occurrence of each different run are looked up in the text, and its single
   edges are compared by the hash of all their words.
@@ -102,8 +103,10 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, minimizer: int = MINIMI
 def _distinct_runs(runs: DataFrame) -> DataFrame:
     """One row per different run: its sources' bounds, one occurrence, and sums that name the source
     coordinates before and after it; ``branches`` tells whether its minimizer has other runs."""
-    def coordinates(place):
-        return F.sum(F.pmod(F.xxhash64("row_key", place), F.lit(1 << 36)))
+    def coordinates(place):                                # both halves of the hash: the sums have room, no bit is cut
+        whole = F.xxhash64("row_key", place)
+        return F.struct(F.sum(F.shiftrightunsigned(whole, 32)).alias("high"),
+                        F.sum(whole.bitwiseAND(F.lit((1 << 32) - 1))).alias("low"))
 
     distinct = runs.groupBy("minimizer", "run").agg(
         F.min("doc_id").alias("source"), F.max("doc_id").alias("last"), F.count("*").alias("times"),
@@ -117,12 +120,16 @@ def compact_paths(distinct: DataFrame) -> DataFrame:
     """Paths of runs that do not branch: the first run's keys, its source, and the edges of the whole path."""
     spark = distinct.sparkSession
     straight = distinct.filter("NOT branches AND source < last").select(
-        "minimizer", "run", "source", "edges", "times", "here", "after")
-    before = straight.select(F.col("after").alias("here"), "times", F.col("minimizer").alias("p_minimizer"),
+        "minimizer", "run", "source", "edges", "times", "here", "after", "at")
+    # where the least occurrence begins and ends: a link holds only if it is followed there in the text
+    begin, end = ([F.col("at.doc_id").alias("d"), F.col("at.row_key").alias("r"), place.alias("f")]
+                  for place in (F.col("at.first"), F.col("at.first") + F.col("edges")))
+    keys = ["here", "times", "d", "r", "f"]
+    before = straight.select(F.col("after").alias("here"), "times", *end, F.col("minimizer").alias("p_minimizer"),
                              F.col("run").alias("p_run"), F.col("edges").cast("long").alias("step"))
-    before = before.groupBy("here", "times").agg(F.min(F.struct("p_minimizer", "p_run", "step")).alias("p"),
-                                                 F.count("*").alias("n")).filter("n = 1")
-    linked = straight.join(before, ["here", "times"], "left")
+    before = before.groupBy(*keys).agg(F.min(F.struct("p_minimizer", "p_run", "step")).alias("p"),
+                                       F.count("*").alias("n")).filter("n = 1")
+    linked = straight.select("*", *begin).join(before, keys, "left")
     node = F.struct("minimizer", "run")
     now = linked.select(
         node.alias("node"), "source", "edges",

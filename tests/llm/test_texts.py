@@ -76,6 +76,15 @@ def test_paths_compact(spark):
     assert len(paths) == 1 and paths[0].source == 0 and paths[0].edges > 250 and paths[0].runs > 5
 
 
+def test_no_link_by_chance(spark):
+    """Places whose hashes agree in the low 36 bits: run 3 stands elsewhere than run 1 ends, run 2 follows it."""
+    rows = [(run, run, doc, key, first, 5) for run, first, keys in (
+        (1, 0, (487426, 1657017)), (2, 5, (487426, 1657017)), (3, 5, (1210741, 1829321)))
+        for doc, key in enumerate(keys, 10 * (run // 3))]
+    paths = D.compact_paths(D._distinct_runs(spark.createDataFrame(rows, D.RUNS))).collect()
+    assert sorted((r.run, r.source, r.edges, r.runs) for r in paths) == [(1, 0, 10, 2), (3, 10, 5, 1)]
+
+
 def test_dedup_of_odd_documents(spark):
     docs = O.odd_documents(spark)
     got = D.dedup(docs).collect()
