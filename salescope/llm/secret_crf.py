@@ -12,10 +12,12 @@ decoded, with the same result.
 Three fixed patterns give the base spans, which always stay (``BASE``); the
 field adds ``crf`` spans where a tagged word touches none of them.
 
-Training: at most ``FIT_DOCS`` documents, those with the smallest text
-hashes; words touched by base spans are the positive labels, words of
-unusual shape around them and elsewhere the negatives. Without a positive
-label nothing is added.
+Training: at most ``FIT_DOCS`` documents, drawn from all documents in two
+strata by the smallest text hashes: those with a base span in their share of
+the table, ``FIT_POSITIVE`` at least if there are so many, and those without.
+Words touched by base spans are the positive labels, words of unusual shape
+around them and elsewhere the negatives. Only where no document of the whole
+table has a base span nothing is added.
 
 Spans are in code points, end exclusive. Defined cases: a null or empty text
 has no span; a text may be one huge word; equal rows give equal spans; an
@@ -27,12 +29,14 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import common as C
 from . import textkit as K
 
 FIT_DOCS = 6000
+FIT_POSITIVE = 300             # of these at least, if there are so many, with a base span
 FIT_SEGMENTS = 2500            # training stretches kept of those documents, positive ones first
 REACH = 8                      # words on either side of a training stretch's centre
 LEAST_MARGIN = 2.0             # score a secret tag must gain over outside
@@ -279,6 +283,8 @@ def _stretches(batches):
                 tags = _label_words(words, d, off[i + d] - off[i], places)
                 odd = np.flatnonzero((tags > 0) | (features[lo:hi, 0] // 9 % 3 > 0) | (features[lo:hi, 1] % 5 > 2))
                 centres = odd[:: max(1, len(odd) // 6)].tolist() + [hashes[i + d] % (hi - lo)]
+                if tags.any() and not any(tags[max(0, c - REACH):max(0, c - REACH) + width].any() for c in centres):
+                    centres.append(int(tags.argmax()))
                 for c in centres:
                     a = max(0, c - REACH)
                     x = features[lo + a:min(lo + a + width, hi)]
@@ -291,13 +297,37 @@ def _stretches(batches):
             ("x", pa.binary()), ("y", pa.binary()), ("positive", pa.bool_()), ("h", pa.int64())]))
 
 
-def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, segments: int = FIT_SEGMENTS) -> Field | None:
-    C.prepare(docs.sparkSession)
+def _with_base_spans(batches):
+    """Text hashes of the documents with a base span, and of the few that may be drawn without one."""
+    for batch in batches:
+        found = [bool(_matches(t)) for t in batch.column("text").to_pylist()]
+        rows = pa.RecordBatch.from_arrays([batch.column("h"), pa.array(found, pa.bool_())], names=["h", "positive"])
+        yield rows.filter(pa.compute.or_(rows.column("positive"), batch.column("near")))
+
+
+def sample(docs: DataFrame, fit_docs: int = FIT_DOCS, least: int = FIT_POSITIVE) -> DataFrame:
+    """h, text: the documents to learn from, with and without a base span."""
     rows = docs.filter("text IS NOT NULL").select("text", F.xxhash64("text").alias("h"))
     n = docs.select("text").count()
     unit = F.pmod(F.col("h"), F.lit(1 << 30)) / float(1 << 30)
-    near = (rows.filter(unit < min(1.0, 2.0 * fit_docs / max(1, n))).groupBy("h").agg(F.min("text").alias("text"))
-            .orderBy("h").limit(fit_docs))
+
+    def share(wanted, there):
+        return unit < min(1.0, 2.0 * wanted / max(1, there))
+
+    hashes = C.store(rows.withColumn("near", share(fit_docs, n)).mapInArrow(
+        _with_base_spans, "h long, positive boolean").distinct(), "base-spans")
+    positive = hashes.filter("positive").count()
+    quota = min(positive, fit_docs, max(min(least, (fit_docs + 1) // 2), fit_docs * positive // max(1, n)))
+    chosen = (hashes.filter(F.col("positive") & share(quota, positive)).select("h").orderBy("h").limit(quota)
+              .unionByName(hashes.filter(~F.col("positive") & share(fit_docs, n)).select("h").orderBy("h")
+                           .limit(fit_docs - quota)))
+    chosen = docs.sparkSession.createDataFrame(chosen.collect(), "h long")      # fit_docs hashes at most
+    return rows.join(F.broadcast(chosen), "h", "left_semi").groupBy("h").agg(F.min("text").alias("text"))
+
+
+def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, segments: int = FIT_SEGMENTS) -> Field | None:
+    C.prepare(docs.sparkSession)
+    near = sample(docs, fit_docs)
     got = (near.mapInArrow(_stretches, "x binary, y binary, positive boolean, h long")
            .orderBy(F.desc("positive"), "h", "x").limit(segments).collect())
     if not any(r["positive"] for r in got):

@@ -175,6 +175,20 @@ def test_no_secret_to_learn_from(spark):
     assert S.redact(O.empty_documents(spark)).count() == 0
 
 
+def test_rare_secrets_are_learned(spark):
+    """One document in 200 has a secret, in a long text of odd words, and a sample of 20 documents by hash misses it."""
+    rng = random.Random(3)
+    rows = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))) for k in range(200)]
+    odd = [f"X{k}y{k * 7919}Z=;" for k in range(400)]
+    rows.append((200, " ".join(odd[:237] + ["password=0f3c2d1e4b5a69788796"] + odd[237:])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    hashes = docs.select("doc_id", F.xxhash64("text").alias("h")).orderBy("h").limit(40).collect()
+    assert 200 not in [r.doc_id for r in hashes]
+    assert S.fit(docs, fit_docs=20) is not None
+    assert S.sample(docs, fit_docs=20).count() <= 20
+    assert S.fit(docs.filter("doc_id < 200"), fit_docs=20) is None
+
+
 def test_viterbi_of_stretches_is_viterbi_of_the_whole():
     rng = np.random.default_rng(2)
     field = S.Field()
