@@ -21,10 +21,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by shingle similarity the document with the smallest doc_id stays, once.
 
-    A document is told by doc_id and text, so rows without doc_id are judged one by one.
+    A document is told by doc_id and text. One without doc_id stays only where its whole group has none, and then
+    (as among rows of the smallest doc_id) the smallest text hash; texts without a word are linked with nothing.
     """
+    wordless = F.when(F.col("n_shingles") == 0, F.col("text_hash")).alias("wordless")
     stay = (jaccard_join.join(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("doc_id", "class").agg(F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash").distinct())
+            .groupBy("doc_id", "part", wordless).agg(F.min("text_hash").alias("text_hash"))
+            .select("doc_id", "text_hash").distinct())
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"),
                        F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
     return (rows.join(stay, rows["id"].eqNullSafe(stay["doc_id"]) & (rows["hash"] == stay["text_hash"]), "left_semi")

@@ -517,7 +517,8 @@ def _leaders(members: DataFrame, many: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
-    """doc_id, text_hash, n_shingles, class (key of the shingle set, 0 if empty), component_id for every document."""
+    """doc_id, text_hash, n_shingles, class (key of the shingle set, 0 if empty), part (key of the component, null
+    if the set is empty), component_id for every document."""
     C.prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     rows = C.store(summaries(docs, n), "classes")
@@ -527,9 +528,9 @@ def join(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
         "class", "first", F.coalesce("component", "class").alias("part"))
     named = C.store(named, "named")
     label = named.groupBy("part").agg(F.min("first").alias("component_id"))
-    known = named.join(label, "part").select("class", "component_id")
+    known = named.join(label, "part").select("class", "part", "component_id")
     return rows.join(known, "class", "left").select(
-        "doc_id", "text_hash", "n_shingles", "class",
+        "doc_id", "text_hash", "n_shingles", "class", "part",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 

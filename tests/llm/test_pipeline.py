@@ -66,6 +66,20 @@ def test_stages(spark, tables):
     assert Counter(r.doc_id for r in kept["packing"] if r.start == 0) == Counter(r.doc_id for r in kept["mixing"])
 
 
+def test_one_of_a_group_without_ids_stays(spark):
+    """Near copies without doc_id, and near copies under one doc_id, leave one row; wordless texts all stay."""
+    words = [f"n{k}" for k in range(120)]
+    near = [" ".join(words[:k] + ["changed"] + words[k + 1:]) for k in (20, 60, 100)]
+    other = [" ".join(f"m{k}" for k in range(60)), " ".join(f"m{k}" for k in range(1, 60))]
+    rows = [(None, t) for t in near] + [(None, near[0])] + [(7, t) for t in other] + [(None, other[0])] + [
+        (None, ""), (None, " "), (8, ""), (8, " ")]
+    docs = spark.createDataFrame([(i, t, "en", "s0", 1) for i, t in rows], O.DOCS).repartition(3)
+    got = Counter((r.doc_id, r.text) for r in P.drop_near_duplicates(spark, docs, "").collect())
+    assert sum(n for (i, t), n in got.items() if t in near) == 1
+    assert [(i, n) for (i, t), n in got.items() if t in other] == [(7, 1)]
+    assert {k: n for k, n in got.items() if not k[1].strip()} == {(None, ""): 1, (None, " "): 1, (8, ""): 1, (8, " "): 1}
+
+
 def test_run_is_its_stages(spark, tables):
     rows = P.run(spark, tables)
     assert {"doc_id", "sequence_id", "offset", "ids"} <= set(rows.columns)
