@@ -40,6 +40,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame, Window, functions as F
 
 from . import common as C
@@ -54,7 +55,6 @@ FLUSH_SHINGLES = 1 << 20       # entries a task gathers before it sends them on
 BATCH_ROWS = 16                # rows of a range's shingles (and texts) that a task holds at a time
 BLOCK_SHINGLES = 1_000_000     # shingles of one trie
 LEADERS = 8
-_LOW = (1 << 48) - 1
 
 
 def class_keys(sets: list[np.ndarray]) -> np.ndarray:
@@ -101,13 +101,24 @@ def _range_of(h: np.ndarray, ranges: int, region: float) -> np.ndarray:
     return top * ranges // ((int(_region_end(region)) >> 40) + 1)
 
 
-def _pack(h: np.ndarray) -> tuple[bytes, bytes]:
-    """The low 48 bits in two planes; the upper bits are told by the range."""
-    return h.astype("<u4").tobytes(), (h >> np.uint64(32)).astype("<u2").tobytes()
+def _pack(h: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """All 64 bits in three planes; of the upper 16 the least value, then what is beyond it, in a byte where that
+    is enough (hashes of one range)."""
+    top = (h >> np.uint64(48)).astype("<u2")
+    least = top.min()
+    beyond = top - least
+    beyond = beyond.astype("u1") if beyond.max() < 1 << 8 else beyond
+    return h.astype("<u4").tobytes(), (h >> np.uint64(32)).astype("<u2").tobytes(), least.tobytes() + beyond.tobytes()
 
 
-def _unpack(low: bytes, high: bytes) -> np.ndarray:
-    return np.frombuffer(low, "<u4").astype(np.uint64) | (np.frombuffer(high, "<u2").astype(np.uint64) << np.uint64(32))
+def _unpack(low: bytes, high: bytes, top: bytes) -> np.ndarray:
+    beyond = np.frombuffer(top, "u1" if len(top) - 2 == len(low) // 4 else "<u2", offset=2).astype(np.uint64)
+    beyond += np.uint64(np.frombuffer(top, "<u2", count=1)[0])
+    beyond <<= np.uint64(16)
+    beyond |= np.frombuffer(high, "<u2")
+    beyond <<= np.uint64(32)
+    beyond |= np.frombuffer(low, "<u4")
+    return beyond
 
 
 def repeated_shingles(docs: DataFrame, ranges: int, n: int = SHINGLE, region: float = 1.0) -> DataFrame:
@@ -118,16 +129,16 @@ def repeated_shingles(docs: DataFrame, ranges: int, n: int = SHINGLE, region: fl
         def flush():
             h, counts = np.unique(np.concatenate(held), return_counts=True)
             cut = np.searchsorted(_range_of(h, ranges, region), np.arange(ranges + 1))
-            rows = {"range": [], "low": [], "high": [], "often": [], "times": []}
+            rows = {"range": [], "low": [], "high": [], "top": [], "often": [], "times": []}
             for r in np.flatnonzero(np.diff(cut)):
                 part, c = h[cut[r]:cut[r + 1]], counts[cut[r]:cut[r + 1]]
-                low, high = _pack(part)
+                low, high, top = _pack(part)
                 often = np.flatnonzero(c > 1)
-                for name, v in zip(rows, (int(r), low, high, often.astype("<u4").tobytes(),
+                for name, v in zip(rows, (int(r), low, high, top, often.astype("<u4").tobytes(),
                                           c[often].astype("<u4").tobytes())):
                     rows[name].append(v)
             return pa.RecordBatch.from_pydict(rows, schema=pa.schema(
-                [("range", pa.int64()), *[(c, pa.binary()) for c in ("low", "high", "often", "times")]]))
+                [("range", pa.int64()), *[(c, pa.binary()) for c in ("low", "high", "top", "often", "times")]]))
 
         for _, sets in _blocks_of_sets(batches, n):
             held += _within(sets, region)
@@ -139,15 +150,14 @@ def repeated_shingles(docs: DataFrame, ranges: int, n: int = SHINGLE, region: fl
             yield flush()
 
     def count(table: pa.Table) -> pa.Table:
-        ids, times = [], []
+        size = pa.compute.sum(pa.compute.binary_length(table.column("low"))).as_py() // 4
+        ids, times, at = np.empty(size, np.uint64), np.ones(size, np.uint32), 0
         for batch in table.to_batches():
             for row in _rows(batch):
-                one = _unpack(row["low"], row["high"])
-                c = np.ones(len(one), np.uint32)
-                c[np.frombuffer(row["often"], "<u4")] = np.frombuffer(row["times"], "<u4")
-                ids.append(one)
-                times.append(c)
-        ids, times = np.concatenate(ids), np.concatenate(times)
+                one = _unpack(row["low"], row["high"], row["top"])
+                ids[at:at + len(one)] = one
+                times[at + np.frombuffer(row["often"], "<u4").astype(np.int64)] = np.frombuffer(row["times"], "<u4")
+                at += len(one)
         order = np.argsort(ids, kind="stable")
         ids, times = ids[order], times[order]
         del order
@@ -160,7 +170,7 @@ def repeated_shingles(docs: DataFrame, ranges: int, n: int = SHINGLE, region: fl
                                     schema=pa.schema([("range", pa.int64()), ("shingles", pa.binary()),
                                                       ("counts", pa.binary())]))
 
-    sent = docs.select("text").mapInArrow(send, "range long, low binary, high binary, often binary, times binary")
+    sent = docs.select("text").mapInArrow(send, "range long, low binary, high binary, top binary, often binary, times binary")
     return sent.groupBy("range").applyInArrow(count, "range long, shingles binary, counts binary")
 
 
@@ -175,18 +185,18 @@ def _sent_sets(docs: DataFrame, ranges: int, n: int, region: float) -> DataFrame
             r = _range_of(h, ranges, region)
             order = np.argsort(r, kind="stable")
             cut = np.searchsorted(r[order], np.arange(ranges + 1))
-            rows = {"range": [], "low": [], "high": [], "owner": [], "classes": [], "sizes": []}
+            rows = {"range": [], "low": [], "high": [], "top": [], "owner": [], "classes": [], "sizes": []}
             key, whole = np.concatenate(keys), np.array(sizes, "<u4")
             for k in np.flatnonzero(np.diff(cut)):
                 at = order[cut[k]:cut[k + 1]]
-                low, high = _pack(h[at])
+                low, high, top = _pack(h[at])
                 inside, place = np.unique(owner[at], return_inverse=True)
-                values = (int(k), low, high, place.astype("<u2" if len(inside) < 1 << 16 else "<u4").tobytes(),
+                values = (int(k), low, high, top, place.astype("<u2" if len(inside) < 1 << 16 else "<u4").tobytes(),
                           key[inside].tobytes(), whole[inside].tobytes())
                 for name, v in zip(rows, values):
                     rows[name].append(v)
             return pa.RecordBatch.from_pydict(rows, schema=pa.schema(
-                [("range", pa.int64()), *[(c, pa.binary()) for c in ("low", "high", "owner", "classes", "sizes")]]))
+                [("range", pa.int64()), *[(c, pa.binary()) for c in ("low", "high", "top", "owner", "classes", "sizes")]]))
 
         for _, sets in _blocks_of_sets(batches, n):
             key = class_keys(sets)
@@ -203,19 +213,21 @@ def _sent_sets(docs: DataFrame, ranges: int, n: int, region: float) -> DataFrame
             yield flush()
 
     return docs.select("text").mapInArrow(
-        send, "range long, low binary, high binary, owner binary, classes binary, sizes binary")
+        send, "range long, low binary, high binary, top binary, owner binary, classes binary, sizes binary")
 
 
 def _rows(batch: pa.RecordBatch):
-    """The batch's rows as dictionaries, one at a time: a row holds megabytes."""
+    """The batch's rows as dictionaries, one at a time and without a copy: a row holds megabytes."""
+    binary = [pa.types.is_binary(c.type) for c in batch.columns]
     for k in range(batch.num_rows):
-        yield {name: batch.column(c)[k].as_py() for c, name in enumerate(batch.schema.names)}
+        yield {name: batch.column(c)[k].as_buffer() if binary[c] else batch.column(c)[k].as_py()
+               for c, name in enumerate(batch.schema.names)}
 
 
 def _hits(row: dict):
     """(classes, their sizes, owner of each shingle, hash of each, counts of the repeated ones, which are repeated)."""
     known, counts = np.frombuffer(row["shingles"], np.uint64), np.frombuffer(row["counts"], "<u4")
-    h = _unpack(row["low"], row["high"])
+    h = _unpack(row["low"], row["high"], row["top"])
     classes, sizes = np.frombuffer(row["classes"], np.int64), np.frombuffer(row["sizes"], "<u4")
     owner = np.frombuffer(row["owner"], "<u2" if len(classes) < 1 << 16 else "<u4")
     if not len(known):
@@ -265,7 +277,7 @@ def repeated_sets(docs: DataFrame, frequent: DataFrame, ranges: int, n: int = SH
                 by_owner = np.argsort(owner[hit], kind="stable")
                 hit, times = hit[by_owner], times[by_owner]
                 inside, begin = np.unique(owner[hit], return_index=True)
-                code = h[hit] | (np.uint64(row["range"] & 0xFFFF) << np.uint64(48))
+                code = h[hit]
                 bounds = np.append(begin, len(hit)).astype(np.int32)
 
                 def binary(values, width):

@@ -57,6 +57,16 @@ def test_jaccard_join_against_all_pairs(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_groups(rows)
 
 
+@pytest.mark.parametrize("width", [2, 200, 60_000])
+def test_packed_shingles_keep_64_bits(width):
+    """Hashes equal in their low 48 bits stay different, in a narrow and in a wide range."""
+    rng = np.random.default_rng(4)
+    low = rng.integers(0, 1 << 48, 50, dtype=np.uint64)
+    h = np.sort(np.concatenate([low | (np.uint64(t) << np.uint64(48)) for t in (5000, 5001, 5000 + width)]))
+    got = J._unpack(*J._pack(h))
+    assert got.dtype == np.uint64 and (got == h).all()
+
+
 def test_split_clusters_lose_no_link(spark, monkeypatch):
     rng = random.Random(3)
     rows = near_copies(rng, 3, 60, 14)
