@@ -19,7 +19,7 @@ from salescope.sources.fact import sales_fact
 from salescope.sources.raw import scan_landing
 from salescope.streaming.landing import consolidate_staging, start_landing_stream
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_segments_invariants(spark):

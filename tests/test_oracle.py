@@ -4,7 +4,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 from tools.check_oracle import digest
 

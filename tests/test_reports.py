@@ -14,7 +14,7 @@ from salescope.operators import reports as R
 from salescope.operators import timeseries as TS
 from salescope.sources.fact import sales_fact
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def fact_rows(spark, rows):
