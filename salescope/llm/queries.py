@@ -5,7 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cover_tree, debruijn_dedup, jaccard_join, langid, learned_ann, mixing, packing, secret_crf, sharding, token_output
+from . import (conversation_repair, cover_tree, debruijn_dedup, jaccard_join, langid, learned_ann, mixing, packing,
+               secret_crf, sharding, spelling_variants, token_output, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.query,
@@ -18,10 +19,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": mixing.query,
     "op9_secret_crf": secret_crf.query,
     "op10_langid": langid.query,
+    "op11_spelling_variants": spelling_variants.query,
+    "op12_url_filter": url_filter.query,
+    "op13_conversation_repair": conversation_repair.query,
 }
 SQL: dict[str, str] = {
     "op5_debruijn_dedup": debruijn_dedup.SQL,
     "op6_cover_tree": cover_tree.SQL,
     "op7_jaccard_join": jaccard_join.SQL,
     "op8_mixing": mixing.SQL,
+    "op11_spelling_variants": spelling_variants.SQL,
+    "op12_url_filter": url_filter.SQL,
 }
