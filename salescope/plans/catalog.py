@@ -235,7 +235,7 @@ def _csv_round_trip(spark, sf_dir):
     """K2: a report written as CSV with a header and read back."""
     report = R.basic_group_reports(sales_fact(spark, sf_dir))["channel"]
     path = write_csv(report, SS.shared_path(spark, f"report-{uuid.uuid4().hex}"))
-    return spark.read.option("header", True).schema(report.schema).csv(path)
+    return spark.read.option("header", True).option("escape", '"').schema(report.schema).csv(path)
 
 
 @register("report_files", RS.BY_REGION)
@@ -248,6 +248,9 @@ def _report_files(spark, sf_dir):
 
 register("landing_batch", IS.CONSOLIDATE_SOURCES)(LB.landing_batch)
 register("landing_log", IS.LANDING_LOG)(LB.landing_log)
+register("landing_layouts", IS.LANDING_LAYOUTS)(LB.landing_layouts)
+register("price_rows", IS.PRICE_ROWS)(LB.price_rows)
+register("rejected_rows", IS.REJECTED_ROWS)(LB.rejected_rows)
 
 
 def queries() -> dict[str, Query]:

@@ -345,3 +345,32 @@ LEFT JOIN (SELECT source_file, count(*) AS rows, count(*) FILTER (WHERE sale_ts
                   count(*) FILTER (WHERE amount <= 0) AS no_amount FROM std GROUP BY source_file) c
   ON c.source_file = l.source_file
 """)
+
+
+# The price lists of plans/landing_batch.py: what every part's line must come back as.
+_PRICES = """
+WITH prices AS (
+  SELECT CASE p_partkey % 3 WHEN 0 THEN 'lista_simples.csv' WHEN 1 THEN 'lista_ponto_e_virgula.csv'
+              ELSE 'lista_com_quebras.csv' END AS source_file,
+         CASE p_partkey % 3 WHEN 1 THEN ';' ELSE ',' END AS sep, p_partkey % 11 AS kind, p_name,
+         CAST(p_partkey AS VARCHAR) AS codigo, CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) AS valor,
+         CAST(p_size AS VARCHAR) AS qtd, p_partkey % 3 = 2 AS breaks FROM part)
+"""
+PRICE_ROWS = _PRICES + """
+SELECT source_file, codigo, CASE WHEN kind = 2 THEN p_name || ' 1/2"' || sep || ' "x"' WHEN kind = 4 THEN p_name || ' 3" tubo'
+       WHEN kind = 5 AND breaks THEN p_name || chr(10) || 'segunda linha, "y"' ELSE p_name END AS produto, valor, qtd
+FROM prices WHERE kind > 1
+"""
+REJECTED_ROWS = _PRICES + """
+SELECT source_file, CASE WHEN kind = 1 THEN codigo || sep || p_name ELSE concat_ws(sep, codigo, p_name,
+         CASE WHEN sep = ';' THEN replace(valor, '.', ',') ELSE valor END, qtd, 'sobra') END AS line,
+       CASE WHEN kind = 1 THEN 'fewer cells than the header: 2 of 4' ELSE 'more cells than the header: 5 of 4' END AS reason
+FROM prices WHERE kind <= 1
+"""
+LANDING_LAYOUTS = """
+SELECT source_file, separator, header FROM (VALUES
+  ('lista_simples.csv', ',', 'codigo|produto|valor|qtd'), ('lista_com_quebras.csv', ',', 'codigo|produto|valor|qtd'),
+  ('lista_ponto_e_virgula.csv', ';', 'codigo|produto|valor|qtd'),
+""" + ",\n".join(f"  ('{name}', ',', '{'|'.join(h.values())}')" for name, _, h in FX.SOURCES) + """
+) t(source_file, separator, header)
+"""

@@ -21,8 +21,8 @@ NOTES = [
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """K2: CSV with a header row."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """K2: CSV with a header row; quotes inside quoted cells are doubled."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
 
 
