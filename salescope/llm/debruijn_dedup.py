@@ -44,8 +44,7 @@ _MARK = "array<struct<begin:int,end:int,source:bigint>>"
 
 def row_keys(doc_ids: np.ndarray, words: K.Words, run: np.ndarray) -> np.ndarray:
     """A key per row from doc_id and the whole word sequence."""
-    whole = K.span_hash(run, words.first[:-1], words.first[1:])
-    return K.mix(whole ^ K.mix(doc_ids.astype(np.int64).view(np.uint64))).view(np.int64)
+    return K.mix(K.row_hash(run, words.first) ^ K.mix(doc_ids.astype(np.int64).view(np.uint64))).view(np.int64)
 
 
 def edge_runs(words: K.Words, run: np.ndarray, window: int = WINDOW, minimizer: int = MINIMIZER):

@@ -4,10 +4,17 @@ A word is a maximal run of bytes outside ``{0x20, 0x09-0x0D}``. Words and
 word n-grams are identified by 64-bit hashes of their whole bytes, computed
 for a block of documents at once with prefix sums, so no Python object is
 made per word. Null texts are empty.
+
+A word's hash adds up one random number per byte and place in the word, so no
+regular pattern of bytes makes two words collide. N-grams are polynomials of
+word hashes modulo 2^64, which patterns of 1,024 words and more can make
+collide; longer sequences go through ``row_hash``, which scrambles the hashes
+of stretches of ``STRETCH`` words before it adds them up.
 """
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +28,9 @@ _IS_SEP[list(SEPARATORS)] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _BYTE_CODE = np.random.default_rng(20240501).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+PLACES = 64                    # places of a word with a table of their own
+STRETCH = 512                  # words of a long sequence that are hashed as one n-gram
+_PLACED_CODE = np.random.default_rng(20260301).integers(0, 2**64, PLACES * 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -96,16 +106,36 @@ class Words:
         self.start = np.flatnonzero(begins & inside)
         self.end = np.flatnonzero(ends & inside) + 1
         self.first = np.searchsorted(self.start, offsets)
-        p, _ = _power_tables(n + 1)
+        self._bytes, self._begins = buf, begins
+
+    @cached_property
+    def hash(self) -> np.ndarray:
+        """Hash of each word: a sum of a random number per byte and place, scrambled."""
+        n = len(self._bytes)
+        if n >= 1 << 31:
+            raise ValueError("a block of 2 GiB or more")
+        number = np.arange(n, dtype=np.int32)
+        place = number - np.maximum.accumulate(np.where(self._begins, number, np.int32(0))) if n else number
+        code = _PLACED_CODE[(place & (PLACES - 1)) << 8 | self._bytes]
+        far = np.flatnonzero(place >= PLACES)
+        if len(far):
+            code[far] = mix(code[far] + (place[far] >> 6).astype(np.uint64) * np.uint64(_BASE))
+        run = np.zeros(n + 1, np.uint64)
+        np.cumsum(code, dtype=np.uint64, out=run[1:])
+        return mix(run[self.end] - run[self.start])
+
+    @cached_property
+    def _run(self) -> np.ndarray:
+        n = len(self._bytes)
         run = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE_CODE[buf] * p[:n], dtype=np.uint64, out=run[1:])
-        self._run = run
-        self.hash = self.bytes_hash(self.start, self.end)
+        np.cumsum(_BYTE_CODE[self._bytes] * _power_tables(n + 1)[0][:n], dtype=np.uint64, out=run[1:])
+        return run
 
     def bytes_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hash of the block's bytes [start, end)."""
-        _, q = _power_tables(len(self._run))
-        return mix((self._run[end] - self._run[start]) * q[start])
+        """Hash of any bytes [start, end) of the block (a polynomial: for features, not to tell texts apart)."""
+        run = self._run
+        _, q = _power_tables(len(run))
+        return mix((run[end] - run[start]) * q[start])
 
     def __len__(self) -> int:
         return len(self.start)
@@ -123,15 +153,27 @@ def prefix_powers(h: np.ndarray) -> np.ndarray:
 
 
 def span_hash(run: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Hash of the word sequences [lo, hi) from running sums; the length takes part."""
+    """Hash of the word sequences [lo, hi), of some hundred words at most, from running sums; the length takes part."""
     _, q = _power_tables(len(run))
     return mix((run[hi] - run[lo]) * q[lo] + (hi - lo).astype(np.uint64))
 
 
+def row_hash(run: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hash of the whole word sequence of each document, of any length."""
+    stretches = np.maximum(1, -(-np.diff(first) // STRETCH))
+    owner = np.repeat(np.arange(len(stretches)), stretches)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(stretches) - stretches, stretches)
+    low = first[:-1][owner] + number * STRETCH
+    part = span_hash(run, low, np.minimum(low + STRETCH, first[1:][owner]))
+    part = mix(part + number.astype(np.uint64) * np.uint64(_BASE))
+    return np.add.reduceat(part, np.cumsum(stretches) - stretches) if len(stretches) else part
+
+
 def word_hashes(words: list[str], lower: bool = False) -> np.ndarray:
-    """Hashes of single words, as ``Words`` gives them."""
+    """Hashes of single words, as ``Words.bytes_hash`` gives them."""
     buf, off = utf8(pa.array(words, pa.string()))
-    return Words(buf, off, lower).hash
+    found = Words(buf, off, lower)
+    return found.bytes_hash(found.start, found.end)
 
 
 def shingle_sets(words: Words, n: int) -> list[np.ndarray]:

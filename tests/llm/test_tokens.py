@@ -127,3 +127,38 @@ def test_little_padding(spark):
     total = sum(r[1] for r in rows)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert total / (2048 * (len(rows) - partitions)) > 0.97
+
+
+def twin_words(n):
+    """A word and its complement whose letters follow the Thue-Morse sequence: polynomial hashes confuse them."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_twin_words_have_hashes_and_ids_of_their_own():
+    import numpy as np
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    from salescope.llm import textkit as K, tokens
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain, enc = Tokenizer.from_file(path), tokens.Encoder(path)
+    texts = [t for n in (64, 128, 1024, 2048, 4096) for w in [twin_words(n)] for t in (w[0], w[1], f"x {w[0]} {w[1]}")]
+    buf, off = K.utf8(pa.array(texts))
+    words = K.Words(buf, off)
+    strings = [w for t in texts for w in t.split()]
+    assert len(set(words.hash.tolist())) == len(set(strings))
+    assert dict(zip(strings, words.hash.tolist())) == dict(reversed(list(zip(strings, words.hash.tolist()))))
+    flat, counts = enc.encode(buf, off)
+    assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == [
+        plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_rows_of_twin_word_orders_have_keys_of_their_own():
+    import pyarrow as pa
+    from salescope.llm import textkit as K
+    texts = [" ".join(w) for n in (512, 1024, 2048, 4096) for w in twin_words(n)]
+    buf, off = K.utf8(pa.array([*texts, "", *texts]))
+    words = K.Words(buf, off)
+    keys = K.row_hash(K.prefix_powers(words.hash), words.first)
+    assert len(set(keys.tolist())) == len(texts) + 1 and keys[:len(texts)].tolist() == keys[len(texts) + 1:].tolist()
