@@ -224,9 +224,31 @@ def _rows(batch: pa.RecordBatch):
                for c, name in enumerate(batch.schema.names)}
 
 
-def _hits(row: dict):
+def _beside(sent: DataFrame, frequent: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on every sent row together with its range's dictionary of repeated shingles.
+
+    Both go to the range's task, the dictionary first, so a task holds one
+    dictionary and a few sent rows, and no row carries a copy of it.
+    """
+    def rows(batches):
+        at = known = counts = None
+        for batch in batches:
+            for row in _rows(batch):
+                if row["kind"] == 0:
+                    at, known = row["range"], np.frombuffer(row["low"], np.uint64).copy()
+                    counts = np.frombuffer(row["high"], "<u4").copy()
+                elif row["range"] == at:                 # a range without a dictionary repeats nothing
+                    yield work(row, known, counts)
+
+    names = sent.columns
+    dictionary = frequent.select("range", F.col("shingles").alias("low"), F.col("counts").alias("high"), F.lit(0).alias("kind"))
+    both = sent.withColumn("kind", F.lit(1)).unionByName(dictionary, allowMissingColumns=True)
+    return (both.repartition(C.parallelism(sent.sparkSession), "range").sortWithinPartitions("range", "kind")
+            .select(*names, "kind").mapInArrow(rows, schema))
+
+
+def _hits(row: dict, known: np.ndarray, counts: np.ndarray):
     """(classes, their sizes, owner of each shingle, hash of each, counts of the repeated ones, which are repeated)."""
-    known, counts = np.frombuffer(row["shingles"], np.uint64), np.frombuffer(row["counts"], "<u4")
     h = _unpack(row["low"], row["high"], row["top"])
     classes, sizes = np.frombuffer(row["classes"], np.int64), np.frombuffer(row["sizes"], "<u4")
     owner = np.frombuffer(row["owner"], "<u2" if len(classes) < 1 << 16 else "<u4")
@@ -248,50 +270,46 @@ def promising_classes(docs: DataFrame, rows: DataFrame, n: int = SHINGLE, region
     ranges = max(1, math.ceil(total / RANGE_SHINGLES))
     frequent = C.store(repeated_shingles(docs, ranges, n, region), "shingles")
 
-    def count(batches):
-        for batch in batches:
-            for row in _rows(batch):
-                classes, _, owner, _, _, hit = _hits(row)
-                found = np.bincount(owner[hit], minlength=len(classes))
-                beyond = 4 * found - np.bincount(owner, minlength=len(classes))
-                some = np.flatnonzero(beyond > 0)
-                yield pa.RecordBatch.from_arrays([pa.array(classes[some]), pa.array(beyond[some].astype(np.int64))],
-                                                 names=["class", "beyond"])
-
-    sent = _sent_sets(docs, ranges, n, region)
-    told = sent.join(frequent.hint("shuffle_merge"), "range").select(*sent.columns, "shingles", "counts").mapInArrow(
-        count, "class long, beyond long").groupBy("class").agg(F.sum("beyond").alias("beyond"))
-    told = C.store(told, "told", BATCH_ROWS)
+    def count(row, known, counts):
+        classes, _, owner, _, _, hit = _hits(row, known, counts)
+        found = np.bincount(owner[hit], minlength=len(classes))
+        beyond = 4 * found - np.bincount(owner, minlength=len(classes))
+        some = np.flatnonzero(beyond > 0)
+        return pa.RecordBatch.from_arrays([pa.array(classes[some]), pa.array(beyond[some].astype(np.int64))],
+                                          names=["class", "beyond"])
+
+    told = _beside(_sent_sets(docs, ranges, n, region), frequent, count, "class long, beyond long")
+    told = C.store(told.groupBy("class").agg(F.sum("beyond").alias("beyond")), "told", BATCH_ROWS)
+    C.drop_stored(docs.sparkSession, frequent)
     classes = rows.filter("n_shingles > 0").select("class", "n_shingles", "low").distinct()
     missing = F.col("n_shingles") - F.ceil(F.col("n_shingles") * PERCENT / 100)
-    return C.store(classes.join(told, "class", "left").filter(
+    promising = C.store(classes.join(told, "class", "left").filter(
         4 * (F.col("low") - missing) <= F.col("low") + F.coalesce("beyond", F.lit(0))).select("class"), "promising")
+    C.drop_stored(docs.sparkSession, told)
+    return promising
 
 
 def repeated_sets(docs: DataFrame, frequent: DataFrame, ranges: int, n: int = SHINGLE) -> DataFrame:
     """class, n, s (shingles and counts), kept: the repeated shingles of each class that can have a partner at all."""
-    def attach(batches):
-        for batch in batches:
-            for row in _rows(batch):
-                classes, sizes, owner, h, times, hit = _hits(row)
-                by_owner = np.argsort(owner[hit], kind="stable")
-                hit, times = hit[by_owner], times[by_owner]
-                inside, begin = np.unique(owner[hit], return_index=True)
-                code = h[hit]
-                bounds = np.append(begin, len(hit)).astype(np.int32)
-
-                def binary(values, width):
-                    return pa.Array.from_buffers(pa.binary(), len(inside), [
-                        None, pa.py_buffer(bounds * width), pa.py_buffer(np.ascontiguousarray(values))])
-
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(classes[inside]), pa.array(np.full(len(inside), row["range"])),
-                     pa.array(sizes[inside].astype(np.int64)), binary(code, 8), binary(times.astype("<u4"), 4)],
-                    names=["class", "range", "n", "shingles", "counts"])
-
-    sent = _sent_sets(docs, ranges, n, 1.0)
-    hits = sent.join(frequent.hint("shuffle_merge"), "range").select(*sent.columns, "shingles", "counts").mapInArrow(
-        attach, "class long, range long, n long, shingles binary, counts binary")
+    def attach(row, known, counts):
+        classes, sizes, owner, h, times, hit = _hits(row, known, counts)
+        by_owner = np.argsort(owner[hit], kind="stable")
+        hit, times = hit[by_owner], times[by_owner]
+        inside, begin = np.unique(owner[hit], return_index=True)
+        code = h[hit]
+        bounds = np.append(begin, len(hit)).astype(np.int32)
+
+        def binary(values, width):
+            return pa.Array.from_buffers(pa.binary(), len(inside), [
+                None, pa.py_buffer(bounds * width), pa.py_buffer(np.ascontiguousarray(values))])
+
+        return pa.RecordBatch.from_arrays(
+            [pa.array(classes[inside]), pa.array(np.full(len(inside), row["range"])),
+             pa.array(sizes[inside].astype(np.int64)), binary(code, 8), binary(times.astype("<u4"), 4)],
+            names=["class", "range", "n", "shingles", "counts"])
+
+    hits = _beside(_sent_sets(docs, ranges, n, 1.0), frequent, attach,
+                   "class long, range long, n long, shingles binary, counts binary")
     # a class of several rows gives equal parts: the set keeps one, map-side already
     sets = hits.groupBy("class").agg(F.first("n").alias("n"),
                                      F.collect_set(F.struct("range", "shingles", "counts")).alias("s"))
@@ -471,10 +489,13 @@ def class_components(docs: DataFrame, classes: DataFrame, n: int = SHINGLE,
     ranges = max(1, math.ceil(total / RANGE_SHINGLES))
     frequent = C.store(repeated_shingles(docs, ranges, n), "shingles")
     sets = C.store(repeated_sets(docs, frequent, ranges, n), "sets", BATCH_ROWS)
+    for done in (frequent, docs):                          # nothing below reads them
+        C.drop_stored(sets.sparkSession, done)
     entries = C.store(prefix_entries(sets), "prefixes")
     lead = entries.groupBy("shingle").agg(F.min("class").alias("b"), F.max("class").alias("most")).filter("b < most")
     edges = entries.join(lead, "shingle").select(F.col("class").alias("a"), "b").filter("a <> b").distinct()
     clusters = components(edges)
+    C.drop_stored(sets.sparkSession, entries)
     members = sets.select("class", "n", "s", "kept").join(
         clusters.select(F.col("node").alias("class"), F.col("component").alias("cluster")), "class")
     members = C.store(members, "members")
