@@ -88,20 +88,36 @@ def parse_mixed_date(col) -> Column:
         (num > S.SERIAL_MIN_EXCLUSIVE) & (num < S.SERIAL_MAX_EXCLUSIVE),
         F.timestamp_micros(serial_micros),
     ).when(text.rlike("^[0-9]{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
-    parsed = F.when(text.isNull() | (text == ""), F.lit(None).cast("timestamp")) \
-        .when(num.isNotNull(), serial) \
-        .otherwise(parse_text_date(text))
+    # plain dates stop at their first test; empty text matches no form
+    parsed = _plain_dates(text).when(num.isNotNull(), serial).otherwise(parse_text_date(text))
     # wall-clock time, as in the source (no time zone attached)
     return parsed.cast("timestamp_ntz")
 
 
 # A time of day, a fraction, a half-day mark and a zone, each optional. The zone
 # is left out of the value: the wall-clock time of the text counts.
-_TIME = (r"(?:[ T]+([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:[.,]([0-9]{1,9}))?)?"
-         r" ?([AaPp])?[.]?(?:[Mm][.]?)?(?: ?(?:[Zz]|UTC|GMT|[+-][0-9]{2}:?[0-9]{2}))?)?$")
-_DAY_FIRST = r"^([0-9]{1,2})[-/. ]([0-9]{1,2})[-/. ]([0-9]{4}|[0-9]{2})" + _TIME
-_YEAR_FIRST = r"^([0-9]{4})[-/.]([0-9]{1,2})(?:[-/.]([0-9]{1,2}))?" + _TIME
-_NAMED = (r"^([0-9]{1,2})[-/. ]+(?:de +)?([A-Za-zçÇ]{3,12})[.]?[-/. ]+(?:de +)?([0-9]{4}|[0-9]{2})" + _TIME)
+_TIME = (r"(?:[ T,]+[0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]{1,9})?)?"
+         r" ?[AaPp]?[.]?(?:[Mm][.]?)?(?: ?(?:[Zz]|UTC|GMT|[+-][0-9]{2}:?[0-9]{2}))?)?$")
+_CLOCK = r"[ T,]([0-9]{1,2})(:[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]{1,9})?)?) ?([AaPp])?"
+# A weekday may stand before any form.
+_WEEKDAY = r"^(?:[A-Za-zçÇáÁ]{3,13}(?:-feira)?[.]?,? +)?"
+_NAME = r"([A-Za-zçÇ]{3,12})[.]?"
+_GAP = r"[-/. ]+(?:de +)?"
+_YEAR = r"([0-9]{4}|[0-9]{2})"
+# Written forms in digits: pattern, and how its groups read as year-month-day.
+_DAY_FIRST = _WEEKDAY + r"([0-9]{1,2})[-/. ]([0-9]{1,2})[-/. ]" + _YEAR + _TIME
+_YEAR_FIRST = _WEEKDAY + r"([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})" + _TIME
+_YEAR_MONTH = _WEEKDAY + r"([0-9]{4})[-/.]([0-9]{1,2})" + _TIME
+# ... and with a month's name (its group, the others with a place for it): after the day, before it, after the year.
+_NAMED = [(_WEEKDAY + r"([0-9]{1,2})" + _GAP + _NAME + _GAP + _YEAR + _TIME, 2, "$3-@-$1"),
+          (_WEEKDAY + _NAME + r"[-/. ]+([0-9]{1,2})(?:st|nd|rd|th)?(?:,|[-/. ])[-/. ]*([0-9]{4})" + _TIME, 1, "$3-@-$2"),
+          (r"^([0-9]{4})[-/. ]+" + _NAME + r"[-/. ]+([0-9]{1,2})" + _TIME, 2, "$1-@-$3")]
+# Eight digits and a time, with and without seconds.
+_COMPACT = [(r"^([0-9]{4})([0-9]{2})([0-9]{2})[ T]?([0-9]{2}):?([0-9]{2}):?([0-9]{2})$", "$1-$2-$3 $4:$5:$6"),
+            (r"^([0-9]{4})([0-9]{2})([0-9]{2})[ T]?([0-9]{2}):?([0-9]{2})$", "$1-$2-$3 $4:$5:00")]
+# The shapes that most files have, read by one built-in parser each.
+_PLAIN_DAY_FIRST = "^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
+_PLAIN_ISO = "^[0-9]{4}-[0-9]{2}-[0-9]{2}(?: [0-9]{2}:[0-9]{2}:[0-9]{2})?$"
 # First three letters of month names, English and Portuguese.
 _MONTHS = {"jan": 1, "feb": 2, "fev": 2, "mar": 3, "apr": 4, "abr": 4, "may": 5, "mai": 5, "jun": 6,
            "jul": 7, "aug": 8, "ago": 8, "sep": 9, "set": 9, "oct": 10, "out": 10, "nov": 11,
@@ -110,24 +126,26 @@ _MONTHS = {"jan": 1, "feb": 2, "fev": 2, "mar": 3, "apr": 4, "abr": 4, "may": 5,
 _PIVOT_YEAR = 69
 
 
-def _fields_to_timestamp(text: Column, pattern: str, year: Column, month: Column, day: Column) -> Column:
-    """Date fields and the time groups 4 to 8 of ``pattern`` as a timestamp; NULL if no such moment."""
-    def group(i: int) -> Column:
-        return F.regexp_extract(text, pattern, i)
+def _with_century(day: Column) -> Column:
+    """A two-digit year at the beginning in full."""
+    late = "|".join(str(y) for y in range(_PIVOT_YEAR, 100))
+    return F.regexp_replace(F.regexp_replace(day, f"^(?=(?:{late})-)", "19"), "^(?=[0-9]{2}-)", "20")
 
-    half = F.lower(group(8))
-    hour = F.coalesce(group(4).try_cast("int"), F.lit(0))
-    hour = (F.when((half == "p") & (hour < 12), hour + 12)
-             .when((half == "a") & (hour == 12), F.lit(0)).otherwise(hour))
-    minute = F.coalesce(group(5).try_cast("int"), F.lit(0))
-    second = F.coalesce(F.concat(group(6), F.lit("."), F.substring(F.rpad(group(7), 6, "0"), 1, 6))
-                        .try_cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)"))
-    return F.try_make_timestamp(year, month, day, hour, minute, second)
 
+def _at_clock(day: Column, text: Column) -> Column:
+    """``day`` (year-month-day) at the time of day that ``text`` states, if it states one; NULL if no such moment."""
+    hour, half = F.regexp_extract(text, _CLOCK, 1).try_cast("int"), F.lower(F.regexp_extract(text, _CLOCK, 3))
+    hour = F.when((half == "p") & (hour < 12), hour + 12).when((half == "a") & (hour == 12), F.lit(0)).otherwise(hour)
+    rest = F.translate(F.regexp_extract(text, _CLOCK, 2), ",", ".")
+    return F.when(text.contains(":"), F.concat(day, F.lit(" "), F.lpad(hour.cast("string"), 2, "0"), rest)
+                  .try_cast("timestamp")).otherwise(day.try_cast("timestamp"))
 
-def _full_year(col: Column) -> Column:
-    y = col.try_cast("int")
-    return F.when(F.length(col) == 2, y + F.when(y >= _PIVOT_YEAR, 1900).otherwise(2000)).otherwise(y)
+
+def _plain_dates(text: Column) -> Column:
+    """The two plain shapes; other cases may follow."""
+    return (F.when(text.rlike(_PLAIN_DAY_FIRST), F.coalesce(F.try_to_timestamp(text, F.lit("d/M/yyyy")),
+                                                            F.try_to_timestamp(text, F.lit("M/d/yyyy"))))
+             .when(text.rlike(_PLAIN_ISO), text.try_cast("timestamp")))
 
 
 def parse_text_date(col) -> Column:
@@ -135,30 +153,40 @@ def parse_text_date(col) -> Column:
 
     Day first (``/``, ``-``, ``.`` or blank, two- or four-digit year); month
     first only where day first is impossible; year first (also without a day);
-    month names in English and Portuguese. Each with an optional time, fraction,
-    am/pm and zone. The text's shape picks the one rule to try, so no row goes
-    through a chain of failing parses; names and codes stop at the first test.
+    month names in English and Portuguese after the day, before it or after the
+    year; eight digits with a time; a weekday before any of them. Each with an
+    optional time, fraction, am/pm and zone. Plain day-first and ISO dates go to
+    one built-in parser; the shape of any other text picks the one form, which
+    a replacement writes as year-month-day. Names and codes stop at the first
+    test.
     """
     text = F.trim(_c(col).cast("string"))
 
-    def group(pattern: str, i: int) -> Column:
-        return F.regexp_extract(text, pattern, i)
+    def written(pattern: str, how: str) -> Column:
+        return F.regexp_replace(text, pattern, how)
 
-    a, b = group(_DAY_FIRST, 1).try_cast("int"), group(_DAY_FIRST, 2).try_cast("int")
-    swap = (b > 12) & (a <= 12)
-    day_first = _fields_to_timestamp(text, _DAY_FIRST, _full_year(group(_DAY_FIRST, 3)),
-                                     F.when(swap, a).otherwise(b), F.when(swap, b).otherwise(a))
-    year_first = _fields_to_timestamp(
-        text, _YEAR_FIRST, group(_YEAR_FIRST, 1).try_cast("int"), group(_YEAR_FIRST, 2).try_cast("int"),
-        F.coalesce(group(_YEAR_FIRST, 3).try_cast("int"), F.lit(1)))
     months = F.create_map(*[F.lit(x) for pair in _MONTHS.items() for x in pair])
-    named = _fields_to_timestamp(
-        text, _NAMED, _full_year(group(_NAMED, 3)),
-        F.element_at(months, F.lower(F.substring(group(_NAMED, 2), 1, 3))), group(_NAMED, 1).try_cast("int"))
-    out = (F.when(text.rlike(_DAY_FIRST), day_first).when(text.rlike(_YEAR_FIRST), year_first)
-            .when(text.rlike(_NAMED), named))
-    # one cheap test first: most text (names, codes) is not shaped like a date
-    return F.when(text.rlike("^[0-9]{1,4}[-/. ]+[0-9A-Za-z]"), out)
+
+    def named(pattern: str, group: int, how: str) -> Column:
+        month = F.element_at(months, F.lower(F.substring(F.regexp_extract(text, pattern, group), 1, 3)))
+        return F.replace(written(pattern, how), F.lit("@"), month.cast("string"))
+
+    general = F.when(text.rlike(_DAY_FIRST), F.coalesce(
+        _at_clock(_with_century(written(_DAY_FIRST, "$3-$2-$1")), text),
+        _at_clock(_with_century(written(_DAY_FIRST, "$3-$1-$2")), text)))
+    general = general.when(text.rlike(_YEAR_FIRST), _at_clock(written(_YEAR_FIRST, "$1-$2-$3"), text))
+    general = general.when(text.rlike(_YEAR_MONTH), _at_clock(written(_YEAR_MONTH, "$1-$2-01"), text))
+    for pattern, group, how in _NAMED:
+        general = general.when(text.rlike(pattern), _at_clock(_with_century(named(pattern, group, how)), text))
+    for pattern, how in _COMPACT:
+        general = general.when(text.rlike(pattern), written(pattern, how).try_cast("timestamp"))
+    # digits first, or a word (a weekday, a month) before a number or another word with a number after it
+    shaped = text.rlike(r"^(?:[0-9]{1,4}[-/. ]+[0-9A-Za-z]|[0-9]{8}[ T]?[0-9]"
+                        r"|[A-Za-zçÇáÁ-]{3,13}[.]?,? +(?:[A-Za-zçÇ]{3,12}[.]? +)?[0-9]{1,2}(?:st|nd|rd|th)?\b.*[0-9])")
+    return _plain_dates(text).when(shaped, general)
+
+
+_BEYOND_ASCII = r"[^\x00-\x7F]"
 
 
 def spell_out(col) -> Column:
@@ -168,13 +196,15 @@ def spell_out(col) -> Column:
     table = F.create_map(*[F.lit(x) for pair in _SPELLED.items() for x in pair])
     letters = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
     spelled = F.array_join(F.transform(letters, lambda c: F.coalesce(F.element_at(table, c), c)), "")
-    return F.when(text.rlike("[" + "".join(_SPELLED) + "]"), spelled).otherwise(text)
+    # a class of hundreds of letters is slow to test: plain ASCII text never meets it
+    return F.when(text.rlike(_BEYOND_ASCII) & text.rlike("[" + "".join(_SPELLED) + "]"), spelled).otherwise(text)
 
 
 def slug(col) -> Column:
     """ASCII-fold, runs of non-alphanumerics to ``_``, trim ``_``, upper."""
-    folded = F.translate(spell_out(col), _ACCENT_SRC, _ACCENT_DST)
-    ascii_only = F.regexp_replace(folded, r"[^\x00-\x7F]", "")
+    text = _c(col).cast("string")
+    folded = F.regexp_replace(F.translate(spell_out(text), _ACCENT_SRC, _ACCENT_DST), _BEYOND_ASCII, "")
+    ascii_only = F.when(text.rlike(_BEYOND_ASCII), folded).otherwise(text)
     joined = F.regexp_replace(ascii_only, r"[^A-Za-z0-9]+", "_")
     return F.upper(F.regexp_replace(joined, r"^_+|_+$", ""))
 

@@ -35,10 +35,10 @@ def standardized(r: DataFrame) -> DataFrame:
     return r.select("*", *cols)
 
 
-# The features lie in this many partitions whatever the size or the session, dealt
-# by customer and sorted inside: seeds pick rows by partition and place, so the
-# start points, and with them the clusters, do not depend on the partitioning.
-PARTITIONS = 32
+# The features lie in partitions of about so many customers, whatever the session,
+# dealt by customer and sorted inside: seeds pick rows by partition and place, so the
+# start points, and with them the clusters, depend on the customers alone.
+PARTITION_ROWS = 20_000
 
 
 def assign_clusters(r: DataFrame, k: int = S.SEGMENT_COUNT, seed: int = S.SEGMENT_SEED,
@@ -52,9 +52,10 @@ def assign_clusters(r: DataFrame, k: int = S.SEGMENT_COUNT, seed: int = S.SEGMEN
     r = r.persist(StorageLevel.MEMORY_AND_DISK)
     data = None
     try:
-        if r.count() < k:
+        customers = r.count()
+        if customers < k:
             return None
-        data = vec.transform(standardized(r)).repartition(PARTITIONS, "customer_id") \
+        data = vec.transform(standardized(r)).repartition(-(-customers // PARTITION_ROWS), "customer_id") \
                   .sortWithinPartitions("customer_id").persist(StorageLevel.MEMORY_AND_DISK)
         data.count()
 

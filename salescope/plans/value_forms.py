@@ -20,41 +20,55 @@ def _pick(key: Column, forms: list[Column]) -> Column:
     return out
 
 
+# Portuguese month names.
+MONTH_NAMES = ["janeiro", "fevereiro", "março", "abril", "maio", "junho", "julho", "agosto", "setembro", "outubro",
+               "novembro", "dezembro"]
+
+
 def date_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P5 on thirteen written forms of the order dates."""
+    """P5 on twenty written forms of the order dates."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
 
     def written(fmt: str) -> Column:
         return F.date_format("d", fmt)
 
     serial = F.datediff("d", F.lit(S.EXCEL_EPOCH).cast("date")).cast("string")
-    text = _pick(F.col("o_orderkey") % 13, [
+    text = _pick(F.col("o_orderkey") % 20, [
         written("dd/MM/yy"), written("yyyy/MM/dd"), written("yyyyMMdd"),
         F.concat(written("yyyy-MM-dd"), F.lit("T10:00:00Z")),
         F.concat(written("yyyy-MM-dd"), F.lit(" 10:00:00+03:00")),
         F.lower(written("dd-MMM-yyyy")), F.lower(written("dd MMM yyyy")), written("MM/dd/yyyy"),
         F.concat(written("dd/MM/yyyy"), F.lit(" 10:00:00.123")),
         F.concat(written("dd/MM/yyyy"), F.lit(" 2:00 PM")), written("yyyy-MM"), F.lit("sem data"),
-        F.concat(serial, F.lit(".5"))])
+        F.concat(serial, F.lit(".5")),
+        written("MMM d, yyyy"), written("MMMM dd yyyy"), F.concat(written("EEE, "), written("d MMM yyyy")),
+        F.concat(written("yyyyMMdd"), F.lit(" 10:30")), written("yyyy MMM dd"),
+        F.concat(written("dd"), F.lit(" de "), F.element_at(F.array(*[F.lit(m) for m in MONTH_NAMES]), F.month("d")), F.lit(" de "), written("yyyy")),
+        F.concat(F.lit("seg, "), written("dd/MM/yyyy"), F.lit(" 9:05"))])
     return orders.select("o_orderkey", text.alias("text")).select(
         "o_orderkey", "text", E.parse_mixed_date("text").alias("value"))
 
 
-DATE_FORMS = """
+DATE_FORMS = f"""
 SELECT o_orderkey,
-  CASE o_orderkey % 13 WHEN 0 THEN strftime(d, '%d/%m/%y') WHEN 1 THEN strftime(d, '%Y/%m/%d')
+  CASE o_orderkey % 20 WHEN 0 THEN strftime(d, '%d/%m/%y') WHEN 1 THEN strftime(d, '%Y/%m/%d')
     WHEN 2 THEN strftime(d, '%Y%m%d') WHEN 3 THEN strftime(d, '%Y-%m-%d') || 'T10:00:00Z'
     WHEN 4 THEN strftime(d, '%Y-%m-%d') || ' 10:00:00+03:00' WHEN 5 THEN lower(strftime(d, '%d-%b-%Y'))
     WHEN 6 THEN lower(strftime(d, '%d %b %Y')) WHEN 7 THEN strftime(d, '%m/%d/%Y')
     WHEN 8 THEN strftime(d, '%d/%m/%Y') || ' 10:00:00.123' WHEN 9 THEN strftime(d, '%d/%m/%Y') || ' 2:00 PM'
     WHEN 10 THEN strftime(d, '%Y-%m') WHEN 11 THEN 'sem data'
-    ELSE CAST(date_diff('day', DATE '1899-12-30', d) AS VARCHAR) || '.5' END AS text,
-  CASE o_orderkey % 13 WHEN 3 THEN d + INTERVAL 10 HOUR WHEN 4 THEN d + INTERVAL 10 HOUR
+    WHEN 12 THEN CAST(date_diff('day', DATE '1899-12-30', d) AS VARCHAR) || '.5'
+    WHEN 13 THEN strftime(d, '%b %-d, %Y') WHEN 14 THEN strftime(d, '%B %d %Y') WHEN 15 THEN strftime(d, '%a, %-d %b %Y')
+    WHEN 16 THEN strftime(d, '%Y%m%d') || ' 10:30' WHEN 17 THEN strftime(d, '%Y %b %d')
+    WHEN 18 THEN strftime(d, '%d') || ' de ' || {MONTH_NAMES}[month(d)] || ' de ' || strftime(d, '%Y')
+    ELSE 'seg, ' || strftime(d, '%d/%m/%Y') || ' 9:05' END AS text,
+  CASE o_orderkey % 20 WHEN 3 THEN d + INTERVAL 10 HOUR WHEN 4 THEN d + INTERVAL 10 HOUR
     WHEN 7 THEN CASE WHEN day(d) > 12 THEN CAST(d AS TIMESTAMP)
                 ELSE CAST(make_date(year(d), day(d), month(d)) AS TIMESTAMP) END
     WHEN 8 THEN d + INTERVAL 36000123 MILLISECOND WHEN 9 THEN d + INTERVAL 14 HOUR
     WHEN 10 THEN CAST(date_trunc('month', d) AS TIMESTAMP) WHEN 11 THEN NULL
-    WHEN 12 THEN d + INTERVAL 12 HOUR ELSE CAST(d AS TIMESTAMP) END AS value
+    WHEN 12 THEN d + INTERVAL 12 HOUR WHEN 16 THEN d + INTERVAL 630 MINUTE WHEN 19 THEN d + INTERVAL 545 MINUTE
+    ELSE CAST(d AS TIMESTAMP) END AS value
 FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)
 """
 
