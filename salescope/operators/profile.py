@@ -4,8 +4,8 @@ Every column of every raw table is profiled in one distributed pass: the
 tables are unpivoted to ``(source_file, column, value)`` and grouped by
 ``(source_file, column)``; all features are aggregates with map-side
 partial combine. A Spark ML random forest, trained on tables whose mapping
-is known, scores each column for each field, and a mutual-best match keeps
-one column per field and one field per column.
+is known, scores each column for each field, and the assignment of the greatest
+sum of scores keeps one column per field and one field per column.
 """
 from __future__ import annotations
 
@@ -55,10 +55,26 @@ def header_flag(column: Column, keywords: Sequence[str]) -> Column:
     return hit.cast("int").cast("double")
 
 
+def layout_values(frames: Sequence[DataFrame]) -> DataFrame:
+    """``long_values`` of frames that read many files each (``source_file`` in a column): one branch a layout."""
+    out = None
+    for raw in frames:
+        cells = F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"))
+            for c in raw.columns if c not in ("_row_no", "source_file")]))
+        df = raw.select("source_file", cells.alias("kv")).select("source_file", "kv.column", "kv.value")
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
 def content_profile(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """M5 content features (everything but the header flags) per
     (source_file, column), rounded to 6 decimals."""
-    cells = long_values(tables)
+    return cell_profile(long_values(tables))
+
+
+def cell_profile(cells: DataFrame) -> DataFrame:
+    """``content_profile`` of ``(source_file, column, value)`` rows."""
     v = F.col("value")
     num = E.to_number(v)
     is_num = num.isNotNull() & ~F.isnan(num)
@@ -174,20 +190,28 @@ def forest(num_trees: int = 300, seed: int = 42) -> RandomForestClassifier:
                                   numTrees=num_trees, seed=seed, maxDepth=12)
 
 
+def stratified_folds(train: DataFrame, folds: int = 3, seed: int = 42) -> DataFrame:
+    """Training rows with ``fold``: each label's rows are shuffled by the seed and dealt in turn, so a label with at
+    least as many rows as folds is in every fold; labels begin at different folds, so the folds are of like size.
+    (The training set is one row per labelled column.)"""
+    order = Window.partitionBy("label").orderBy(F.xxhash64("source_file", "column", F.lit(seed)), "source_file", "column")
+    return train.withColumn("fold", F.pmod(F.row_number().over(order) + F.col("label").cast("int"), F.lit(folds)).cast("int"))
+
+
 def train_classifier(train: DataFrame, num_trees: int = 300, folds: int = 3, seed: int = 42):
-    """M7: fit the forest on labelled profiles and report its k-fold CV accuracy.
+    """M7: fit the forest on labelled profiles and report its stratified k-fold CV accuracy.
 
     The training set is one row per labelled column (tens of rows); it is
     cached while the folds (fitted concurrently) and the final fit on all
     rows read it many times."""
-    data = with_class_weights(assembler().transform(train)).persist()
+    data = stratified_folds(with_class_weights(assembler().transform(train)), folds, seed).persist()
     try:
         rows = data.count()
         evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
                                                       metricName="accuracy")
         cv = CrossValidator(estimator=forest(num_trees, seed),
                             estimatorParamMaps=ParamGridBuilder().build(), evaluator=evaluator,
-                            numFolds=folds, seed=seed, parallelism=folds)
+                            numFolds=folds, seed=seed, parallelism=folds, foldCol="fold")
         cv_model = cv.fit(data)
         # the cross-validator refits the forest on every row at the end
         return cv_model.bestModel, float(cv_model.avgMetrics[0]), rows
@@ -198,7 +222,7 @@ def train_classifier(train: DataFrame, num_trees: int = 300, folds: int = 3, see
 def score(model, profiles: DataFrame) -> DataFrame:
     """P11 + M6 (scores): the probability of each field for each column,
     ``(source_file, column, field, confidence)``."""
-    scored = model.transform(assembler().transform(profiles.na.fill(0.0, FEATURES)))
+    scored = model.transform(assembler().transform(align_columns(profiles, FEATURES)))
     prob = vector_to_array("probability")
     fields = F.array(*[F.struct(F.lit(f).alias("field"),
                                 F.coalesce(F.get(prob, i), F.lit(0.0)).alias("p"))
@@ -207,19 +231,80 @@ def score(model, profiles: DataFrame) -> DataFrame:
                   .select("source_file", "column", "s.field", F.col("s.p").alias("confidence")))
 
 
-def mutual_best(scores: DataFrame, threshold: float = S.MAPPING_THRESHOLD) -> DataFrame:
-    """M6 + F6: keep a (column, field) pair when the field is the column's best
-    and the column is the field's best, with confidence >= threshold.
-
-    Windows are per (file, column) and per (file, field): at most a few dozen
-    rows each, whatever the size of the files."""
-    by_col = Window.partitionBy("source_file", "column").orderBy(F.desc("confidence"), "field")
-    by_field = Window.partitionBy("source_file", "field").orderBy(F.desc("confidence"), "column")
-    ranked = scores.select("*", F.row_number().over(by_col).alias("rc"),
-                           F.row_number().over(by_field).alias("rf"))
-    return (ranked.where((F.col("rc") == 1) & (F.col("rf") == 1)
-                         & (F.col("confidence") >= threshold))
-                  .select("source_file", "field", "column", half_up("confidence", 3).alias("confidence")))
+SCORE_UNIT = 1_000_000         # sums of scores are taken in whole millionths, so ties are ties
+
+
+def _better(state: Column, scores: Column, index: Column) -> Column:
+    """States after one more column. A state is a set of fields with the least (-sum, columns picked) that fills them."""
+    n = len(S.FIELDS)
+
+    def with_column(pick: Column, f: int) -> Column:
+        return F.transform(pick, lambda x, i: F.when(i == f, index).otherwise(x))
+
+    def best(fields: Column) -> Column:
+        offers = [F.get(state, fields)]
+        for f in range(n):
+            before = F.get(state, fields - (1 << f))
+            pick = with_column(before["pick"], f)
+            offers.append(F.when((fields.bitwiseAND(F.lit(1 << f)) != 0) & before.isNotNull(), F.struct(
+                (before["less"] - F.get(scores, F.lit(f))).alias("less"), pick.alias("pick"))))
+        return F.array_min(F.array(*offers))
+
+    return F.transform(F.sequence(F.lit(0), F.lit((1 << n) - 1)), best)
+
+
+def assign_fields(scores: DataFrame, threshold: float = S.MAPPING_THRESHOLD) -> DataFrame:
+    """M6 + F6: the one-to-one assignment of fields and columns with the greatest
+    sum of confidences per file, of which pairs with confidence >= threshold stay.
+
+    A fold over a file's columns keeps, for each of the 512 sets of the nine
+    fields, the best way to fill it; all files at once, as column expressions.
+    Ties go to the least sequence of columns, field by field, in the order of
+    their names. A file's row holds its header: scores per column, no data.
+    """
+    n = len(S.FIELDS)
+    units = F.floor(F.col("confidence") * SCORE_UNIT + 0.5).cast("long")
+    per_column = scores.groupBy("source_file", "column").agg(F.array(*[
+        F.coalesce(F.max(F.when(F.col("field") == f, units)), F.lit(0).cast("long")) for f in S.FIELDS]).alias("scores"))
+    files = per_column.groupBy("source_file").agg(
+        F.array_sort(F.collect_list(F.struct("column", "scores"))).alias("columns"))
+    none = F.array_repeat(F.lit(1 << 30), n)              # an unfilled field comes after every column
+    start = F.transform(F.sequence(F.lit(0), F.lit((1 << n) - 1)), lambda fields: F.when(
+        fields == 0, F.struct(F.lit(0).cast("long").alias("less"), none.alias("pick"))))
+    numbered = F.transform("columns", lambda c, i: F.struct(i.alias("i"), c["scores"].alias("scores")))
+    filled = F.aggregate(numbered, start, lambda state, c: _better(state, c["scores"], c["i"]))
+    picked = files.select("source_file", "columns", F.posexplode(F.array_min(filled)["pick"]).alias("f", "c"))
+    picked = picked.where(F.col("c") < F.size("columns")).select(
+        "source_file", F.element_at(F.array(*[F.lit(f) for f in S.FIELDS]), F.col("f") + 1).alias("field"),
+        F.get("columns", "c")["column"].alias("column"))
+    return (picked.join(scores, ["source_file", "field", "column"]).where(F.col("confidence") >= threshold)
+            .select("source_file", "field", "column", half_up("confidence", 3).alias("confidence")))
+
+
+def align_columns(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("source_file", "column")) -> DataFrame:
+    """The keys and exactly ``columns``, in order; absent columns and nulls are 0."""
+    have = set(df.columns)
+    return df.select(*keys, *[(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in have else F.lit(0.0)).alias(c)
+                              for c in columns])
+
+
+# Rules for a start without a trained model: the content feature that speaks for a field, beside its header flag.
+RULE_FEATURES = {
+    "customer_id": "pct_len14", "region": "pct_uf", "product_code": "pct_len12_13", "product_name": "product_like",
+    "amount": "money_like", "quantity": "pct_int", "channel": "pct_canal_kw"}
+RULE_HEADER_WEIGHT, RULE_CONTENT_WEIGHT = 0.6, 0.4
+
+
+def rule_scores(profiles: DataFrame) -> DataFrame:
+    """Scores like :func:`score`'s from header flags and one content feature a field, without a model."""
+    p = align_columns(profiles, FEATURES)
+    speaks = {f: F.col(c) for f, c in RULE_FEATURES.items()}
+    speaks["sale_date"] = F.greatest("pct_date", "pct_excel_serial")
+    speaks["customer_name"] = F.when((F.col("pct_num") < 0.1) & (F.col("mean_len") > 8), 1.0).otherwise(0.0)
+    each = F.array(*[F.struct(F.lit(f).alias("field"), half_up(
+        F.lit(RULE_HEADER_WEIGHT) * F.col(f"hdr_{f}") + F.lit(RULE_CONTENT_WEIGHT) * speaks[f], 6).alias("confidence"))
+        for f in S.FIELDS])
+    return p.select("source_file", "column", F.explode(each).alias("s")).select("source_file", "column", "s.*")
 
 
 def mapping_report(spark: SparkSession, mapping: DataFrame, files: DataFrame) -> DataFrame:

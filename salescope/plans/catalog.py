@@ -24,6 +24,7 @@ from ..streaming.landing import stream_supplier_files
 from . import consolidate as CO
 from . import ingest_sql as IS
 from . import landing_batch as LB
+from . import mapping_sql as MS
 from . import report_sql as RS
 from . import schema_inference as SI
 from . import series_sql as QS
@@ -206,6 +207,22 @@ _schema("train_classifier")(lambda si: si.training_summary())
 _schema("map_columns")(lambda si: si.mapping())
 _schema("mapping_report")(lambda si: si.report())
 _schema("mapping_accuracy")(lambda si: si.accuracy())
+_schema("map_columns_by_rules", MS.MAP_COLUMNS)(lambda si: si.rule_mapping())
+_schema("mapping_report_by_rules", MS.MAPPING_REPORT)(lambda si: si.rule_report())
+_schema("mapping_accuracy_by_rules", MS.MAPPING_ACCURACY)(lambda si: si.rule_accuracy())
+_schema("align_columns", MS.ALIGN_COLUMNS)(lambda si: si.aligned())
+_schema("training_folds", MS.TRAINING_FOLDS)(lambda si: si.folds())
+
+
+@register("empty_state", RS.EMPTY_STATE)
+def _empty_state(spark, sf_dir):
+    """K4: the files written for a fact without rows: the metadata alone, reports skipped."""
+    none = sales_fact(spark, sf_dir).where("amount < 0")
+    written = write_reports(spark, none, {"by_region": R.by_region}, SS.shared_path(spark, f"reports-{uuid.uuid4().hex}"))
+    meta = spark.read.schema("empty boolean, date_min string, date_max string, horizon_days int, notes array<string>").json(
+        written["meta"])
+    return meta.select("empty", "date_min", "date_max", "horizon_days", F.array_join("notes", " | ").alias("notes"),
+                       F.lit(len(written) - 1).alias("reports"))
 
 
 @_schema("consolidate_inferred", IS.CONSOLIDATE_INFERRED)

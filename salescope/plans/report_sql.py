@@ -201,3 +201,12 @@ SELECT false AS empty, strftime(min(sale_date), '%Y-%m-%d') AS date_min,
        || 'Forecast: least squares on the ordinal of selling days, band of 1.5 sigma of residuals.' AS notes
 FROM fact
 """)
+
+
+# A fact without rows: the metadata says so, and no report is written.
+EMPTY_STATE = """
+SELECT count(*) = 0 AS empty, CAST(min(l_shipdate) AS VARCHAR) AS date_min, CAST(max(l_shipdate) AS VARCHAR) AS date_max,
+       CAST(NULL AS INTEGER) AS horizon_days, 'No file loaded: upload files to see the figures.' AS notes,
+       CAST(count(*) AS INTEGER) AS reports
+FROM lineitem WHERE l_extendedprice < 0
+"""

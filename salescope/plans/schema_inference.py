@@ -16,6 +16,7 @@ from ..operators import profile as P
 from ..sources import fixtures as FX
 from ..sources.materialize import materialized
 
+ALIGNED = [c for c in P.FEATURES if not c.startswith("num_")]
 RENAMED_FILE = "source_b_renamed.csv"
 _lock = threading.Lock()
 _models: dict[tuple[str, str], tuple] = {}
@@ -89,7 +90,7 @@ class SchemaInference:
 
     def mapping(self) -> DataFrame:
         """M6: (source_file, field, column, confidence)."""
-        return P.mutual_best(self.scores())
+        return P.assign_fields(self.scores())
 
     def report(self) -> DataFrame:
         """J5."""
@@ -101,12 +102,45 @@ class SchemaInference:
         return P.mapping_accuracy(self.spark, self.mapping(), self.truths)
 
 
+    def rule_mapping(self) -> DataFrame:
+        """M6 on the scores of the rules, which need no training."""
+        return P.assign_fields(P.rule_scores(self.profiles()))
+
+    def rule_report(self) -> DataFrame:
+        """J5 of the mapping by rules."""
+        files = self.spark.createDataFrame([(n,) for n, _ in self.targets], "source_file string")
+        return P.mapping_report(self.spark, self.rule_mapping(), files)
+
+    def rule_accuracy(self) -> DataFrame:
+        """J4 + M8 of the mapping by rules."""
+        return P.mapping_accuracy(self.spark, self.rule_mapping(), self.truths)
+
+    def aligned(self) -> DataFrame:
+        """The profiles without two of their features, brought to the columns of a model without sizes."""
+        return P.align_columns(self.profiles().drop("hdr_region", "pct_uf"), ALIGNED)
+
+    def folds(self) -> DataFrame:
+        """M7: rows per label and fold of the training set."""
+        return (P.stratified_folds(self._training_set()).groupBy("label_name", "fold")
+                .agg(F.count(F.lit(1)).alias("rows")))
+
+
+def _by_file(mapping: DataFrame) -> dict[str, dict[str, str]]:
+    out: dict[str, dict[str, str]] = {}
+    for r in mapping.select("source_file", "field", "column").collect():
+        out.setdefault(r["source_file"], {})[r["field"]] = r["column"]
+    return out
+
+
 def infer_mappings(spark: SparkSession, model, tables) -> dict[str, dict[str, str]]:
     """Column mapping of every raw table with a trained forest (M5 + M6):
     ``{file name: {field: column}}``. The tables are profiled on the
     cluster; only the mapping (at most nine rows per file) comes back."""
-    m = P.mutual_best(P.score(model, P.profile_columns(list(tables))))
-    out: dict[str, dict[str, str]] = {}
-    for r in m.select("source_file", "field", "column").collect():
-        out.setdefault(r["source_file"], {})[r["field"]] = r["column"]
-    return out
+    return _by_file(P.assign_fields(P.score(model, P.profile_columns(list(tables)))))
+
+
+def infer_layout_mappings(spark: SparkSession, model, layouts) -> dict[str, dict[str, str]]:
+    """``infer_mappings`` for the layouts of a landing folder: one plan branch a layout, whatever the number of
+    files, as ``source_file`` is a key of the profile."""
+    profiles = P.with_header_flags(P.cell_profile(P.layout_values([layout.frame for layout in layouts])))
+    return _by_file(P.assign_fields(P.score(model, profiles)))
