@@ -22,6 +22,7 @@ from ..sources import fixtures as FX
 from ..sources.fact import read_fact, sales_fact, write_fact
 from ..streaming.landing import stream_supplier_files
 from . import consolidate as CO
+from . import incremental as IC
 from . import ingest_sql as IS
 from . import landing_batch as LB
 from . import mapping_sql as MS
@@ -233,6 +234,13 @@ def _consolidate_inferred(si: SI.SchemaInference) -> DataFrame:
     return CO.Ingest(si.spark, si.sf_dir, sources=sources, tag="inferred").fact()
 
 
+@register("consolidate_incremental", IS.CONSOLIDATE_SOURCES)
+def _consolidate_incremental(spark, sf_dir):
+    """K1 + A18 + J1 upload by upload: the last file first, the first file twice."""
+    path = SS.shared_path(spark, f"fact-store-{uuid.uuid4().hex}")
+    return IC.consolidate_incremental(spark, sf_dir, path).fact()
+
+
 @register("landing_stream", IS.STREAM_SOURCES)
 def _landing_stream(spark, sf_dir):
     """Structured Streaming ingest of the supplier files dropped as CSV into
