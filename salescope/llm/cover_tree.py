@@ -11,10 +11,12 @@ radii is left; a pair whose centres plus both radii lie within the distance
 links all its vectors at once, without listing them; others are opened, down
 to single vectors (or small nodes, compared at once), whose cosine decides.
 
-Labels of more than ``BLOCK_ROWS`` vectors are cut into cells around the top
-centres, cells into blocks, and only block pairs that pass the same bound are
-compared, each in a task of its own. Links leave a task as counts per vector
-and as a spanning forest, so a group of near copies of any size stays small.
+Equal vectors of a label are one row with their number, before anything is
+compared. Labels of more than ``BLOCK_ROWS`` such rows are cut into cells around
+the top centres, cells into blocks, and only block pairs that pass the same
+bound are compared, each in a task of its own. Links leave a task as counts per
+vector and as a spanning forest, so a group of near copies of any size stays
+small.
 
 The result is exact. Defined cases: vectors that are null, empty, zero or hold
 a null or non-finite component, and rows with a null label, link with nothing;
@@ -38,7 +40,7 @@ THRESHOLD = 0.93
 BLOCK_ROWS = 4096
 CENTRE_SAMPLE = 2048       # vectors per label from which top centres are chosen, at most
 SLACK = 1e-6               # bounds are only trusted beyond rounding (of distances from products)
-LEAF_PAIRS = 1 << 16       # two nodes with at most so many pairs of vectors are compared at once
+LEAF_PAIRS = 1 << 10       # two nodes (not the roots) with at most so many pairs of vectors are compared at once
 FINE = 1e-3                # radii below this are told by differences, not products
 CHUNK = 256
 
@@ -132,13 +134,19 @@ class _Forest:
             self.parent[max(a, b)] = min(a, b)
 
 
-def dual_links(a: Tree, b: Tree | None, threshold: float) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+def dual_links(a: Tree, b: Tree | None, threshold: float, times_a: np.ndarray | None = None,
+               times_b: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
     """Links per vector of a and of b, and pairs that connect all linked vectors (b's numbered after a's).
 
-    ``b`` None compares a with itself, each pair of vectors once.
+    ``b`` None compares a with itself, each pair of vectors once. A vector that
+    stands for several (``times``) counts as so many links of the others.
     """
     same = b is None
     b = a if same else b
+    times_a = np.ones(len(a.x), np.int64) if times_a is None else times_a
+    times_b = times_a if same else np.ones(len(b.x), np.int64) if times_b is None else times_b
+    all_a, all_b = (np.concatenate(([0], np.cumsum(times[t.order]))) for t, times in ((a, times_a), (b, times_b)))
+    weight_a, weight_b = all_a[a.hi] - all_a[a.lo], all_b[b.hi] - all_b[b.lo]
     reach = math.sqrt(2 - 2 * threshold)
     shift = 0 if same else len(a.x)
     forest = _Forest(shift + len(b.x))
@@ -158,23 +166,24 @@ def dual_links(a: Tree, b: Tree | None, threshold: float) -> tuple[np.ndarray, n
         i, j = rows_p[i], rows_q[j]
         near = _cosines(a.x[i], b.x[j]) >= threshold
         i, j = i[near], j[near]
-        np.add.at(own_a, i, 1)
-        np.add.at(own_b, j, 1)
+        np.add.at(own_a, i, times_b[j])
+        np.add.at(own_b, j, times_a[i])
         for r, c in zip(i.tolist(), (j + shift).tolist()):
             forest.join(r, c)
 
     def all_linked(p: int, q: int) -> None:
         if a.hi[p] - a.lo[p] == 1 == b.hi[q] - b.lo[q]:
-            whole_a[p] += 1
-            whole_b[q] += 1
+            whole_a[p] += weight_b[q]
+            whole_b[q] += weight_a[p]
             forest.join(int(a.centre[p]), int(b.centre[q]) + shift)
             return
         rows_p, rows_q = a.order[a.lo[p]:a.hi[p]], b.order[b.lo[q]:b.hi[q]] + shift
         if same and p == q:
-            whole_a[p] += len(rows_p) - 1
+            whole_a[p] += weight_a[p]
+            own_a[rows_p] -= times_a[rows_p]
         else:
-            whole_a[p] += len(rows_q)
-            whole_b[q] += len(rows_p)
+            whole_a[p] += weight_b[q]
+            whole_b[q] += weight_a[p]
         head_p, head_q = int(rows_p[0]), int(rows_q[0])
         for r in rows_p.tolist():
             forest.join(r, head_q)
@@ -194,7 +203,7 @@ def dual_links(a: Tree, b: Tree | None, threshold: float) -> tuple[np.ndarray, n
         if itself and 2 * a.radius[p] <= reach - SLACK:
             all_linked(p, p)
             continue
-        if size_a[p] * size_b[q] <= LEAF_PAIRS:
+        if (p or q) and size_a[p] * size_b[q] <= LEAF_PAIRS:
             compare(p, np.array([q]))
             continue
         for at in range(0, len(kp), CHUNK):
@@ -278,37 +287,49 @@ def _cells(spark, rows: DataFrame, block_rows: int) -> DataFrame:
                                                       ("centres", pa.binary())]))
 
     tops = near.orderBy("vec").groupBy("label", "dim").applyInArrow(centres, "label long, dim int, centres binary")
-    joined = rows.join(tops, ["label", "dim"], "left")
+    tops = C.store(tops, "centres")
 
     def assign(batches):
+        top = None
         for batch in batches:
-            cell = np.zeros(batch.num_rows, np.int64)
-            distance = np.zeros(batch.num_rows)
-            labels, dims = batch.column("label").to_pylist(), batch.column("dim").to_pylist()
-            tops = batch.column("centres").to_pylist()
-            groups: dict = {}
-            for k, (lab, dim, top) in enumerate(zip(labels, dims, tops)):
-                if top is not None:
-                    groups.setdefault((lab, dim, top), []).append(k)
-            for (_, dim, top), at in groups.items():
-                c = np.frombuffer(top, "<f8").reshape(-1, dim)
-                x = V.matrix(batch.column("vec").take(pa.array(at)), dim)
-                d = np.sqrt(np.maximum(2 - 2 * (x @ c.T), 0))
-                cell[at] = d.argmin(axis=1)
-                distance[at] = d.min(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("key", "label", "dim", "vec")], pa.array(cell), pa.array(distance)],
-                names=["key", "label", "dim", "vec", "cell", "distance"])
-
-    placed = joined.mapInArrow(assign, "key long, label long, dim int, vec binary, cell long, distance double")
-    placed = C.store(placed, "cells")
+            kind = batch.column("kind").to_numpy()
+            cuts = [*np.flatnonzero(kind == 0).tolist(), batch.num_rows]
+            for lo, hi in zip([0, *cuts], cuts):
+                if hi > lo and kind[lo] == 0:              # the centres of the rows after it
+                    dim = batch.column("dim")[lo].as_py()
+                    top = np.frombuffer(batch.column("vec")[lo].as_py(), "<f8").reshape(-1, dim)
+                    lo += 1
+                if hi > lo:
+                    part = batch.slice(lo, hi - lo)
+                    x = V.matrix(part.column("vec"), top.shape[1])
+                    d = np.sqrt(np.maximum(2 - 2 * (x @ top.T), 0))
+                    yield pa.RecordBatch.from_arrays(
+                        [*[part.column(c) for c in ("key", "label", "dim", "vec", "times")],
+                         pa.array(d.argmin(axis=1).astype(np.int64)), pa.array(d.min(axis=1))],
+                        names=["key", "label", "dim", "vec", "times", "cell", "distance"])
+
+    # the centres go once to each task that has rows of the label, ahead of them
+    salts = F.ceil(F.col("n") / block_rows).cast("int")
+    mine = big.select("key", "label", "dim", "vec", "times", F.pmod(F.xxhash64("key", F.lit(3)), salts).cast("int").alias("salt"),
+                      F.lit(1).alias("kind"))
+    ahead = tops.join(sizes, ["label", "dim"]).select(
+        "label", "dim", F.col("centres").alias("vec"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"),
+        F.lit(0).alias("kind"))
+    both = mine.unionByName(ahead, allowMissingColumns=True)
+    placed = both.repartition(C.parallelism(spark), "label", "dim", "salt").sortWithinPartitions(
+        "label", "dim", "salt", "kind").mapInArrow(
+        assign, "key long, label long, dim int, vec binary, times long, cell long, distance double")
+    small = rows.join(sizes, ["label", "dim"], "left_anti").select(
+        "key", "label", "dim", "vec", "times", F.lit(0).cast("long").alias("cell"), F.lit(0.0).alias("distance"))
+    placed = C.store(placed.unionByName(small), "cells")
     count = placed.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / block_rows).cast("long").alias("blocks"))
     return placed.join(count, ["label", "dim", "cell"]).withColumn(
         "block", F.pmod(F.xxhash64("key"), F.col("blocks")))
 
 
 def links(vectors: DataFrame, threshold: float = THRESHOLD, block_rows: int = BLOCK_ROWS):
-    """(rows, counts, edges): key and vec_id of every row, links per key, and connecting pairs of keys."""
+    """(rows, counts, edges): key, vec_id and node of every row (the least key of its equal vectors) with their
+    number, links per node beyond them, and connecting pairs of nodes."""
     spark = vectors.sparkSession
     C.prepare(spark)
     rows = V.checked(vectors, keep=("vec_id", "label")).select(
@@ -325,6 +346,12 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD, block_rows: int = BL
 
     usable = rows.filter("dim > 0 AND label IS NOT NULL").select("key", "label", "dim", "vec")
     usable = C.store(usable.mapInArrow(scaled, "key long, label long, dim int, vec binary"), "units")
+    same = ["label", "dim", "vec"]
+    classes = C.store(usable.groupBy(*same).agg(F.min("key").alias("node"), F.count("*").alias("times")), "classes")
+    of_row = usable.join(classes, same).select("key", "node", "times")
+    rows = C.store(rows.select("key", "vec_id").join(of_row, "key", "left").select(
+        "key", "vec_id", F.coalesce("node", "key").alias("node"), F.coalesce("times", F.lit(1)).alias("times")), "rows")
+    usable = classes.select(F.col("node").alias("key"), *same, "times")
     members = C.store(_cells(spark, usable, block_rows), "blocks")
     names = ["label", "dim", "cell", "block"]
     blocks = members.groupBy(*names).agg(F.max("distance").alias("radius"), F.min_by("vec", "key").alias("one"))
@@ -338,7 +365,7 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD, block_rows: int = BL
                           F.lit(0).alias("side"))
     side_b = pairs.filter("cell_a <> cell_b OR block_a <> block_b").select(
         "pair", "label", "dim", F.col("cell_b").alias("cell"), F.col("block_b").alias("block"), F.lit(1).alias("side"))
-    work = members.select(*names, "key", "vec").join(side_a.unionByName(side_b), names)
+    work = members.select(*names, "key", "vec", "times").join(side_a.unionByName(side_b), names)
 
     def compare(table: pa.Table) -> pa.Table:
         dim = table.column("dim")[0].as_py()
@@ -347,7 +374,8 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD, block_rows: int = BL
         x, n = V.matrix(table.column("vec"), dim), int((side == 0).sum())
         a = Tree(x[:n])
         b = Tree(x[n:]) if n < len(x) else None
-        ca, cb, edges = dual_links(a, b, threshold)
+        times = table.column("times").to_numpy()
+        ca, cb, edges = dual_links(a, b, threshold, times[:n], times[n:])
         counts = np.concatenate([ca, cb])
         some = np.flatnonzero(counts)
         e = np.array(edges, np.int64).reshape(-1, 2)
@@ -389,11 +417,12 @@ def _near_blocks(pairs: DataFrame, threshold: float) -> DataFrame:
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row."""
     rows, counts, edges = links(vectors, threshold, block_rows)
-    parts = components(edges).select(F.col("node").alias("key"), F.col("component").alias("part"))
-    named = rows.select("key", "vec_id").join(parts, "key", "left").withColumn("part", F.coalesce("part", "key"))
+    parts = components(edges).select("node", F.col("component").alias("part"))
+    named = rows.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
     least = named.groupBy("part").agg(F.min("vec_id").alias("component_id"))
-    return (named.join(least, "part").join(counts, "key", "left")
-            .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "component_id",
+    found = F.coalesce("n_links", F.lit(0).cast("long")) + F.col("times") - 1
+    return (named.join(least, "part").join(counts.withColumnRenamed("key", "node"), "node", "left")
+            .select("vec_id", found.cast("long").alias("n_links"), "component_id",
                     F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 

@@ -232,3 +232,64 @@ def test_few_or_no_candidates(spark):
     got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in L.search(few, F.col("vec_id") % 20 == 0).collect())
     assert got == [(0, 1, 1, 0.5), (0, 2, 20, 0.0), (20, 1, 1, 0.5), (20, 2, 0, 0.0)]
     assert L.search(spark.createDataFrame([], VEC), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def numpy_links(x, threshold=0.93):
+    """Links per row and least row reachable, from all cosines."""
+    x = np.asarray(x, np.float32).astype(float)
+    x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    near = x @ x.T >= threshold
+    np.fill_diagonal(near, False)
+    part = np.arange(len(x))
+    while True:
+        new = np.minimum(part, np.where(near, part[None, :], len(x)).min(axis=1))
+        if (new == part).all():
+            return near.sum(axis=1), part
+        part = new
+
+
+def clustered(n, dim, seed):
+    rng = np.random.default_rng(seed)
+    centres = O.unit_rows(n // 40, dim, seed)
+    x = centres[rng.integers(0, len(centres), n)] + rng.normal(size=(n, dim)) * rng.choice([0.0, 0.02, 0.06, 0.1], n)[:, None]
+    return x.astype(np.float32)
+
+
+@pytest.mark.parametrize("block_rows", [4096, 300])
+def test_cover_tree_on_a_large_label(spark, block_rows):
+    """2,000 vectors of one label: walked down both trees, not compared at their roots."""
+    x = clustered(2000, 16, 8)
+    n, part = numpy_links(x)
+    rows = [(k, v.tolist(), 7) for k, v in enumerate(x)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in
+           cover_tree.near_duplicates(spark.createDataFrame(rows, VEC), block_rows=block_rows).collect()}
+    assert got == {k: (int(n[k]), int(part[k])) for k in range(len(x))} and n.max() > 20
+
+
+def test_cover_tree_counts_copies_without_comparing_them(spark):
+    """20,000 copies of one vector beside near ones: equal vectors are one row of the trees."""
+    x = clustered(400, 8, 9)
+    n, part = numpy_links(x)
+    near = numpy_links(np.vstack([x, x[:1]]))[0]
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(x)] + [(1000 + k, x[0].tolist(), 1) for k in range(20_000)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in
+           cover_tree.near_duplicates(spark.createDataFrame(rows, VEC).repartition(8)).collect()}
+    assert all(got[1000 + k] == (int(n[0]) + 20_000, int(part[0])) for k in (0, 19_999))
+    assert all(got[k] == (int(n[k]) + 20_000 * int(near[k] - n[k]), int(part[k])) for k in range(len(x)))
+
+
+def test_dual_walk_compares_few_pairs():
+    """The walk agrees with all products also with numbers of copies, and roots are always opened."""
+    x = clustered(3000, 12, 10).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    times = np.random.default_rng(1).integers(1, 5, len(x))
+    near = x @ x.T >= 0.93
+    np.fill_diagonal(near, False)
+    a = cover_tree.Tree(x)
+    counts, _, _ = cover_tree.dual_links(a, None, 0.93, times)
+    assert (counts == near @ times).all()
+    b = cover_tree.Tree(x[:900])
+    ca, cb, _ = cover_tree.dual_links(cover_tree.Tree(x[900:]), b, 0.93, times[900:], times[:900])
+    assert (ca == near[900:, :900] @ times[:900]).all() and (cb == near[:900, 900:] @ times[900:]).all()
+    small = cover_tree.Tree(x[:20])
+    assert small.kids[0] is not None and (cover_tree.dual_links(small, None, 0.93)[0] == near[:20, :20].sum(axis=1)).all()
