@@ -29,6 +29,7 @@ WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
 MOST_COPIES = 2
 SEED = 20
+COPIES_A_TASK = 1000           # equal rows written out together
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, share_percent: int = SHARE_PERCENT,
@@ -63,8 +64,9 @@ def mix(sized: DataFrame, seed: int = SEED, **options) -> DataFrame:
     C.prepare(spark)
     keys = [c for c in ("key",) if c in sized.columns]
     # ties are interchangeable rows; the row number only spreads them over partitions
-    ranged = (sized.withColumn("_tie", F.monotonically_increasing_id())
-              .withColumn("_draw", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"))))
+    # written first: drawing the bounds of the ranges reads the sizes once more, and they cost a pass over the texts
+    sized = C.store(sized.withColumn("_tie", F.monotonically_increasing_id()), "sized")
+    ranged = (sized.withColumn("_draw", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"))))
               .repartitionByRange(C.parallelism(spark), "source", "size", "_draw", "_tie")
               .withColumn("_part", F.spark_partition_id()))
     ranged = C.store(ranged, "mix")
@@ -101,8 +103,13 @@ def mix_documents(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
              .agg(F.sum("copies").alias("n"), F.count("*").alias("rows")).filter("n > 0"))
     joined = keyed.join(drawn, "key")
     once = joined.filter("rows = 1").unionByName(joined.filter("rows > 1").dropDuplicates(["key"]))
-    return (once.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
-            .select("row.*"))
+    # a row with many equal ones is written out in many tasks, a few copies in each
+    many = F.col("n") > COPIES_A_TASK
+    parts = (once.filter(many).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(
+        (F.col("n") - 1) / COPIES_A_TASK)))).repartition(C.parallelism(docs.sparkSession), "key", "part")
+        .withColumn("n", F.least(F.lit(COPIES_A_TASK), F.col("n") - F.col("part") * COPIES_A_TASK)).drop("part"))
+    return (once.filter(~many).unionByName(parts)
+            .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n").cast("long")))).select("row.*"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
