@@ -166,15 +166,17 @@ def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS, per_lang: int = FIT_PER_L
     C.prepare(labelled.sparkSession)
     rows = (labelled.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
             .withColumn("h", F.xxhash64("text")))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    # at least two rows a language: of more languages than that leaves room for, the most frequent are learned
+    sizes = (rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+             .orderBy(F.desc("n"), "lang").limit(max(1, fit_docs // 2)).collect())
     if not sizes:
         return None
     most = max(2, min(per_lang, fit_docs // len(sizes)))
-    share = F.lit(1.0)
-    for lang, n in sizes.items():                          # one hash range a language, a little wider than needed
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 2.0 * most / max(1, n)))).otherwise(share)
+    # one hash range a language, a little wider than needed
+    share = labelled.sparkSession.createDataFrame(
+        [(r["lang"], min(1.0, 2.0 * most / max(1, r["n"]))) for r in sizes], "lang string, share double")
     unit = F.pmod(F.col("h"), F.lit(1 << 30)) / float(1 << 30)
-    near = rows.filter(unit < share)
+    near = rows.join(F.broadcast(share), "lang").filter(unit < F.col("share")).drop("share")
     chosen = near.groupBy("lang", "h").agg(F.min("text").alias("text"))
     first = Window.partitionBy("lang").orderBy("h")
     chosen = chosen.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= most)
