@@ -111,8 +111,10 @@ def _distinct_runs(runs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("source"), F.max("doc_id").alias("last"), F.count("*").alias("times"),
         F.first("edges").alias("edges"), F.min(F.struct("doc_id", "row_key", "first")).alias("at"),
         coordinates(F.col("first")).alias("here"), coordinates(F.col("first") + F.col("edges")).alias("after"))
-    minimizers = distinct.groupBy("minimizer").agg(F.count("*").alias("n"))
-    return distinct.join(minimizers, "minimizer").withColumn("branches", F.col("n") > 1).drop("n")
+    # both written first: a join of two plain exchanges, so the runs of a frequent minimizer can be split
+    distinct = C.store(distinct, "distinct")
+    several = C.store(distinct.groupBy("minimizer").agg(F.count("*").alias("n")).filter("n > 1"), "several")
+    return distinct.join(several, "minimizer", "left").withColumn("branches", F.col("n").isNotNull()).drop("n")
 
 
 def compact_paths(distinct: DataFrame) -> DataFrame:
