@@ -16,12 +16,17 @@ Parts are cut into blocks of about ``BLOCK_ROWS`` rows and their queries into
 groups of about ``GROUP_QUERIES``, by hash, so no task grows with the data or
 with a vector that many rows share.
 
+Vectors of different dimensions are different spaces: the ``ROUTERS`` most
+frequent dimensions (ties: the smaller) have an index each; vectors of a rarer
+one are one part, whose blocks are all visited.
+
 Defined cases: vectors that are null, empty, zero or hold a null or non-finite
-component, and rows without vec_id, take no part; only vectors of the most
-frequent dimension (ties: the smaller) do; equal scores go to the smaller
-vec_id; a query that is a repeated row is asked once, repeated candidates
-count each; fewer candidates than ``k`` give them all; an empty table gives an
-empty result; extra columns do not matter.
+component, and rows without vec_id, take no part; a query's candidates have its
+dimension; equal scores go to the smaller vec_id; a repeated vec_id asks once,
+with its smallest vector (by dimension, then bytes), and none of its rows is a
+candidate then; repeated candidates of other ids count each; fewer candidates
+than ``k`` give them all; an empty table gives an empty result; extra columns do
+not matter.
 """
 from __future__ import annotations
 
@@ -40,6 +45,7 @@ GRAPH_DEGREE = 10
 TARGET_RECALL = 0.97
 BLOCK_ROWS = 8192
 GROUP_QUERIES = 2048
+ROUTERS = 4                    # dimensions with an index of their own
 SEED = 3
 
 
@@ -163,15 +169,24 @@ class Router:
         return [o[v] for o, v in zip(order, visited)]
 
 
-def fit(rows: DataFrame, sample: int = SAMPLE) -> Router | None:
-    """Fits on a bounded sample of checked rows (vec_id, dim, vec); None if there is none."""
-    dims = rows.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
-    if dims is None:
-        return None
-    unit = F.pmod(F.xxhash64("vec"), F.lit(1 << 30)) / float(1 << 30)
-    near = rows.filter((F.col("dim") == dims["dim"]) & (unit < min(1.0, 4.0 * sample / dims["n"])))
-    got = (near.select("vec").distinct().withColumn("h", F.xxhash64("vec")).orderBy("h", "vec").limit(sample).collect())
-    return Router(np.stack([np.frombuffer(r["vec"], "<f8") for r in got]))
+def fit(rows: DataFrame, sample: int = SAMPLE, routers: int = ROUTERS) -> dict[int, Router]:
+    """Fits on a bounded sample of checked rows (vec_id, dim, vec) for each of the most frequent dimensions."""
+    out = {}
+    for dims in rows.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(routers).collect():
+        unit = F.pmod(F.xxhash64("vec"), F.lit(1 << 30)) / float(1 << 30)
+        near = rows.filter((F.col("dim") == dims["dim"]) & (unit < min(1.0, 4.0 * sample / dims["n"])))
+        got = (near.select("vec").distinct().withColumn("h", F.xxhash64("vec")).orderBy("h", "vec").limit(sample).collect())
+        if got:
+            out[dims["dim"]] = Router(np.stack([np.frombuffer(r["vec"], "<f8") for r in got]))
+    return out
+
+
+def _needed(vec: pa.Array, ids: np.ndarray, k: int) -> np.ndarray:
+    """Rows that can be among a query's k best: of equal vectors those with the k + 1 smallest ids."""
+    code = vec.dictionary_encode().indices.to_numpy() if len(vec) else np.zeros(0, np.int64)
+    order = np.lexsort((ids, code))
+    first = np.searchsorted(code[order], code[order])
+    return np.sort(order[np.arange(len(order)) - first <= k])
 
 
 def nearest_in(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int):
@@ -202,45 +217,52 @@ def search(vectors: DataFrame, queries, k: int = K_NEAREST, router: Router | Non
     spark = vectors.sparkSession
     C.prepare(spark)
     rows = C.store(V.checked(vectors.filter("vec_id IS NOT NULL")).filter("dim > 0"), "vectors")
-    router = router or fit(rows)
-    if router is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim = router.dim
-    rows = rows.filter(F.col("dim") == dim)
-    shared = spark.sparkContext.broadcast(router)
+    routers = {router.dim: router} if router else fit(rows)
+    shared = spark.sparkContext.broadcast(routers)
+
+    def by_dimension(batch):
+        dims = batch.column("dim").to_numpy()
+        for dim in np.unique(dims).tolist():
+            yield dim, shared.value.get(dim), batch.filter(pa.array(dims == dim))
 
     def place(batches):
-        for b in batches:
-            part = shared.value.parts_of_rows(V.matrix(b.column("vec"), dim))
-            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("vec"), pa.array(part.astype(np.int32))],
-                                             names=["vec_id", "vec", "part"])
+        for batch in batches:
+            for dim, known, b in by_dimension(batch):
+                part = known.parts_of_rows(V.matrix(b.column("vec"), dim)) if known else np.zeros(len(b), np.int64)
+                yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("dim"), b.column("vec"),
+                                                  pa.array(part.astype(np.int32))], names=["vec_id", "dim", "vec", "part"])
 
     def route(batches):
-        for b in batches:
-            part = pa.array([p.tolist() for p in shared.value.parts_of_queries(V.matrix(b.column("vec"), dim))],
-                            pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("vec"), part],
-                                             names=["vec_id", "vec", "parts"])
-
-    index = C.store(rows.select("vec_id", "vec").mapInArrow(place, "vec_id long, vec binary, part int"), "index")
-    asked = (rows.filter(queries).select("vec_id", "vec").distinct()
-             .mapInArrow(route, "vec_id long, vec binary, parts array<int>")
-             .select("vec_id", "vec", F.explode("parts").alias("part")))
+        for batch in batches:
+            for dim, known, b in by_dimension(batch):
+                parts = known.parts_of_queries(V.matrix(b.column("vec"), dim)) if known else [np.zeros(1, np.int64)] * len(b)
+                yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("dim"), b.column("vec"),
+                                                  pa.array([p.tolist() for p in parts], pa.list_(pa.int32()))],
+                                                 names=["vec_id", "dim", "vec", "parts"])
+
+    index = C.store(rows.select("vec_id", "dim", "vec").mapInArrow(place, "vec_id long, dim int, vec binary, part int"), "index")
+    asked = (rows.filter(queries).groupBy("vec_id").agg(F.min(F.struct("dim", "vec")).alias("v")).select("vec_id", "v.*")
+             .mapInArrow(route, "vec_id long, dim int, vec binary, parts array<int>")
+             .select("vec_id", "dim", "vec", F.explode("parts").alias("part")))
     asked = C.store(asked, "asked")
-    size = (index.groupBy("part").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
-            .join(asked.groupBy("part").agg(F.ceil(F.count("*") / GROUP_QUERIES).cast("int").alias("groups")), "part"))
-    stored = (index.join(F.broadcast(size), "part")         # at most PARTS rows
+    at = ["dim", "part"]
+    size = (index.groupBy(*at).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+            .join(asked.groupBy(*at).agg(F.ceil(F.count("*") / GROUP_QUERIES).cast("int").alias("groups")), at))
+    size = C.store(size, "sizes")
+    stored = (index.join(size, at)
               .withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("blocks")).cast("int"))
               .withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))))
-    wanted = (asked.join(F.broadcast(size), "part")
+    wanted = (asked.join(size, at)
               .withColumn("group", F.pmod(F.xxhash64("vec_id", F.lit(SEED)), F.col("groups")).cast("int"))
               .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    keys = ["part", "block", "group"]
+    keys = ["dim", "part", "block", "group"]
 
     def rank(q: pa.Table, r: pa.Table) -> pa.Table:
         if not len(q) or not len(r):
             return pa.Table.from_arrays([pa.array([], pa.int64())] * 2 + [pa.array([], pa.float64())],
                                         names=["query_id", "vec_id", "score"])
+        dim = q.column("dim")[0].as_py()
+        r = r.take(pa.array(_needed(pa.concat_arrays(r.column("vec").chunks), r.column("vec_id").to_numpy(), k)))
         qid, rid = q.column("vec_id").to_numpy(), r.column("vec_id").to_numpy()
         i, j, score = nearest_in(V.matrix(q.column("vec"), dim), qid, V.matrix(r.column("vec"), dim), rid, k)
         return pa.Table.from_arrays([pa.array(qid[i]), pa.array(rid[j]), pa.array(score)],

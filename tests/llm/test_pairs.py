@@ -5,6 +5,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import odd_tables as O
 import pytest
 
@@ -293,3 +294,44 @@ def test_dual_walk_compares_few_pairs():
     assert (ca == near[900:, :900] @ times[:900]).all() and (cb == near[:900, 900:] @ times[900:]).all()
     small = cover_tree.Tree(x[:20])
     assert small.kids[0] is not None and (cover_tree.dual_links(small, None, 0.93)[0] == near[:20, :20].sum(axis=1)).all()
+
+
+def nearest_by_id(rows, k, step=20):
+    """query_id -> [(vec_id, score)]: the smallest vector of an id asks all rows of other ids of its dimension."""
+    good = [(i, np.array(np.asarray(e, np.float32), float)) for i, e, _ in rows if i is not None and usable(e)]
+    asks = {}
+    for i, e in good:
+        if i % step == 0:
+            asks[i] = min([asks[i], e] if i in asks else [e], key=lambda v: (len(v), v.astype("<f8").tobytes()))
+    return {q: sorted([(-float(e @ v), i) for i, v in good if i != q and len(v) == len(e)])[:k] for q, e in asks.items()}
+
+
+def test_ann_over_dimensions_and_repeated_ids(spark):
+    """Every dimension is searched; an id with several vectors asks once; equal vectors are cut by id."""
+    rng = np.random.default_rng(4)
+    rows = [(k, rng.normal(size=16).astype(np.float32).tolist(), 0) for k in range(60)]
+    rows += [(100 + k, rng.normal(size=8).astype(np.float32).tolist(), 0) for k in range(41)]
+    rows += [(200 + k, [float(k), 1.0], 0) for k in range(3)] + [(300, [1.0] * 5, 0)]
+    rows += [(20, rows[3][1], 0), (20, rows[20][1], 0), (7, rows[7][1], 0)]
+    rows += [(1000 + k, rows[5][1], 0) for k in range(50)]
+    got = {}
+    for r in L.search(spark.createDataFrame(rows, VEC).repartition(4), F.col("vec_id") % 20 == 0, k=6).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    want = {q: v for q, v in nearest_by_id(rows, 6).items() if v}
+    assert got.keys() == want.keys() and 300 not in got and {100, 120, 140, 200} <= got.keys()
+    for q, rows_ in got.items():
+        assert [(rank, i) for rank, i, _ in sorted(rows_)] == [(n + 1, i) for n, (_, i) in enumerate(want[q])]
+        assert np.allclose([s for _, _, s in sorted(rows_)], [-s for s, _ in want[q]], atol=1e-9)
+
+
+def test_a_block_of_equal_vectors_needs_little_memory():
+    """8,192 equal vectors and 256 queries: only as many of them are ranked as a query can return."""
+    import tracemalloc
+    x = np.ones((8192, 64))
+    keep = L._needed(pa.array([v.tobytes() for v in x], pa.binary()), np.arange(8192)[::-1], 20)
+    assert sorted((8191 - keep).tolist()) == list(range(21))
+    queries = np.random.default_rng(0).normal(size=(256, 64))
+    tracemalloc.start()
+    i, j, _ = L.nearest_in(queries, np.arange(256) + 8000, x[keep], np.arange(8192)[::-1][keep], 20)
+    assert len(i) == 256 * 20 and tracemalloc.get_traced_memory()[1] < 50e6
+    tracemalloc.stop()

@@ -107,3 +107,14 @@ def test_mixing_sql_on_odd_rows(spark, tmp_path):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
     got = mixing.query(spark, str(tmp_path)).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, con.execute(mixing.SQL).fetchall()))
+
+
+def test_many_equal_rows_are_written_out_in_parts(spark, monkeypatch):
+    from salescope.llm import mixing
+    monkeypatch.setattr(mixing, "COPIES_A_TASK", 7)
+    rows = [(1, "a b c", "en", "s0", 5)] * 40 + [(k, f"w{k} x", "en", "s1", 3) for k in range(2, 30)]
+    docs = spark.createDataFrame(rows, O.DOCS)
+    mixed = mixing.mix_documents(docs)
+    copies = mixing.mix(docs.select("doc_id", "source", mixing.word_count().alias("size"))).groupBy("doc_id").sum("copies")
+    want = {r[0]: r[1] for r in copies.collect() if r[1]}
+    assert {r["doc_id"]: r["count"] for r in mixed.groupBy("doc_id").count().collect()} == want and want[1] > 14

@@ -252,3 +252,14 @@ def test_only_training_rows_are_learned(spark):
     docs = docs.withColumn("lang", F.when(langid.held_out(), F.lit("zz")).otherwise(F.lit("en")))
     assert {r.lang_pred for r in langid.identify(docs).collect()} == {"en"}
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_language_fit_is_bounded_for_many_languages(spark):
+    """A dirty lang column: the most frequent languages are learned, within the bound of the sample."""
+    from salescope.llm import langid
+    rows = [(k, f"alpha beta gamma {k}" if k % 2 else f"uno dos tres {k}", f"l{k % 2}") for k in range(60)]
+    rows += [(100 + k, f"zz{k} yy{k}", f"dirty{k}") for k in range(50)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), fit_docs=20)
+    docs = spark.createDataFrame([(1, "uno dos tres", None), (2, "alpha beta gamma", None)], "doc_id long, text string, lang string")
+    got = {r["record"]["doc_id"]: r["lang_pred"] for r in langid.predict(docs, model).collect()}
+    assert got == {1: "l0", 2: "l1"}
