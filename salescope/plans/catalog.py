@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import session as SS
 from ..functions import expressions as E
 from ..functions.numeric import half_up
+from ..operators import coverage as CV
 from ..operators import customers as C
 from ..operators import forecast as FC
 from ..operators import ingest as IG
 from ..operators import reports as R
+from ..operators import search as SX
 from ..operators import segments as SG
 from ..operators import stock as ST
 from ..operators import timeseries as TS
@@ -169,6 +171,27 @@ register("amount_forms", VF.AMOUNT_FORMS)(VF.amount_forms)
 register("slug_forms", VF.SLUG_FORMS)(VF.slug_forms)
 
 
+@register("coverage_from_state", RS.COVERAGE_FROM_STATE)
+def _coverage_from_state(spark, sf_dir):
+    """A6-A9 and the total: distinct customers of all groups from merged states, one a half of the sales."""
+    fact = sales_fact(spark, sf_dir)
+    folder = SS.shared_path(spark, f"coverage-{uuid.uuid4().hex}")
+    CV.number_customers(fact).write.parquet(f"{folder}/numbers")
+    numbers = spark.read.parquet(f"{folder}/numbers")
+    early = F.col("sale_date") < F.lit("1998-01-01").cast("date")
+    for name, half in (("early", early), ("late", ~early | F.col("sale_date").isNull())):
+        CV.coverage_state(fact.where(half), numbers).write.parquet(f"{folder}/{name}")
+    return CV.coverage(CV.merge_states(*[spark.read.parquet(f"{folder}/{n}") for n in ("early", "late")]))
+
+
+@register("customer_search_indexed", QS.customer_search_sql(SEARCH_TERM, "amount DESC", 500))
+def _customer_search_indexed(spark, sf_dir):
+    """F2 + L3 + L2 through the trigram index of the customer report."""
+    index = SX.SearchIndex(spark, SS.shared_path(spark, f"search-{uuid.uuid4().hex}"))
+    index.build(C.customer_detail(sales_fact(spark, sf_dir)))
+    return C.customer_sort(index.search(SEARCH_TERM), "amount", C.S.CUSTOMER_LIST_ROWS)
+
+
 @register("sku_velocity", QS.SKU_VELOCITY)
 def _sku_velocity(spark, sf_dir):
     return ST.sku_velocity(sales_fact(spark, sf_dir))

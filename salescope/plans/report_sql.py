@@ -210,3 +210,11 @@ SELECT count(*) = 0 AS empty, CAST(min(l_shipdate) AS VARCHAR) AS date_min, CAST
        CAST(count(*) AS INTEGER) AS reports
 FROM lineitem WHERE l_extendedprice < 0
 """
+
+
+# Distinct customers and amounts of every seller, region, channel, month and of all, each from the fact.
+COVERAGE_FROM_STATE = with_fact("\nUNION ALL ".join(
+    f"""SELECT '{name}' AS dimension, {key} AS value, count(DISTINCT customer_id) AS customers,
+       CAST(CAST(sum(amount) AS VARCHAR) AS DOUBLE) AS amount FROM fact WHERE {key} IS NOT NULL GROUP BY 2"""
+    for name, key in [("seller", "seller"), ("region", "region"), ("channel", "channel"),
+                      ("month", "strftime(date_trunc('month', sale_date), '%Y-%m-%d')"), ("total", "''")]))
