@@ -234,6 +234,7 @@ _schema("mapping_accuracy")(lambda si: si.accuracy())
 _schema("map_columns_by_rules", MS.MAP_COLUMNS)(lambda si: si.rule_mapping())
 _schema("mapping_report_by_rules", MS.MAPPING_REPORT)(lambda si: si.rule_report())
 _schema("mapping_accuracy_by_rules", MS.MAPPING_ACCURACY)(lambda si: si.rule_accuracy())
+_schema("ingest_log_by_rules", MS.INGEST_LOG)(lambda si: si.rule_log())
 _schema("align_columns", MS.ALIGN_COLUMNS)(lambda si: si.aligned())
 _schema("training_folds", MS.TRAINING_FOLDS)(lambda si: si.folds())
 

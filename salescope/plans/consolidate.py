@@ -172,3 +172,31 @@ def inferred_sources(spark: SparkSession, sf_dir: str, mapping: DataFrame
 def empty_fact(spark: SparkSession) -> DataFrame:
     """K4: a fact table with no rows and the fixed 13-column schema."""
     return spark.createDataFrame([], S.FACT_SCHEMA)
+
+
+def inferred_log(files: DataFrame, mapping: DataFrame, rows: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
+    """S4 for files whose mapping was inferred: per file its status, rows read and rejected, the mapping and its
+    confidences as JSON in field order, and the error of a file that lacks required fields.
+
+    ``files``: source_file; ``mapping``: source_file, field, column, confidence (at most nine rows a file);
+    ``rows`` and ``rejected``: any rows with source_file, counted here.
+    """
+    order = F.array_position(F.array(*[F.lit(f) for f in S.FIELDS]), F.col("field"))
+    found = mapping.groupBy("source_file").agg(F.array_sort(F.collect_list(
+        F.struct(order.alias("at"), "field", "column", "confidence"))).alias("found"))
+    counts = rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+    out = files.select("source_file").distinct().join(found, "source_file", "left").join(counts, "source_file", "left")
+    if rejected is None:
+        out = out.withColumn("rejected", F.lit(0).cast("bigint"))
+    else:
+        out = out.join(rejected.groupBy("source_file").agg(F.count(F.lit(1)).alias("rejected")), "source_file", "left")
+    fields = F.coalesce(F.col("found.field"), F.array().cast("array<string>"))
+    missing = F.array_except(F.array(*[F.lit(f) for f in S.REQUIRED_FIELDS]), fields)
+    none = F.lit("{}")
+    return out.select(
+        "source_file", F.when(F.size(missing) > 0, "error").otherwise("ok").alias("status"),
+        F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"),
+        F.coalesce("rejected", F.lit(0).cast("bigint")).alias("rejected"),
+        F.coalesce(F.to_json(F.map_from_arrays("found.field", "found.column")), none).alias("mapping"),
+        F.coalesce(F.to_json(F.map_from_arrays("found.field", "found.confidence")), none).alias("confidences"),
+        F.when(F.size(missing) > 0, F.concat(F.lit("required fields not found: "), F.array_join(missing, ", "))).alias("error"))

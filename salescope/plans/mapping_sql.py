@@ -83,6 +83,25 @@ FROM (VALUES {_truths()}) t(source_file, field, expected)
 LEFT JOIN mapping m ON m.source_file = t.source_file AND m.field = t.field GROUP BY t.source_file
 """)
 
+_REQUIRED = ", ".join(f"({k}, '{f}')" for k, f in enumerate(S.REQUIRED_FIELDS))
+_ROWS = " UNION ALL ".join(f"SELECT '{name}' AS source_file, count(*) AS rows FROM {cte}" for name, cte, _ in _profile_tables())
+INGEST_LOG = f"""{_MAPPING},
+raw AS ({PROFILE_COLUMNS.split(chr(10) + 'cells AS (')[0].rstrip().rstrip(',')} {_ROWS}),
+told AS (
+  SELECT m.source_file, '{{' || string_agg('"' || m.field || '":"' || m."column" || '"', ',' ORDER BY f.k) || '}}' AS mapping,
+         '{{' || string_agg('"' || m.field || '":' || CAST({_CONFIDENCE} AS VARCHAR), ',' ORDER BY f.k) || '}}' AS confidences
+  FROM mapping m JOIN (VALUES {_FIELDS}) f(k, field) ON f.field = m.field GROUP BY m.source_file),
+missing AS (
+  SELECT s.source_file, string_agg(r.field, ', ' ORDER BY r.k) AS fields
+  FROM (VALUES {_FILES}) s(source_file) CROSS JOIN (VALUES {_REQUIRED}) r(k, field)
+  WHERE NOT EXISTS (SELECT 1 FROM mapping m WHERE m.source_file = s.source_file AND m.field = r.field) GROUP BY s.source_file)
+SELECT s.source_file, CASE WHEN m.fields IS NULL THEN 'ok' ELSE 'error' END AS status, r.rows, CAST(0 AS BIGINT) AS rejected,
+       coalesce(t.mapping, '{{}}') AS mapping, coalesce(t.confidences, '{{}}') AS confidences,
+       'required fields not found: ' || m.fields AS error
+FROM (VALUES {_FILES}) s(source_file) JOIN raw r ON r.source_file = s.source_file
+LEFT JOIN told t ON t.source_file = s.source_file LEFT JOIN missing m ON m.source_file = s.source_file
+"""
+
 ALIGN_COLUMNS = f"""
 SELECT source_file, "column", {', '.join(f"{'0.0::DOUBLE' if c in ('hdr_region', 'pct_uf') else c} AS {c}" for c in ALIGNED)}
 FROM ({PROFILE_COLUMNS})

@@ -115,6 +115,16 @@ class SchemaInference:
         """J4 + M8 of the mapping by rules."""
         return P.mapping_accuracy(self.spark, self.rule_mapping(), self.truths)
 
+    def rule_log(self) -> DataFrame:
+        """S4 of the target files under the mapping by rules: mapping, confidences, rows and errors."""
+        from .consolidate import inferred_log
+        files = self.spark.createDataFrame([(n,) for n, _ in self.targets], "source_file string")
+        rows = None
+        for name, raw in self.targets:
+            names = raw.select(F.lit(name).alias("source_file"))
+            rows = names if rows is None else rows.unionByName(names)
+        return inferred_log(files, self.rule_mapping(), rows)
+
     def aligned(self) -> DataFrame:
         """The profiles without two of their features, brought to the columns of a model without sizes."""
         return P.align_columns(self.profiles().drop("hdr_region", "pct_uf"), ALIGNED)

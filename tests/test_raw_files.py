@@ -113,3 +113,22 @@ def test_stream_keeps_what_does_not_fit(spark, tmp_path):
     assert sorted(r["product_name"] for r in spark.read.parquet(str(tmp_path / "std")).collect()) == ['a "b",\nc', "y"]
     assert [(r["line"].strip(), r["reason"]) for r in spark.read.parquet(str(tmp_path / "bad")).collect()] == [
         ("2,2024-01-02,x", "fewer cells than the header: 3 of 5")]
+
+
+def test_log_of_inferred_files(spark, tmp_path):
+    """Status, rows, rejected rows, mapping and confidences per file; a file without required fields is an error."""
+    import json
+    from salescope import schema as S
+    from salescope.plans.consolidate import inferred_log
+    layouts, _ = R.scan_layouts(spark, folder_of(tmp_path, a="x,y\n1,2\n3\n", b="k,v,w\n1,2,3\n"))
+    rows = layouts[0].frame.select("source_file").unionByName(layouts[1].frame.select("source_file"))
+    files = spark.createDataFrame([("a.csv",), ("b.csv",), ("c.csv",)], "source_file string")
+    mapping = spark.createDataFrame([("a.csv", f, f"h {f}", 0.5) for f in reversed(S.REQUIRED_FIELDS)]
+                                    + [("b.csv", "channel", "w", 0.25)],
+                                    "source_file string, field string, column string, confidence double")
+    got = {r["source_file"]: r for r in inferred_log(files, mapping, rows, R.rejected_rows(spark, layouts)).collect()}
+    assert [(got[f]["status"], got[f]["rows"], got[f]["rejected"]) for f in ("a.csv", "b.csv", "c.csv")] == [
+        ("ok", 1, 1), ("error", 1, 0), ("error", 0, 0)]
+    assert list(json.loads(got["a.csv"]["mapping"])) == [f for f in S.FIELDS if f in S.REQUIRED_FIELDS]
+    assert json.loads(got["b.csv"]["confidences"]) == {"channel": 0.25} and got["c.csv"]["mapping"] == "{}"
+    assert got["c.csv"]["error"] == "required fields not found: " + ", ".join(S.REQUIRED_FIELDS)
