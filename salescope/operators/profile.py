@@ -67,6 +67,15 @@ def layout_values(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+LARGE = 1e9
+
+
+def nine_digits(x: Column) -> Column:
+    """Six decimals; of a large number nine digits, as the last bits of a mean depend on the order of summation."""
+    unit = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))) - 8)
+    return F.when(F.abs(x) >= LARGE, F.floor(x / unit + 0.5) * unit).otherwise(half_up(x, 6))
+
+
 def content_profile(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """M5 content features (everything but the header flags) per
     (source_file, column), rounded to 6 decimals."""
@@ -123,7 +132,8 @@ def cell_profile(cells: DataFrame) -> DataFrame:
         "max_len": F.coalesce(F.col("_xlen"), F.lit(0)).cast("double"),
         "distinct_ratio": frac("_dist"), "pct_uf": frac("_uf"), "pct_canal_kw": frac("_kw"),
     }
-    return g.select("source_file", "column", *[half_up(c, 6).alias(k) for k, c in feats.items()])
+    return g.select("source_file", "column", *[
+        (nine_digits(c) if k.startswith("num_") else half_up(c, 6)).alias(k) for k, c in feats.items()])
 
 
 def with_header_flags(content: DataFrame) -> DataFrame:

@@ -254,6 +254,13 @@ def _header_flag(col: str, kws: list[str]) -> str:
             f"(length(t) >= 2 AND ({tin})))) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END")
 
 
+def _nine(x: str) -> str:
+    """A numeric feature to six decimals, large ones to nine digits."""
+    v = f"coalesce(CASE WHEN NOT isnan({x}) THEN {x} END, 0.0)"
+    unit = f"pow(10.0::DOUBLE, floor(log10(abs({v}))) - 8)"
+    return f"CASE WHEN abs({v}) >= 1e9 THEN floor({v} / {unit} + 0.5) * {unit} ELSE ROUND6({v}) END"
+
+
 def _profile_sql() -> str:
     from .. import schema as S
     d = FX.SOURCE_D_HEADERS
@@ -297,10 +304,10 @@ prof AS (
          {', '.join(f"ROUND6({_header_flag(chr(34) + 'column' + chr(34), S.HEADER_KEYWORDS[f])}) AS hdr_{f}" for f in S.FIELDS)},
          ROUND6(nnum / CAST(greatest(nn, 1) AS DOUBLE)) AS pct_num,
          ROUND6(nint / CAST(greatest(nnum, 1) AS DOUBLE)) AS pct_int,
-         ROUND6(coalesce(CASE WHEN NOT isnan(mean) THEN mean END, 0.0)) AS num_mean,
-         ROUND6(coalesce(CASE WHEN NOT isnan(sd) THEN sd END, 0.0)) AS num_std,
-         ROUND6(coalesce(CASE WHEN NOT isnan(mx) THEN mx END, 0.0)) AS num_max,
-         ROUND6(coalesce(CASE WHEN NOT isnan(mn) THEN mn END, 0.0)) AS num_min,
+         {_nine('mean')} AS num_mean,
+         {_nine('sd')} AS num_std,
+         {_nine('mx')} AS num_max,
+         {_nine('mn')} AS num_min,
          ROUND6(l14 / CAST(greatest(nint, 1) AS DOUBLE)) AS pct_len14,
          ROUND6(l1213 / CAST(greatest(nint, 1) AS DOUBLE)) AS pct_len12_13,
          ROUND6(l814 / CAST(greatest(nint, 1) AS DOUBLE)) AS pct_len8_14,
