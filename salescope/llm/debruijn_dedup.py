@@ -84,6 +84,7 @@ def _find_runs(window: int, minimizer: int):
                      pa.array(keys[doc], pa.int64()), pa.array((first - words.first[doc]).astype(np.int32)),
                      pa.array(edges.astype(np.int32))],
                     names=["minimizer", "run", "doc_id", "row_key", "first", "edges"])
+        pa.default_memory_pool().release_unused()          # workers outlive their tasks
     return rows
 
 
@@ -111,10 +112,8 @@ def _distinct_runs(runs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("source"), F.max("doc_id").alias("last"), F.count("*").alias("times"),
         F.first("edges").alias("edges"), F.min(F.struct("doc_id", "row_key", "first")).alias("at"),
         coordinates(F.col("first")).alias("here"), coordinates(F.col("first") + F.col("edges")).alias("after"))
-    # both written first: a join of two plain exchanges, so the runs of a frequent minimizer can be split
-    distinct = C.store(distinct, "distinct")
-    several = C.store(distinct.groupBy("minimizer").agg(F.count("*").alias("n")).filter("n > 1"), "several")
-    return distinct.join(several, "minimizer", "left").withColumn("branches", F.col("n").isNotNull()).drop("n")
+    minimizers = distinct.groupBy("minimizer").agg(F.count("*").alias("n"))
+    return distinct.join(minimizers, "minimizer").withColumn("branches", F.col("n") > 1).drop("n")
 
 
 def compact_paths(distinct: DataFrame) -> DataFrame:
@@ -185,6 +184,7 @@ def _edges_of(window: int):
                         [*[pa.array(np.concatenate(c)) for c in out[:3]], pa.array(np.concatenate(out[3]).astype(np.int32)),
                          pa.array(source[:, 0]), pa.array(source[:, 1])],
                         names=["edge", "minimizer", "run", "place", "source", "last"])
+        pa.default_memory_pool().release_unused()
     return rows
 
 
@@ -248,6 +248,7 @@ def _remove(window: int):
                      pa.Array.from_buffers(pa.large_string(), j - i, [
                          None, pa.py_buffer(bounds), pa.py_buffer(text)]).cast(pa.string())],
                     names=["doc_id", "n_words", "n_removed", "kept_text"])
+        pa.default_memory_pool().release_unused()
     return rows
 
 
