@@ -115,10 +115,10 @@ class Words:
         if n >= 1 << 31:
             raise ValueError("a block of 2 GiB or more")
         number = np.arange(n, dtype=np.int32)
-        place = number - np.maximum.accumulate(np.where(self._begins, number, np.int32(0))) if n else number
-        code = _PLACED_CODE[(place & (PLACES - 1)) << 8 | self._bytes]
-        far = np.flatnonzero(place >= PLACES)
-        if len(far):
+        place = number - np.maximum.accumulate(number * self._begins) if n else number
+        code = np.take(_PLACED_CODE, ((place & (PLACES - 1)) << 8 | self._bytes).astype(np.intp), mode="clip")
+        if n and place.max() >= PLACES:
+            far = np.flatnonzero(place >= PLACES)
             code[far] = mix(code[far] + (place[far] >> 6).astype(np.uint64) * np.uint64(_BASE))
         run = np.zeros(n + 1, np.uint64)
         np.cumsum(code, dtype=np.uint64, out=run[1:])
