@@ -138,11 +138,13 @@ def compact_paths(distinct: DataFrame) -> DataFrame:
         F.coalesce("p.step", F.lit(0)).cast("long").alias("distance"))
     now = C.store(now, "paths")
     far = now.agg(F.sum("distance")).first()[0]
-    while True:                                             # pointer jumping: log2(path length) rounds
+    while True:                     # pointer jumping, three steps a round: log3(path length) tables are written
         up = now.select(F.col("node").alias("head"), F.col("head").alias("up"), F.col("distance").alias("more"))
-        old, now = now, C.store(now.join(up, "head").select(
-            "node", "source", "edges", F.col("up").alias("head"),
-            (F.col("distance") + F.col("more")).alias("distance")), "paths")
+        jumped = now
+        for _ in range(2):
+            jumped = jumped.join(up, "head").select("node", "source", "edges", F.col("up").alias("head"),
+                                                    (F.col("distance") + F.col("more")).alias("distance"))
+        old, now = now, C.store(jumped, "paths")
         C.drop_stored(spark, old)
         far, last = now.agg(F.sum("distance")).first()[0], far
         if far == last:
