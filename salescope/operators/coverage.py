@@ -2,7 +2,9 @@
 
 Customers get numbers once, gapless within each block that is numbered
 together. The state of some sales holds, per (dimension, value, bucket of
-32,768 numbers), the exact set of their customers as a bitmap and their amount.
+256 numbers), the exact set of their customers as a bitmap and their amount;
+so small buckets keep a state within its pairs of value and customer, however many
+values have few customers each.
 States of different sales (months, uploads, sellers) are merged by OR and sum, so the
 distinct customers of any period come from stored states without the sales:
 one state serves sellers, regions, channels, months and the total, where a
@@ -16,6 +18,7 @@ from ..functions.numeric import money
 
 #: Dimensions of a state; the total is one group, of the empty text.
 DIMENSIONS = ("seller", "region", "channel", "month", "total")
+BUCKET = 256                   # numbers of one bitmap
 BLOCK = 1 << 33                # numbers of one task of a numbering: monotonically increasing ids
 
 
@@ -44,10 +47,18 @@ def coverage_state(fact: DataFrame, numbers: DataFrame) -> DataFrame:
     cells = cells.join(numbers, "customer_id", "left").withColumn("total", F.lit(""))
     each = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in DIMENSIONS]))
     rows = cells.select("number", "amount", each.alias("g")).select("g.dimension", "g.value", "number", "amount")
-    return (rows.where(F.col("value").isNotNull())
-            .groupBy("dimension", "value", F.coalesce(F.bitmap_bucket_number("number"), F.lit(0)).alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("number"))).alias("customers"),
-                 F.sum("amount").alias("amount")))
+    pairs = (rows.where(F.col("value").isNotNull()).groupBy("dimension", "value", "number")
+             .agg(F.sum("amount").alias("amount"))
+             .withColumn("bucket", F.coalesce(F.floor((F.col("number") - 1) / BUCKET) + 1, F.lit(0)).cast("long")))
+    # rows of a pair are dealt before they become bitmaps: a bitmap under construction has the size of 32,768 numbers
+    return pairs.repartition("dimension", "value", "bucket").groupBy("dimension", "value", "bucket").agg(
+        _short(F.bitmap_construct_agg(F.pmod(F.col("number") - 1, F.lit(BUCKET)))).alias("customers"),
+        F.sum("amount").alias("amount"))
+
+
+def _short(bitmap):
+    """The part of a bitmap that a bucket uses."""
+    return F.substring(bitmap, 1, BUCKET // 8)
 
 
 def merge_states(*states: DataFrame) -> DataFrame:
@@ -55,8 +66,8 @@ def merge_states(*states: DataFrame) -> DataFrame:
     out = states[0]
     for state in states[1:]:
         out = out.unionByName(state)
-    return out.groupBy("dimension", "value", "bucket").agg(
-        F.bitmap_or_agg("customers").alias("customers"), F.sum("amount").alias("amount"))
+    return out.repartition("dimension", "value", "bucket").groupBy("dimension", "value", "bucket").agg(
+        _short(F.bitmap_or_agg("customers")).alias("customers"), F.sum("amount").alias("amount"))
 
 
 def coverage(state: DataFrame) -> DataFrame:

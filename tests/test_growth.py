@@ -70,3 +70,24 @@ def test_task_sizes_are_set(spark):
     SS.prepare(spark)
     assert {k: spark.conf.get(k) for k in SS.TASK_SIZES} == SS.TASK_SIZES
     assert int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b")) <= 32 << 20
+
+
+def test_a_coverage_state_is_as_large_as_its_pairs(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from salescope.operators import coverage as CV
+    rows = [(f"c{k % 400}" if k % 50 else None, f"s{k % 300}", "N", "X", dt.date(2024, 1 + k % 2, 1), Decimal(k))
+            for k in range(2000)]
+    fact = spark.createDataFrame(rows, "customer_id string, seller string, region string, channel string, "
+                                       "sale_date date, amount decimal(18,2)")
+    numbers = spark.createDataFrame([(f"c{k}", 1 + k * 700) for k in range(400)], "customer_id string, number long")
+    halves = [CV.coverage_state(fact.where(F.col("sale_date") < "2024-02-01"), numbers),
+              CV.coverage_state(fact.where(F.col("sale_date") >= "2024-02-01"), numbers)]
+    assert max(r["n"] for h in halves for r in h.select(F.length("customers").alias("n")).collect()) <= 32
+    found = {(r["dimension"], r["value"]): (r["customers"], r["amount"])
+             for r in CV.coverage(CV.merge_states(*halves)).collect()}
+    for dimension, column in (("seller", 1), ("region", 2), ("total", None)):
+        for value in {"" if column is None else r[column] for r in rows}:
+            own = [r for r in rows if column is None or r[column] == value]
+            assert found[dimension, value] == (len({r[0] for r in own if r[0]}), float(sum(r[5] for r in own)))
