@@ -38,21 +38,44 @@ SCHEMA = ("part long, shard long, doc_ids array<long>, doc_tokens array<long>, r
           "symbols binary, wide boolean, n_tokens long, base long")
 
 
+def _cells(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return ((a * np.uint32(2654435761)) ^ (b * np.uint32(2246822519))) >> np.uint32(32 - _HASH_BITS)
+
+
 def _frequent_pairs(seq: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """(rank of the pair at each place or a large number, pairs by falling frequency)."""
     a, b = seq[:-1], seq[1:]
-    cell = ((a * np.uint32(2654435761)) ^ (b * np.uint32(2246822519))) >> np.uint32(32 - _HASH_BITS)
+    cell = _cells(a, b)
     busy = np.bincount(cell, minlength=1 << _HASH_BITS) >= least
     where = np.flatnonzero(busy[cell])
     code = (a[where].astype(np.uint64) << np.uint64(32)) | b[where]
-    pairs, inverse, counts = np.unique(code, return_inverse=True, return_counts=True)
-    order = np.argsort(-counts, kind="stable")
-    order = order[counts[order] >= least]
-    rank_of = np.full(len(pairs), np.iinfo(np.int32).max, np.int32)
-    rank_of[order] = np.arange(len(order), dtype=np.int32)
+    # sorted values alone: an order or an inverse of every place would cost several times as much
+    ordered = np.sort(code)
+    begins = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, int)
+    counts = np.diff(np.append(begins, len(ordered)))
+    often = counts >= least
+    pairs, counts = ordered[begins[often]], counts[often]
+    pairs = pairs[np.argsort(-counts, kind="stable")]
     rank = np.full(len(a), np.iinfo(np.int32).max, np.int32)
-    rank[where] = rank_of[inverse]
-    return rank, pairs[order]
+    # a cell names one of its frequent pairs; the places of the others of a shared cell are searched for
+    cell = cell[where]
+    home = _cells((pairs >> np.uint64(32)).astype(np.uint32), pairs.astype(np.uint32))
+    tenant = np.full(1 << _HASH_BITS, -1, np.int32)
+    tenant[home] = np.arange(len(pairs), dtype=np.int32)
+    guess = tenant[cell]
+    some = np.flatnonzero(guess >= 0)
+    right = pairs[guess[some]] == code[some]
+    rank[where[some[right]]] = guess[some[right]]
+    if len(pairs) > np.count_nonzero(tenant >= 0):
+        shared = np.zeros(1 << _HASH_BITS, bool)
+        shared[home[tenant[home] != np.arange(len(pairs))]] = True
+        rest = some[~right]
+        rest = rest[shared[cell[rest]]]
+        by_code = np.argsort(pairs)
+        at = np.minimum(np.searchsorted(pairs, code[rest], sorter=by_code), len(pairs) - 1)
+        found = pairs[by_code[at]] == code[rest]
+        rank[where[rest[found]]] = by_code[at[found]]
+    return rank, pairs
 
 
 def compress(ids: np.ndarray, base: int, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
