@@ -109,21 +109,20 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     """kind, host, rank after so many rounds.
 
     ``edges``: kind, src, dst, weight; ``seeds``: kind, host, seed (each kind
-    adds up to one). Both kinds run in the same joins.
+    adds up to one), read from a table as every round needs them. Both kinds run in the same joins.
     """
     out = edges.groupBy("kind", "src").agg(F.sum("weight").alias("all"))
     edges = C.store(edges.join(out, ["kind", "src"]).select(
         "kind", "src", "dst", (F.col("weight") / F.col("all")).alias("share")), "edges")
-    seeds = C.store(seeds, "seeds")
     ranks = seeds.select("kind", "host", F.col("seed").alias("rank"))
     start = seeds.select("kind", "host", (F.lit(1 - damping) * F.col("seed")).alias("rank"))
     for k in range(rounds):
         moved = ranks.select("kind", F.col("host").alias("src"), "rank").join(edges, ["kind", "src"]).select(
             "kind", F.col("dst").alias("host"), (F.lit(damping) * F.col("rank") * F.col("share")).alias("rank"))
         ranks = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if k % ROUNDS_A_TABLE == ROUNDS_A_TABLE - 1:
+        if k % ROUNDS_A_TABLE == ROUNDS_A_TABLE - 1 or k == rounds - 1:
             ranks = C.store(ranks, "ranks")
-    return C.store(ranks, "ranks")
+    return ranks
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = ROUNDS, damping: float = DAMPING,
