@@ -80,3 +80,13 @@ def test_top_products_count_only_the_rows_of_the_top(spark):
         assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
     expand = got._jdf.queryExecution().optimizedPlan().toString().split("Expand")[1]
     assert "Join LeftSemi" in expand
+
+
+def test_shared_tables_and_the_store_are_compressed_well(spark, tmp_path):
+    from salescope.plans import incremental as I
+    from salescope.sources.materialize import materialized
+    rows = stacked(spark, 3).drop("_source_rank")
+    I.FactStore(spark, str(tmp_path / "store")).add(I.ranked(rows, "f.csv"))
+    table = materialized(spark, "codec-test", str(tmp_path), lambda: rows)
+    written = [*(str(p) for p in (tmp_path / "store" / "rows").rglob("*.parquet")), *table.inputFiles()]
+    assert len(written) > 1 and all(".zstd." in name for name in written)
