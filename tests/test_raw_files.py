@@ -115,6 +115,64 @@ def test_stream_keeps_what_does_not_fit(spark, tmp_path):
         ("2,2024-01-02,x", "fewer cells than the header: 3 of 5")]
 
 
+def test_stream_parses_files_once_where_all_rows_fit(spark, tmp_path):
+    from salescope.streaming.landing import start_landing_stream
+    headers = {"customer_id": "id", "sale_date": "data", "product_name": "produto", "amount": "valor", "quantity": "qtd"}
+    landing = tmp_path / "in"
+    landing.mkdir()
+    folder_of(landing, a="id,data,produto,valor,qtd\n1,2024-01-02,x,5,1\n2,2024-01-03,y,6,1\n3,2024-01-04,z,7,1\n")
+    q = start_landing_stream(spark, str(landing), headers, "S", str(tmp_path / "std"), str(tmp_path / "log"),
+                             str(tmp_path / "bad"))
+    q.awaitTermination()
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 3
+    assert spark.read.parquet(str(tmp_path / "std")).count() == 3
+    bad = spark.read.parquet(str(tmp_path / "bad"))
+    assert bad.count() == 0 and {"source_file", "line", "reason"} <= set(bad.columns)
+
+
+def test_stream_writes_no_second_copy_of_the_supplier_files(spark, tmp_path):
+    """The files become CSV as they are built; a landing file that another query had written is read."""
+    from salescope import session as SS
+    from salescope.sources import fixtures as FX
+    from salescope.sources.materialize import written
+    from salescope.streaming.landing import stream_supplier_files
+    SS.prepare(spark)
+    tables = {"nation": "1 n_nationkey, 'Acre' n_name", "part": "7 p_partkey, 'soro' p_name, 'grande' p_type",
+              "customer": "5 c_custkey, 'Loja' c_name, 1 c_nationkey, 'FARMA' c_mktsegment",
+              "orders": "explode(array(1, 2, 3)) o_orderkey, 5 o_custkey",
+              "lineitem": "explode(array(1, 2, 3)) l_orderkey, 7 l_partkey, 1 l_linenumber, 2.0D l_quantity, "
+                          "10.5D l_extendedprice, timestamp_ntz'2024-01-02 00:00:00' l_shipdate",
+              "events": "1 event_id, timestamp_ntz'2024-01-03 04:05:06' ts, 9 user_id, 'view' event_type, 3.0D value, 'p' props"}
+    for name, columns in tables.items():
+        spark.sql(f"select {columns}").write.parquet(str(tmp_path / f"{name}.parquet"))
+    fact = stream_supplier_files(spark, str(tmp_path)).drop("source_file")
+    files = ("source_a.csv", "source_b.csv", "source_c.csv")
+    assert [written(spark, f"landing-{name}", str(tmp_path)) for name in files] == [None] * 3
+    # one day, code, amount and quantity: A's copy stays, with its own name
+    assert sorted((r["seller"], str(r["sale_date"]), r["product_name"], r["product_canon"]) for r in fact.collect()) == [
+        ("Distribuidor A", "2024-01-02", "soro", "soro"), ("Distribuidor C", "2024-01-03", "event view", "event view")]
+    once = FX.landing_file(spark, str(tmp_path), "source_a.csv")
+    again = FX.supplier_file(spark, str(tmp_path), "source_a.csv")
+    assert again.inputFiles() and again.inputFiles() == once.inputFiles()
+
+
+def test_staged_names_come_from_the_copies_that_are_kept(spark, tmp_path):
+    """The names' side reads only the columns it needs, and the wide rows are not sorted for the join."""
+    from salescope.streaming.landing import consolidate_staging
+    rows = [("b", 0, "1", "2024-01-01", "7", "a much longer name, but a copy", "5"), ("a", 0, "1", "2024-01-01", "7", "short", "5"),
+            ("b", 1, "2", "2024-01-01", "7", "longest", "5"), ("b", 2, "3", "2024-01-01", "8", None, "5"),
+            ("b", 3, "4", None, "7", "a name on a row without a date", "5"), ("b", 4, "4", "2024-01-01", "7", "a name at no price", "0")]
+    spark.createDataFrame(rows, "p string, n long, id string, day string, code string, name string, price string").selectExpr(
+        "id customer_name", "id customer_id", "'AC' region", "cast(day as timestamp_ntz) sale_date", "code product_code",
+        "name product_name", "cast(price as decimal(38,6)) amount", "1L quantity", "'X' channel", "'S' seller",
+        "p source_file", "n _row_no", "p _file_path").write.parquet(str(tmp_path / "std"))
+    fact = consolidate_staging(spark, str(tmp_path / "std"))
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted((r["customer_id"], r["source_file"], r["product_name"], r["product_canon"]) for r in fact.collect()) == [
+        ("1", "a", "short", "longest"), ("2", "b", "longest", "longest"), ("3", "b", None, None)]
+
+
 def test_log_of_inferred_files(spark, tmp_path):
     """Status, rows, rejected rows, mapping and confidences per file; a file without required fields is an error."""
     import json
