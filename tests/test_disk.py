@@ -68,3 +68,28 @@ def test_supplier_files_and_deduplicated_rows_are_not_written_for_one_read(spark
         ("Distribuidor A", "soro"), ("Distribuidor C", "event view")]
     assert [written(spark, kind, tables) for kind in kinds] == [None] * 5
     assert written(spark, "stacked-known", tables) is not None      # parsed once, read by both steps
+
+
+def test_landing_files_are_compressed_and_whole_rows_shuffled_once(spark, tables):
+    from salescope.plans import landing_batch as LB
+    from salescope.sources.raw import scan_layouts
+    fact = catalog.queries()["landing_batch"](spark, tables)
+    plan = executed(fact)
+    assert sorted((r["seller"], r["source_file"], r["product_canon"]) for r in fact.collect()) == [
+        ("Distribuidor A", "source_a.csv", "soro"), ("Distribuidor C", "source_c.csv", "event view")]
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+    assert len(shuffles) == 1 and "ReusedExchange" in plan
+    assert [written(spark, f"landing-{name}", tables) for name in FILES] == [None] * 4
+    layouts, errors = scan_layouts(spark, LB.landing_folder(spark, tables))
+    assert sorted(f for layout in layouts for f in layout.files) == sorted(FILES) and len(errors) == 1
+    parts = [p for layout in layouts for p in layout.frame.inputFiles()]
+    assert parts and all(p.endswith(".csv.gz") for p in parts)
+
+
+def test_staged_rows_are_shuffled_once(spark, tmp_path):
+    from salescope.streaming.landing import consolidate_staging
+    stacked(spark, 3).where("product_code is not null").drop("_source_rank").withColumn(
+        "_file_path", F.col("source_file")).write.parquet(str(tmp_path / "std"))
+    plan = executed(consolidate_staging(spark, str(tmp_path / "std")))
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+    assert len(shuffles) == 1 and "ReusedExchange" in plan
