@@ -93,3 +93,54 @@ def test_staged_rows_are_shuffled_once(spark, tmp_path):
     plan = executed(consolidate_staging(spark, str(tmp_path / "std")))
     shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
     assert len(shuffles) == 1 and "ReusedExchange" in plan
+
+
+def fact_of(spark, rows):
+    return rows.select(*ingest.STANDARD_COLUMNS, F.col("product_name").alias("product_canon"))
+
+
+@pytest.mark.parametrize("most", [100_000, 20, 0])
+def test_customer_detail_is_the_same_met_or_combined(spark, monkeypatch, most):
+    """Ties, missing values and hot customers; where rows meet by customer, no count is shuffled again."""
+    from salescope.operators import customers as C
+    rows = stacked(spark, 4).withColumns({
+        "region": F.when(F.col("_row_no") % 3 > 0, F.concat(F.lit("R"), (F.col("_row_no") % 7).cast("string"))),
+        "channel": F.when(F.col("customer_id") != "c1", F.concat(F.lit("K"), (F.col("_row_no") % 2).cast("string"))),
+        "product_code": F.when(F.col("customer_id") != "c2", F.col("product_code"))})
+    fact = fact_of(spark, rows).unionByName(fact_of(spark, rows.where("customer_id = 'c0'")))
+    base = fact.where("customer_id is not null")
+    columns = C._detail_met(base).columns
+    assert sorted(columns) == sorted(C._detail_combined(base).columns)
+    want = C._detail_combined(base).select(*columns).fillna("", C.MODES)
+    assert same(C._detail_met(base).select(*columns).fillna("", C.MODES), want)
+    monkeypatch.setattr(ingest, "CODE_ROWS", most)
+    monkeypatch.setattr(ingest, "CODE_SHARE", 0)
+    detail = C.customer_detail(fact)
+    got = {r["customer_id"]: r for r in detail.collect()}
+    assert len(got) == want.count() == 4
+    for r in want.collect():
+        assert all(got[r["customer_id"]][c] == r[c] for c in columns if c != "_a")
+    if most == 100_000:
+        plan = executed(C.customer_detail(fact).drop("recency_days"))
+        assert len([line for line in plan.splitlines() if "Exchange hashpartitioning" in line]) == 2
+        assert "Expand" not in plan
+
+
+def test_distinct_counts_of_a_group_shuffle_two_columns_each(spark):
+    from salescope.operators import reports as R
+    plan = R.by_seller(fact_of(spark, stacked(spark, 4)))._jdf.queryExecution().optimizedPlan().toString()
+    # the labels of the best channel, region and product are the only grouping sets
+    assert plan.count("Expand") == 1
+
+
+def test_the_fact_is_written_once_where_no_row_repeats(spark, tables):
+    from salescope.sources.fact import sales_fact
+    twice = sales_fact(spark, tables)                     # three line items with one key
+    assert twice.count() == 1 and written(spark, "fact", tables) is not None
+    spark.sql("select l_orderkey, 7 l_partkey, 3 l_suppkey, 1 l_linenumber, cast(l_orderkey as double) l_quantity, 10.5D l_extendedprice, "
+              "timestamp_ntz'2024-01-02 00:00:00' l_shipdate from (select explode(array(1, 2, 3)) l_orderkey)").write.mode(
+        "overwrite").parquet(f"{tables}/lineitem.parquet")
+    once = sales_fact(spark, tables)
+    assert written(spark, "fact", tables) is None and once.columns == twice.columns and once.dtypes == twice.dtypes
+    assert sorted((r["quantity"], str(r["unit_price"]), r["product_canon"]) for r in once.collect()) == [
+        (1, "10.5", "soro"), (2, "5.25", "soro"), (3, "3.5", "soro")]
